@@ -8,37 +8,32 @@ from pyspark.sql import types as T
 
 from .text import col_, missing_to_null
 
-# Accepted date layouts as (shape, year group, month group, day
-# group).  Shapes are anchored so a bare clock such as "0900" never parses.
-# Two-digit years are 20yy.
+# Accepted date layouts as (shape, ISO rewrite).  Shapes are
+# anchored so a bare clock such as "0900" never parses; two-digit years are 20yy.
 DATE_LAYOUTS = (
-    (r"^(\d{4})-(\d{1,2})-(\d{1,2})([ T].*)?$", 1, 2, 3),   # ISO date / date-time
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3, 1, 2),           # M/d/yyyy
-    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", 3, 1, 2),           # M/d/yy
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})([ T].*)?$", "$1-$2-$3"),   # ISO date / date-time
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),           # M/d/yyyy
+    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),         # M/d/yy
 )
+ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 # Month abbreviations for sheet names like "25_Jan" (SRC8).
 MONTH_ABBR = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN",
               "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 
-def parse_date(c) -> Column:
+def parse_date(c, normalized: bool = False) -> Column:
     """DAT1: text in any accepted layout -> DATE; NULL when blank or unparseable.
 
-    Impossible calendar days (``02/30/2026``) are NULL, never an error.
+    Each layout is rewritten to ``yyyy-M-d`` by one regex replace; only that
+    exact shape is cast, so impossible days (``02/30/2026``) are NULL and
+    nothing else is guessed.  ``normalized=True``: input is trimmed text.
     """
-    t = missing_to_null(col_(c).cast(T.StringType()))
-    out = None
-    for pattern, yi, mi, di in DATE_LAYOUTS:
-        y = F.regexp_extract(t, pattern, yi).try_cast(T.IntegerType())
-        if pattern.endswith(r"/(\d{2})$"):
-            y = y + 2000
-        m = F.regexp_extract(t, pattern, mi).try_cast(T.IntegerType())
-        d = F.regexp_extract(t, pattern, di).try_cast(T.IntegerType())
-        iso = F.format_string("%04d-%02d-%02d", y, m, d)
-        val = iso.try_cast(T.DateType())
-        out = F.when(t.rlike(pattern), val) if out is None else out.when(t.rlike(pattern), val)
-    return out
+    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
+    iso = t
+    for pattern, rewrite in DATE_LAYOUTS:
+        iso = F.regexp_replace(iso, pattern, rewrite)
+    return F.when(iso.rlike(ISO_DAY), iso.try_cast(T.DateType()))
 
 
 def date_key(c) -> Column:

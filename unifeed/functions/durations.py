@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .numbers import round_half_even
 from .text import NUMBER_PATTERN, col_, missing_to_null
 
 # Fixed values used by the reference rules.
@@ -37,15 +38,16 @@ def _grp0(t: Column, pattern: str, i: int) -> Column:
     return F.coalesce(_grp(t, pattern, i), F.lit(0.0))
 
 
-def duration_hours(c) -> Column:
+def duration_hours(c, normalized: bool = False) -> Column:
     """DUR1: duration text -> positive hours, else NULL.
 
     Accepts plain numbers, ``H:MM[:SS]``, ``N days HH:MM[:SS]`` (days are
     counted, unlike the reference) and ``N Hrs. M Mins`` / ``N Hour`` forms.
     Zero, negative, blank, ``nan``/``none``/``nat`` and anything else -> NULL;
-    callers pick the default with ``coalesce``.
+    callers pick the default with ``coalesce``.  With ``normalized=True`` the
+    input is already lower-cased, trimmed text (see :func:`duration_text`).
     """
-    t = F.lower(missing_to_null(col_(c).cast(T.StringType())))
+    t = col_(c) if normalized else duration_text(c)
     hours = (
         F.when(t.rlike(NUMBER_PATTERN), t.try_cast(T.DoubleType()))
         .when(t.rlike(_DAYS),
@@ -58,12 +60,17 @@ def duration_hours(c) -> Column:
     return F.when(hours > 0, hours)
 
 
-def clock_seconds(c) -> Column:
+def duration_text(c) -> Column:
+    """Normalised duration text: trimmed, lower-cased, blank/``nan`` -> NULL."""
+    return F.lower(missing_to_null(col_(c).cast(T.StringType())))
+
+
+def clock_seconds(c, normalized: bool = False) -> Column:
     """DAT2: clock text (``10:00``, ``9:30``, ``0900``, ``17:45:10``) -> seconds of day.
 
     Out-of-range parts (hour > 23, minute/second > 59) give NULL.
     """
-    t = missing_to_null(col_(c).cast(T.StringType()))
+    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
     h = F.regexp_extract(t, CLOCK_PATTERN, 1).try_cast(T.IntegerType())
     m = F.regexp_extract(t, CLOCK_PATTERN, 2).try_cast(T.IntegerType())
     s = F.coalesce(F.regexp_extract(t, CLOCK_PATTERN, 4).try_cast(T.IntegerType()), F.lit(0))
@@ -92,7 +99,7 @@ def pick_duration(given, elapsed, default: float | None = DEFAULT_HOURS,
     parts = [col_(given), F.when(e > 0, e)]
     if default is not None:
         parts.append(F.lit(float(default)))
-    return F.bround(F.coalesce(*parts), scale)
+    return round_half_even(F.coalesce(*parts), scale)
 
 
 def hhmm(seconds) -> Column:
@@ -117,7 +124,7 @@ def memorial_guard(out_s, in_s):
     side yields NULL duration and no imputation.
     """
     o, i = col_(out_s), col_(in_s)
-    span = F.bround((i - o) / 3600.0, 4)
+    span = round_half_even((i - o) / 3600.0, 4)
     both = o.isNotNull() & i.isNotNull()
     imputed = both & (span < F.lit(MEMORIAL_MAX_HOURS))
     dur = F.when(imputed, F.lit(IMPUTED_HOURS)).when(both, span)
@@ -130,4 +137,4 @@ def clamp_presentation_hours(c) -> Column:
     x = col_(c)
     return (F.when(x.isNull() | (x <= 0), F.lit(DEFAULT_HOURS))
             .when(x > CLAMP_MAX_HOURS, F.lit(CLAMP_FALLBACK_HOURS))
-            .otherwise(F.bround(x, 2)))
+            .otherwise(round_half_even(x, 2)))

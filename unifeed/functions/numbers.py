@@ -36,6 +36,16 @@ def route_table(spark: SparkSession, rows=ROUTE_ROWS) -> DataFrame:
     return spark.createDataFrame(list(rows), ROUTE_SCHEMA)
 
 
+def round_half_even(c, scale: int = 2) -> Column:
+    """Round half-even the way pandas/numpy ``round`` does: ``rint(x * 10**s) / 10**s``.
+
+    This differs from ``bround`` (which rounds the shortest decimal form) on
+    binary ties such as 0.575 -> 0.57; the reference rounds with numpy.
+    """
+    f = float(10 ** scale)
+    return F.rint(col_(c) * f) / f
+
+
 def given_head_count(c) -> Column:
     """NUM1: ``max(int(float(x)), 1)``; NULL or unparseable -> 1."""
     n = to_double(c).try_cast(T.LongType())
@@ -51,4 +61,4 @@ def clamp_presentation_count(c) -> Column:
 def pct(part, whole, scale: int = 1) -> Column:
     """NUM6: percentage with banker's rounding; empty denominator -> 0."""
     w = col_(whole)
-    return F.when(w > 0, F.bround(col_(part) * 100.0 / w, scale)).otherwise(F.lit(0.0))
+    return F.when(w > 0, round_half_even(col_(part) * 100.0 / w, scale)).otherwise(F.lit(0.0))

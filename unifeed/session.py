@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
