@@ -1,3 +1,330 @@
-"""Registered queries (queries_quality)."""
+"""Quality, validation and aggregate-report queries (VAL3, VAL4, QLT1-QLT9,
+QLT11, AGG3, AGG4, AGG6-AGG9, WIN1, SRT2)."""
 
-from .catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import dates, numbers
+from ..functions.text import blank_to_null
+from ..operators import quality, report
+from . import oracle_sql as S
+from .catalog import register
+from .driver_tables import PROCESSED_DATE, table
+from .feed import build_feed
+
+Q = S.q
+AS_OF_YEAR = int(PROCESSED_DATE[:4])
+QA_FIELDS = ("event_name", "date", "duration_hours", "attendee_count", "office", "division", "location")
+
+
+# ------------------------------------------------------------------ derived raw text frame
+
+def qa_frame(spark, sf_dir):
+    """Raw-text event cells derived from every order (blanks, junk and out-of-range values)."""
+    o = table(spark, sf_dir, "orders")
+    k, c, d = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    cols = {
+        "event_name": F.when(k % 7 != 0, F.col("o_orderpriority")),
+        "date": (F.when(k % 4 == 0, F.date_format(d, "yyyy-MM-dd"))
+                 .when(k % 4 == 1, F.date_format(d, "MM/dd/yyyy"))
+                 .when(k % 4 == 2, F.when(k % 8 == 2, F.lit("invalid_date"))
+                       .otherwise(F.concat(F.lit("2024-05-0"), (1 + k % 9).cast("string"))))),
+        "duration_hours": (F.when(k % 5 == 0, F.lit("2.0")).when(k % 5 == 1, F.lit("-1"))
+                           .when(k % 5 == 2, F.lit("25")).when(k % 5 == 3, F.lit("abc"))),
+        "attendee_count": (F.when(k % 6 == 0, F.lit("1500")).when(k % 6 == 1, F.lit("-2"))
+                           .when(k % 6 == 2, F.lit("x")).otherwise((c % 50).cast("string"))),
+        "office": F.when(k % 11 != 0, F.col("o_orderstatus")),
+        "division": F.when(k % 9 == 0, F.lit(None).cast("string")).when(k % 9 == 1, F.lit(""))
+                     .otherwise(F.col("o_orderpriority")),
+        "location": F.when(k % 10 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Site "), (c % 50).cast("string"))),
+    }
+    return o.select(k, *[F.when(k % 97 != 0, v).alias(n) for n, v in cols.items()])
+
+
+_QA_SQL = """qa AS (SELECT o_orderkey,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END END AS event_name,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+    WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+    WHEN 2 THEN CASE WHEN o_orderkey % 8 = 2 THEN 'invalid_date' ELSE '2024-05-0' || CAST(1 + o_orderkey % 9 AS VARCHAR) END
+    END END AS date,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE o_orderkey % 5 WHEN 0 THEN '2.0' WHEN 1 THEN '-1' WHEN 2 THEN '25'
+    WHEN 3 THEN 'abc' END END AS duration_hours,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE o_orderkey % 6 WHEN 0 THEN '1500' WHEN 1 THEN '-2' WHEN 2 THEN 'x'
+    ELSE CAST(o_custkey % 50 AS VARCHAR) END END AS attendee_count,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE WHEN o_orderkey % 11 <> 0 THEN o_orderstatus END END AS office,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 9 = 1 THEN ''
+    ELSE o_orderpriority END END AS division,
+  CASE WHEN o_orderkey % 97 <> 0 THEN CASE WHEN o_orderkey % 10 = 0 THEN '  '
+    ELSE 'Site ' || CAST(o_custkey % 50 AS VARCHAR) END END AS location
+  FROM orders)"""
+
+
+def _pct(part, whole):
+    return f"round_even(({part}) * 100.0 / ({whole}), 1)"
+
+
+_QS_SQL = f"""WITH {_QA_SQL},
+p AS (SELECT *, {S.parse_date(S.m2n('date'))} AS d_parsed, {S.to_double('duration_hours')} AS u,
+  {S.to_double('attendee_count')} AS cnt FROM qa),
+a AS (SELECT count(*) AS n,
+  count_if(event_name IS NULL) + count_if(date IS NULL) + count_if(office IS NULL) + count_if(division IS NULL) AS miss,
+  count(date) AS d_nn, count(d_parsed) AS d_ok,
+  count_if(d_parsed IS NOT NULL AND NOT (year(d_parsed) BETWEEN 2020 AND {AS_OF_YEAR + 1})) AS d_bad,
+  count(duration_hours) AS u_nn, count(u) AS u_num, count_if(u IS NOT NULL AND NOT (u BETWEEN 0 AND 24)) AS u_bad,
+  count(attendee_count) AS c_nn, count_if(cnt IS NOT NULL AND cnt >= 0) AS c_okn, count(cnt) AS c_num,
+  count_if(cnt IS NOT NULL AND NOT (cnt BETWEEN 0 AND 1000)) AS c_bad FROM p),
+s AS (SELECT CASE WHEN n > 0 THEN {_pct('n * 4 - miss', 'n * 4')} ELSE 0.0 END AS completeness,
+  d_nn + u_nn + c_nn AS checks, least(d_ok, d_nn - d_ok) + (u_nn - u_num) + (c_nn - c_okn) AS issues,
+  d_ok + u_num + c_num AS acc_total, d_bad + u_bad + c_bad AS acc_bad FROM a),
+g AS (SELECT count(*) AS k FROM qa GROUP BY event_name, date, office, division),
+u AS (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS duplicate_count, coalesce(sum(k), 0) AS r FROM g),
+sc AS (SELECT completeness,
+  CASE WHEN checks > 0 THEN {_pct('checks - issues', 'checks')} ELSE 100.0 END AS consistency,
+  CASE WHEN acc_total > 0 THEN {_pct('acc_total - acc_bad', 'acc_total')} ELSE 100.0 END AS accuracy,
+  CAST(issues AS BIGINT) AS format_issues, CAST(acc_bad AS BIGINT) AS logical_issues, duplicate_count,
+  CASE WHEN r > 0 THEN {_pct('r - duplicate_count', 'r')} ELSE 100.0 END AS uniqueness FROM s, u)
+SELECT *, CASE WHEN (completeness + consistency + accuracy + uniqueness) / 4.0 >= 90 THEN {Q(quality.QUALITY_LABELS[0][1])}
+  WHEN (completeness + consistency + accuracy + uniqueness) / 4.0 >= 80 THEN {Q(quality.QUALITY_LABELS[1][1])}
+  WHEN (completeness + consistency + accuracy + uniqueness) / 4.0 >= 70 THEN {Q(quality.QUALITY_LABELS[2][1])}
+  ELSE {Q(quality.QUALITY_LABELS[3][1])} END AS label,
+  round_even((completeness + consistency + accuracy + uniqueness) / 4.0, 1) AS overall FROM sc"""
+
+
+@register("quality_scores", _QS_SQL)
+def quality_scores(spark, sf_dir):
+    """QLT2-QLT6: completeness, consistency, accuracy, uniqueness, overall, label."""
+    return quality.quality_scores(qa_frame(spark, sf_dir), AS_OF_YEAR)
+
+
+_ISSUES_SQL = f"""WITH {_QA_SQL},
+i AS (SELECT o_orderkey,
+  ({' AND '.join(f'{S.b2n(c)} IS NULL' for c in QA_FIELDS)}) AS empty,
+  list_filter([{', '.join(f"CASE WHEN {S.b2n(c)} IS NULL THEN {Q(c)} END" for c in ('event_name', 'date'))}],
+    lambda x: x IS NOT NULL) AS missing FROM qa),
+r AS (SELECT o_orderkey, CASE WHEN empty THEN 'empty' WHEN len(missing) = 0 THEN 'valid' ELSE 'invalid' END AS status,
+  CASE WHEN empty THEN '' ELSE array_to_string(missing, ',') END AS missing_fields FROM i)"""
+
+
+@register("row_issues", f"""{_ISSUES_SQL}
+SELECT * FROM r""")
+def row_issues(spark, sf_dir):
+    """VAL3 per row: empty / valid / invalid with the blank required fields."""
+    f = quality.row_issues(qa_frame(spark, sf_dir), ["event_name", "date"], list(QA_FIELDS))
+    return f.select("o_orderkey", "status", "missing_fields")
+
+
+@register("row_issue_summary", f"""{_ISSUES_SQL}
+SELECT count(*) AS rows, count_if(status = 'empty') AS empty_rows, count_if(status = 'valid') AS valid_rows,
+  count_if(status = 'invalid') AS invalid_rows,
+  CASE WHEN count_if(status <> 'empty') > 0 THEN {_pct("count_if(status = 'valid')", "count_if(status <> 'empty')")}
+    ELSE 0.0 END AS valid_pct FROM r""")
+def row_issue_summary(spark, sf_dir):
+    """VAL3 counts and valid percentage."""
+    return quality.row_issue_summary(quality.row_issues(qa_frame(spark, sf_dir), ["event_name", "date"],
+                                                        list(QA_FIELDS)))
+
+
+@register("date_type_check", f"""WITH {_QA_SQL}
+SELECT count_if({S.b2n('date')} IS NOT NULL AND {S.parse_date(S.m2n('date'))} IS NULL) AS violations,
+  count_if({S.b2n('date')} IS NOT NULL AND {S.parse_date(S.m2n('date'))} IS NULL) = 0 AS conforms FROM qa""")
+def date_type_check(spark, sf_dir):
+    """VAL4: every non-blank date cell must parse."""
+    f = qa_frame(spark, sf_dir)
+    v = quality.type_violations(F.col("date"), dates.parse_date("date"))
+    return f.agg(v.alias("violations")).withColumn("conforms", F.col("violations") == 0)
+
+
+_F = S.feed_ctes()
+
+
+@register("combined_score", f"""{_F}
+SELECT count(*) AS rows, CAST(count_if(event_name IS NULL) + count_if(date IS NULL) + count_if(office IS NULL)
+  + count_if(division IS NULL) AS BIGINT) AS missing_critical,
+  CASE WHEN count(*) > 0 THEN {_pct('count(*) * 4 - (count_if(event_name IS NULL) + count_if(date IS NULL) + count_if(office IS NULL) + count_if(division IS NULL))', 'count(*) * 4')}
+    ELSE 0.0 END AS quality_score FROM feed""")
+def combined_score(spark, sf_dir):
+    """QLT1 on the combined feed."""
+    return quality.combined_score(build_feed(spark, sf_dir).feed)
+
+
+# ------------------------------------------------------------------ QLT7/QLT8/SRT2
+
+_CUSTOMER = (("c_custkey", "integer"), ("c_name", "text"), ("c_nationkey", "integer"), ("c_acctbal", "float"),
+             ("c_mktsegment", "text"))
+_LINEITEM = (("l_orderkey", "integer"), ("l_partkey", "integer"), ("l_suppkey", "integer"),
+             ("l_linenumber", "integer"), ("l_quantity", "float"), ("l_extendedprice", "float"),
+             ("l_discount", "float"), ("l_tax", "float"), ("l_returnflag", "text"), ("l_linestatus", "text"),
+             ("l_shipdate", "datetime"))
+
+
+def _profile_sql(tbl, cols):
+    parts = []
+    for i, (c, dt) in enumerate(cols):
+        text = dt == "text"
+        dl = f"count_if({S.parse_date(S.m2n(c))} IS NOT NULL)" if text else "0"
+        mn = f"min({c})" if text else "CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT {i} AS position, {Q(c)} AS \"column\", {Q(dt)} AS dtype, count({c}) AS non_null, "
+                     f"CASE WHEN count(*) > 0 THEN {_pct(f'count({c})', 'count(*)')} ELSE 0.0 END AS pct_non_null, "
+                     f"count(DISTINCT {c}) AS n_distinct, CAST({dl} AS BIGINT) AS date_like, {mn} AS min_text "
+                     f"FROM {tbl}")
+    return " UNION ALL ".join(parts)
+
+
+@register("column_profile", _profile_sql("customer", _CUSTOMER))
+def column_profile(spark, sf_dir):
+    """QLT7: one-pass column profile of ``customer`` in long form."""
+    return quality.column_profile(table(spark, sf_dir, "customer"))
+
+
+@register("top_complete_columns", f"""SELECT * FROM ({_profile_sql('lineitem', _LINEITEM)})
+ORDER BY pct_non_null DESC, position LIMIT 10""")
+def top_complete_columns(spark, sf_dir):
+    """SRT2: the ten most complete columns of ``lineitem`` (the limit is the report)."""
+    p = quality.column_profile(table(spark, sf_dir, "lineitem"))
+    return p.orderBy(F.col("pct_non_null").desc(), F.col("position")).limit(10)
+
+
+@register("frame_summary", """WITH g AS (SELECT count(*) AS k FROM lineitem GROUP BY ALL_COLUMNS_PLACEHOLDER)
+SELECT (SELECT count(*) FROM lineitem) AS rows, 11 AS columns,
+  (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL AND l_partkey IS NULL AND l_suppkey IS NULL
+    AND l_linenumber IS NULL AND l_quantity IS NULL AND l_extendedprice IS NULL AND l_discount IS NULL
+    AND l_tax IS NULL AND l_returnflag IS NULL AND l_linestatus IS NULL AND l_shipdate IS NULL) AS all_null_rows,
+  (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) FROM g) AS duplicate_rows""".replace(
+    "ALL_COLUMNS_PLACEHOLDER", ", ".join(c for c, _ in _LINEITEM)))
+def frame_summary(spark, sf_dir):
+    """QLT8: rows, columns, all-NULL rows, duplicate rows of ``lineitem``."""
+    return quality.frame_summary(table(spark, sf_dir, "lineitem"))
+
+
+# ------------------------------------------------------------------ QLT9
+
+@register("export_check", f"""SELECT count(*) AS rows, 5 AS columns,
+  coalesce(greatest(max(length(text)), max(length(lang)), max(length(source))), 0) AS max_text_length,
+  CAST(count_if(length(text) > {quality.MAX_TEXT_LENGTH}) + count_if(length(lang) > {quality.MAX_TEXT_LENGTH})
+    + count_if(length(source) > {quality.MAX_TEXT_LENGTH}) AS BIGINT) AS over_limit_cells,
+  0 AS bad_column_names, 100.0 AS type_score,
+  (1 + 1 + CASE WHEN count_if(length(text) > {quality.MAX_TEXT_LENGTH}) + count_if(length(lang) > {quality.MAX_TEXT_LENGTH})
+    + count_if(length(source) > {quality.MAX_TEXT_LENGTH}) = 0 THEN 1 ELSE 0 END
+    + CASE WHEN count(*) <= {quality.MAX_ROWS} THEN 1 ELSE 0 END) * 25.0 AS score,
+  CASE WHEN (1 + 1 + CASE WHEN count_if(length(text) > {quality.MAX_TEXT_LENGTH}) = 0 THEN 1 ELSE 0 END
+    + CASE WHEN count(*) <= {quality.MAX_ROWS} THEN 1 ELSE 0 END) * 25.0 >= 95 THEN 'compatible'
+    WHEN (1 + 1 + CASE WHEN count_if(length(text) > {quality.MAX_TEXT_LENGTH}) = 0 THEN 1 ELSE 0 END
+    + CASE WHEN count(*) <= {quality.MAX_ROWS} THEN 1 ELSE 0 END) * 25.0 >= 85 THEN 'mostly compatible'
+    WHEN (1 + 1 + CASE WHEN count_if(length(text) > {quality.MAX_TEXT_LENGTH}) = 0 THEN 1 ELSE 0 END
+    + CASE WHEN count(*) <= {quality.MAX_ROWS} THEN 1 ELSE 0 END) * 25.0 >= 70 THEN 'needs work'
+    ELSE 'incompatible' END AS label FROM documents""")
+def export_check(spark, sf_dir):
+    """QLT9 (+STR15): export compatibility of ``documents`` (text length limit, names, types, size)."""
+    return quality.export_check(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ QLT11
+
+_TOKENS = "[^A-Za-z0-9_]+"
+
+
+@register("log_error_count", f"""WITH t AS (SELECT len(list_filter(string_split_regex(text, {Q(_TOKENS)}),
+  lambda x: x = 'the')) AS hits FROM conversations)
+SELECT CAST(coalesce(sum(hits), 0) AS BIGINT) AS token_hits, count_if(hits > 0) AS lines_with_hits,
+  coalesce(sum(hits), 0) > 10 AS alert FROM t""")
+def log_error_count(spark, sf_dir):
+    """QLT11: count of a token (here ``the``) over every text line, with the >10 alert."""
+    c = table(spark, sf_dir, "conversations")
+    hits = F.size(F.filter(F.split(F.col("text"), _TOKENS), lambda x: x == F.lit("the")))
+    t = c.select(hits.alias("hits"))
+    return t.agg(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("token_hits"),
+                 F.count_if(F.col("hits") > 0).alias("lines_with_hits"),
+                 (F.coalesce(F.sum("hits"), F.lit(0)) > 10).alias("alert"))
+
+
+# ------------------------------------------------------------------ AGG3/AGG4/AGG6/AGG7/AGG8/AGG9/WIN1
+
+@register("value_share", """SELECT event_type, count(*) AS n,
+  round_even(count(*) * 100.0 / (SELECT count(*) FROM events), 2) AS pct FROM events GROUP BY event_type""")
+def value_share(spark, sf_dir):
+    """AGG3: event-type counts with percent of total."""
+    return report.value_share(table(spark, sf_dir, "events"), "event_type", scale=2)
+
+
+@register("crosstab_margins", """WITH t AS (SELECT event_type, 'seg' || CAST(user_id % 4 AS VARCHAR) AS segment FROM events)
+SELECT CASE WHEN grouping(event_type) = 1 THEN 'All' ELSE event_type END AS event_type,
+  CASE WHEN grouping(segment) = 1 THEN 'All' ELSE segment END AS segment, count(*) AS n
+FROM t GROUP BY CUBE (event_type, segment)""")
+def crosstab_margins(spark, sf_dir):
+    """AGG4: event type x user segment counts with ``All`` margins (one cube pass)."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_type", F.concat(F.lit("seg"), (F.col("user_id") % 4).cast("string")).alias("segment"))
+    return report.crosstab_margins(ev, "event_type", "segment")
+
+
+@register("distinct_values", """SELECT count(DISTINCT user_id) AS n_distinct, CAST(min(user_id) AS VARCHAR) AS min_value,
+  CAST(max(user_id) AS VARCHAR) AS max_value FROM events""")
+def distinct_values(spark, sf_dir):
+    """AGG6: distinct count and range of ``events.user_id``."""
+    return report.distinct_values(table(spark, sf_dir, "events"), "user_id")
+
+
+def _describe_sql(cols):
+    return " UNION ALL ".join(
+        f"SELECT {Q(c)} AS \"column\", count({c}) AS count, round_even(avg({c}), 6) AS mean, "
+        f"round_even(stddev_samp({c}), 6) AS std, min({c}) AS min, round_even(quantile_cont({c}, 0.25), 6) AS p25, "
+        f"round_even(quantile_cont({c}, 0.5), 6) AS p50, round_even(quantile_cont({c}, 0.75), 6) AS p75, "
+        f"max({c}) AS max FROM lineitem" for c in cols)
+
+
+_DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@register("describe_numeric", _describe_sql(_DESC_COLS))
+def describe_numeric(spark, sf_dir):
+    """AGG7: count, mean, std, min, quartiles, max of three ``lineitem`` measures."""
+    d = report.describe_numeric(table(spark, sf_dir, "lineitem"), _DESC_COLS)
+    r6 = lambda c: numbers.round_half_even(F.col(c), 6)
+    return d.select("column", "count", r6("mean").alias("mean"), r6("std").alias("std"), "min",
+                    r6("p25").alias("p25"), r6("p50").alias("p50"), r6("p75").alias("p75"), "max")
+
+
+@register("duplicate_groups", """SELECT md5(text) AS text_md5, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1""")
+def duplicate_groups(spark, sf_dir):
+    """AGG8: exact-duplicate document texts (surfaced, not removed)."""
+    d = table(spark, sf_dir, "documents")
+    g = report.duplicate_groups(d, ["text"])
+    return g.select(F.md5("text").alias("text_md5"), "n")
+
+
+@register("duplicate_count", """SELECT CAST(sum(k - 1) AS BIGINT) AS duplicate_rows, CAST(sum(k) AS BIGINT) AS rows
+FROM (SELECT count(*) AS k FROM lineitem GROUP BY l_orderkey, l_partkey)""")
+def duplicate_count(spark, sf_dir):
+    """AGG9: line items repeating an earlier (order, part) pair."""
+    return report.duplicate_row_count(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"])
+
+
+@register("first_n_per_group", """SELECT o_orderpriority, o_orderkey, o_orderdate, rank_in_group FROM (
+  SELECT o_orderpriority, o_orderkey, o_orderdate,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rank_in_group FROM orders)
+WHERE rank_in_group <= 2""")
+def first_n_per_group(spark, sf_dir):
+    """WIN1: the first two orders of every priority (explicit total order)."""
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_orderdate")
+    return report.first_n_per_group(o, "o_orderpriority", ["o_orderdate", "o_orderkey"], 2)
+
+
+@register("office_substring_audit", f"""{_F}
+SELECT office, count(*) AS n FROM feed WHERE contains(office, 'Engagement') GROUP BY office""")
+def office_substring_audit(spark, sf_dir):
+    """FLT7: rows whose office contains a substring, counted per office."""
+    f = build_feed(spark, sf_dir).feed
+    return f.where(F.col("office").contains("Engagement")).groupBy("office").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("blank_rows", f"""WITH {_QA_SQL}
+SELECT count_if({' AND '.join(f'{S.b2n(c)} IS NULL' for c in QA_FIELDS)}) AS blank_rows, count(*) AS rows FROM qa""")
+def blank_rows(spark, sf_dir):
+    """FLT8 / FLT9: completely blank rows (NULL or whitespace in every cell)."""
+    from ..operators.schema import all_blank
+    f = qa_frame(spark, sf_dir)
+    return f.agg(F.count_if(all_blank(*QA_FIELDS)).alias("blank_rows"), F.count(F.lit(1)).alias("rows"))
+
+
+_ = blank_to_null  # re-exported helper used by callers of this module
