@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import col_, missing_to_null
+from .text import col_, digits_to, missing_to_null
 
 # Accepted date layouts as (shape, ISO rewrite).  Shapes are
 # anchored so a bare clock such as "0900" never parses; two-digit years are 20yy.
@@ -51,8 +51,8 @@ def period_from_file_name(name) -> Column:
     """SRC7: ``2026_05_CE...`` -> 2026-05-01; NULL when the name has no period."""
     n = col_(name)
     pat = r"^(\d{4})_(\d{2})_"
-    y = F.regexp_extract(n, pat, 1).try_cast(T.IntegerType())
-    m = F.regexp_extract(n, pat, 2).try_cast(T.IntegerType())
+    y = digits_to(F.regexp_extract(n, pat, 1))
+    m = digits_to(F.regexp_extract(n, pat, 2))
     return F.when(n.rlike(pat) & m.between(1, 12), F.make_date(y, m, F.lit(1)))
 
 
@@ -64,10 +64,10 @@ def period_from_sheet_name(name) -> Column:
     """
     n = col_(name)
     num = r"(\d{2})_(\d{2})$"
-    ny = F.regexp_extract(n, num, 1).try_cast(T.IntegerType())
-    nm = F.regexp_extract(n, num, 2).try_cast(T.IntegerType())
+    ny = digits_to(F.regexp_extract(n, num, 1))
+    nm = digits_to(F.regexp_extract(n, num, 2))
     word = r"^(\d{2})_([A-Za-z]{3})"
-    wy = F.regexp_extract(n, word, 1).try_cast(T.IntegerType())
+    wy = digits_to(F.regexp_extract(n, word, 1))
     ab = F.upper(F.regexp_extract(n, word, 2))
     wm = F.array_position(F.array(*[F.lit(a) for a in MONTH_ABBR]), ab).cast("int")
     return (F.when(n.rlike(num) & nm.between(1, 12), F.make_date(ny + 2000, nm, F.lit(1)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .numbers import round_half_even
-from .text import NUMBER_PATTERN, col_, missing_to_null
+from .text import NUMBER_PATTERN, col_, digits_to, missing_to_null
 
 # Fixed values used by the reference rules.
 DEFAULT_HOURS = 0.5          # duration when nothing usable is given (DUR3)
@@ -31,7 +31,8 @@ CLOCK_PATTERN = r"^(\d{1,2}):?(\d{2})(:(\d{2}))?$"
 
 
 def _grp(t: Column, pattern: str, i: int) -> Column:
-    return F.regexp_extract(t, pattern, i).try_cast(T.DoubleType())
+    # groups hold digits (or a decimal) or nothing: cast only non-empty text
+    return digits_to(F.regexp_extract(t, pattern, i), "double")
 
 
 def _grp0(t: Column, pattern: str, i: int) -> Column:
@@ -49,7 +50,7 @@ def duration_hours(c, normalized: bool = False) -> Column:
     """
     t = col_(c) if normalized else duration_text(c)
     hours = (
-        F.when(t.rlike(NUMBER_PATTERN), t.try_cast(T.DoubleType()))
+        F.when(t.rlike(NUMBER_PATTERN), t.cast(T.DoubleType()))
         .when(t.rlike(_DAYS),
               _grp(t, _DAYS, 1) * 24.0 + _grp(t, _DAYS, 2)
               + _grp(t, _DAYS, 3) / 60.0 + _grp0(t, _DAYS, 5) / 3600.0)
@@ -71,9 +72,9 @@ def clock_seconds(c, normalized: bool = False) -> Column:
     Out-of-range parts (hour > 23, minute/second > 59) give NULL.
     """
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    h = F.regexp_extract(t, CLOCK_PATTERN, 1).try_cast(T.IntegerType())
-    m = F.regexp_extract(t, CLOCK_PATTERN, 2).try_cast(T.IntegerType())
-    s = F.coalesce(F.regexp_extract(t, CLOCK_PATTERN, 4).try_cast(T.IntegerType()), F.lit(0))
+    h = digits_to(F.regexp_extract(t, CLOCK_PATTERN, 1))
+    m = digits_to(F.regexp_extract(t, CLOCK_PATTERN, 2))
+    s = F.coalesce(digits_to(F.regexp_extract(t, CLOCK_PATTERN, 4)), F.lit(0))
     ok = t.rlike(CLOCK_PATTERN) & (h < 24) & (m < 60) & (s < 60)
     return F.when(ok, h * 3600 + m * 60 + s)
 

@@ -54,7 +54,15 @@ def missing_to_null(c) -> Column:
 def to_double(c) -> Column:
     """Gated numeric parse: NULL unless the trimmed text is a plain decimal."""
     t = ws_trim(col_(c).cast(T.StringType()))
-    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast(T.DoubleType()))
+    # the gate guarantees a parseable decimal, so a plain cast never fails
+    return F.when(t.rlike(NUMBER_PATTERN), t.cast(T.DoubleType()))
+
+
+def digits_to(c, dtype: str = "int") -> Column:
+    """Cast text known to be digits-or-empty (a regex group) without the slow
+    failing-cast path: empty -> NULL, anything else cast directly."""
+    x = col_(c)
+    return F.when(F.length(x) > 0, x.cast(dtype))
 
 
 def to_long_floor(c) -> Column:

@@ -109,19 +109,26 @@ def date_range(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
     """AGG7: count, mean, sample std, min, exact quartiles, max per column; long form.
 
-    Quartiles use exact linear interpolation (``percentile``), as pandas does.
+    Sums are exact decimals (inputs carry at most ``scale`` decimals), so mean
+    and std do not depend on how partial sums are combined; quartiles use exact
+    linear interpolation (``percentile``), as pandas does.
     """
+    dec = T.DecimalType(38, scale)
+    sq = T.DecimalType(38, 2 * scale)
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
+        n = F.count(x)
+        s1 = F.sum(F.col(c).cast(dec)).cast("double")
+        s2 = F.sum(F.col(c).cast(dec).cast(sq) * F.col(c).cast(dec).cast(sq)).cast("double")
         parts.append(df.agg(
             F.lit(c).alias("column"),
-            F.count(x).alias("count"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
+            n.alias("count"),
+            (s1 / n).alias("mean"),
+            F.when(n > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))).alias("std"),
             F.min(x).alias("min"),
             F.percentile(x, 0.25).alias("p25"),
             F.percentile(x, 0.5).alias("p50"),

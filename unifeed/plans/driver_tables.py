@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import read_parquet
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -22,8 +24,14 @@ PROCESSED_DATE = "2025-01-01"
 DEMO_ALIASES = {"vale": "Sgt. R. Vale", "moor": "Det. K. Moor", "fen": "Ofc. T. Fen"}
 
 
+# Fact tables whose rows go through per-row parsing; their scans are spread
+# over the cores when the file has too few splits (see ``sources.files.spread``).
+SPREAD_TABLES = ("lineitem", "orders", "events", "documents", "conversations", "pages",
+                 "customer", "part", "embeddings")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread_scan=name in SPREAD_TABLES)
 
 
 def _case(key: Column, mod: int, *values) -> Column:

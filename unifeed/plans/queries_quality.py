@@ -266,11 +266,16 @@ def distinct_values(spark, sf_dir):
 
 
 def _describe_sql(cols):
-    return " UNION ALL ".join(
-        f"SELECT {Q(c)} AS \"column\", count({c}) AS count, round_even(avg({c}), 6) AS mean, "
-        f"round_even(stddev_samp({c}), 6) AS std, min({c}) AS min, round_even(quantile_cont({c}, 0.25), 6) AS p25, "
-        f"round_even(quantile_cont({c}, 0.5), 6) AS p50, round_even(quantile_cont({c}, 0.75), 6) AS p75, "
-        f"max({c}) AS max FROM lineitem" for c in cols)
+    def one(c):
+        s1 = f"CAST(sum(CAST({c} AS DECIMAL(38, 4))) AS DOUBLE)"
+        s2 = f"CAST(sum(CAST({c} AS DECIMAL(38, 8)) * CAST({c} AS DECIMAL(38, 8))) AS DOUBLE)"
+        n = f"count({c})"
+        return (f"SELECT {Q(c)} AS \"column\", {n} AS count, round_even({s1} / {n}, 6) AS mean, "
+                f"round_even(CASE WHEN {n} > 1 THEN sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0.0)) END, 6)"
+                f" AS std, min({c}) AS min, round_even(quantile_cont({c}, 0.25), 6) AS p25, "
+                f"round_even(quantile_cont({c}, 0.5), 6) AS p50, round_even(quantile_cont({c}, 0.75), 6) AS p75, "
+                f"max({c}) AS max FROM lineitem")
+    return " UNION ALL ".join(one(c) for c in cols)
 
 
 _DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount")
