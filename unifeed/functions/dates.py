@@ -43,6 +43,26 @@ def date_key(c) -> Column:
     return F.coalesce(F.date_format(d, "yyyy-MM-dd"), raw, F.lit(""))
 
 
+def date_of(df, name: str) -> Column:
+    """The calendar date of column ``name`` of ``df``: typed dates pass through,
+    timestamps are truncated, text goes through :func:`parse_date`."""
+    dt = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(dt, T.DateType):
+        return c
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast(T.DateType())
+    return parse_date(c)
+
+
+def date_key_of(df, name: str) -> Column:
+    """DAT1 key form of ``df[name]`` without re-parsing typed dates."""
+    dt = df.schema[name].dataType
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.date_format(date_of(df, name), "yyyy-MM-dd"), F.lit(""))
+    return date_key(F.col(f"`{name}`"))
+
+
 def month_start(year, month) -> Column:
     return F.make_date(col_(year), col_(month), F.lit(1))
 

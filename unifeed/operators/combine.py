@@ -61,9 +61,9 @@ def remove_contamination(df: DataFrame, office: str = "office",
     return df.where(~flag), df.where(flag)
 
 
-def gap_fill_keys(date_col: str = "date", loc_col: str = "location") -> list[Column]:
+def gap_fill_keys(df: DataFrame, date_col: str = "date", loc_col: str = "location") -> list[Column]:
     """JOI1 key: canonical date text + collapsed location; blanks as ``""``."""
-    return [dates.date_key(F.col(date_col)).alias("_k_date"),
+    return [dates.date_key_of(df, date_col).alias("_k_date"),
             places.location_key(F.col(loc_col)).alias("_k_loc")]
 
 
@@ -77,8 +77,8 @@ def gap_fill(record: DataFrame, gap: DataFrame, blank_matches: bool = True,
     collapses hot keys map-side.  ``blank_matches=True`` follows the reference
     (blank = blank matches); ``False`` never drops on a blank key part.
     """
-    rk = record.select(*gap_fill_keys(date_col, loc_col)).distinct()
-    gk = gap.select("*", *gap_fill_keys(date_col, loc_col))
+    rk = record.select(*gap_fill_keys(record, date_col, loc_col)).distinct()
+    gk = gap.select("*", *gap_fill_keys(gap, date_col, loc_col))
     if not blank_matches:
         rk = rk.where((F.col("_k_date") != "") & (F.col("_k_loc") != ""))
     on = ["_k_date", "_k_loc"]

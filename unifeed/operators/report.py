@@ -180,7 +180,7 @@ def first_n_per_group(df: DataFrame, group: str, order: Sequence[str], n: int =
 def presentation(feed: DataFrame, row_id: str | None = None) -> DataFrame:
     """§3.3 read model: typed casts (PRJ4), clamps (DUR5, NUM4), renames (PRJ3),
     NULL-date drop (FLT5).  Sorting (SRT1) is left to the sink."""
-    d = dates.parse_date(F.col("date").cast("string"))
+    d = dates.date_of(feed, "date")
     out = feed.select(
         d.alias("Date"),
         durations.clamp_presentation_hours(F.col("duration_hours").cast("double"))
