@@ -39,7 +39,7 @@ def _grp0(t: Column, pattern: str, i: int) -> Column:
     return F.coalesce(_grp(t, pattern, i), F.lit(0.0))
 
 
-def duration_hours(c, normalized: bool = False) -> Column:
+def duration_hours(c, normalized: bool = False, positive_only: bool = True) -> Column:
     """DUR1: duration text -> positive hours, else NULL.
 
     Accepts plain numbers, ``H:MM[:SS]``, ``N days HH:MM[:SS]`` (days are
@@ -58,7 +58,7 @@ def duration_hours(c, normalized: bool = False) -> Column:
               _grp(t, _HMS, 1) + _grp(t, _HMS, 2) / 60.0 + _grp0(t, _HMS, 4) / 3600.0)
         .when(t.rlike(_WORDS), _grp(t, _WORDS, 1) + _grp0(t, _WORDS, 5) / 60.0)
     )
-    return F.when(hours > 0, hours)
+    return F.when(hours > 0, hours) if positive_only else hours
 
 
 def duration_text(c) -> Column:
@@ -69,14 +69,17 @@ def duration_text(c) -> Column:
 def clock_seconds(c, normalized: bool = False) -> Column:
     """DAT2: clock text (``10:00``, ``9:30``, ``0900``, ``17:45:10``) -> seconds of day.
 
-    Out-of-range parts (hour > 23, minute/second > 59) give NULL.
+    One regex validates the shape and one rewrites it to ``H:MM:S``; the parts
+    are then cut by a plain split (casts only ever see digits).  Out-of-range
+    parts (hour > 23, minute/second > 59) give NULL.
     """
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    h = digits_to(F.regexp_extract(t, CLOCK_PATTERN, 1))
-    m = digits_to(F.regexp_extract(t, CLOCK_PATTERN, 2))
-    s = F.coalesce(digits_to(F.regexp_extract(t, CLOCK_PATTERN, 4)), F.lit(0))
-    ok = t.rlike(CLOCK_PATTERN) & (h < 24) & (m < 60) & (s < 60)
-    return F.when(ok, h * 3600 + m * 60 + s)
+    parts = F.split(F.regexp_replace(t, CLOCK_PATTERN, "$1:$2:$4"), ":")
+    h = F.try_element_at(parts, F.lit(1)).try_cast("int")
+    m = F.try_element_at(parts, F.lit(2)).try_cast("int")
+    sec = F.coalesce(digits_to(F.try_element_at(parts, F.lit(3))), F.lit(0))
+    return F.when(t.rlike(CLOCK_PATTERN),
+                  F.when((h < 24) & (m < 60) & (sec < 60), h * 3600 + m * 60 + sec))
 
 
 def timestamp_seconds(c) -> Column:

@@ -109,12 +109,63 @@ def date_range(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / ``quantile_cont``) of
+    several columns at once: one row per column with ``column``, ``n`` and
+    ``q0..qk`` -- without gathering any column in one task.
+
+    The columns are stacked into ``(column, value)`` pairs, range-partitioned
+    and sorted across the cluster in ONE shuffle (``tiebreak`` columns make
+    the order deterministic among equal values).  Each row's rank is its
+    position inside its partition plus the row counts of the earlier
+    partitions of the same column (a table of at most partitions x columns
+    rows); only the ranks ``floor/ceil((n-1)p)`` survive the filter.
+    """
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
+                                  for c in cols]))
+    v = df.select(stacked.alias("_s"), *[F.col(t) for t in tiebreak]) \
+        .select("_s._col", "_s._v", *tiebreak).where(F.col("_v").isNotNull())
+    order = ["_col", "_v", *tiebreak]
+    parted = v.repartitionByRange(*order).sortWithinPartitions(*order)
+    x = parted.select("_col", "_v", F.spark_partition_id().alias("_pid"),
+                      F.monotonically_increasing_id().alias("_mid"))
+    # rows of one partition and column are contiguous after the sort
+    x = x.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    counts = x.groupBy("_pid", "_col").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
+    w_all = Window.partitionBy("_col").orderBy("_pid").rowsBetween(Window.unboundedPreceding,
+                                                                   Window.unboundedFollowing)
+    w_before = Window.partitionBy("_col").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", "_col", "_first",
+                            F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"),
+                            F.sum("_c").over(w_all).alias("_n"))
+    ranked = x.join(F.broadcast(offsets), ["_pid", "_col"]).select(
+        "_col", "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_first")).alias("_idx"))
+    pos = [(F.col("_n") - 1) * float(p) for p in probs]
+    keep = None
+    for ps in pos:
+        hit = (F.col("_idx") == F.floor(ps)) | (F.col("_idx") == F.ceil(ps))
+        keep = hit if keep is None else keep | hit
+    few = ranked.where(keep)
+    aggs = [F.max("_n").alias("n")]
+    for i, ps in enumerate(pos):
+        aggs.append(F.max(F.when(F.col("_idx") == F.floor(ps), F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(F.col("_idx") == F.ceil(ps), F.col("_v"))).alias(f"_hi{i}"))
+        aggs.append(F.max(ps - F.floor(ps)).alias(f"_fr{i}"))
+    a = few.groupBy("_col").agg(*aggs)
+    return a.select(F.col("_col").alias("column"), "n",
+                    *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
+                      .alias(f"q{i}") for i in range(len(probs))])
+
+
+def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4,
+                     tiebreak: Sequence[str] = ()) -> DataFrame:
     """AGG7: count, mean, sample std, min, exact quartiles, max per column; long form.
 
     Sums are exact decimals (inputs carry at most ``scale`` decimals), so mean
-    and std do not depend on how partial sums are combined; quartiles use exact
-    linear interpolation (``percentile``), as pandas does.
+    and std do not depend on how partial sums are combined; quartiles are
+    exact (linear interpolation, as pandas) and computed by
+    :func:`exact_quantiles`, never in a single task.
     """
     dec = T.DecimalType(38, scale)
     sq = T.DecimalType(38, 2 * scale)
@@ -124,20 +175,15 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4) -> Data
         n = F.count(x)
         s1 = F.sum(F.col(c).cast(dec)).cast("double")
         s2 = F.sum(F.col(c).cast(dec).cast(sq) * F.col(c).cast(dec).cast(sq)).cast("double")
-        parts.append(df.agg(
-            F.lit(c).alias("column"),
-            n.alias("count"),
-            (s1 / n).alias("mean"),
-            F.when(n > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))).alias("std"),
-            F.min(x).alias("min"),
-            F.percentile(x, 0.25).alias("p25"),
-            F.percentile(x, 0.5).alias("p50"),
-            F.percentile(x, 0.75).alias("p75"),
-            F.max(x).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts += [F.struct(F.lit(c).alias("column"), n.alias("count"), (s1 / n).alias("mean"),
+                           F.when(n > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0))))
+                           .alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))]
+    # every column's moments in ONE aggregation pass, then long form
+    moments = df.agg(F.array(*parts).alias("_m")).select(F.explode("_m").alias("_m")).select("_m.*")
+    q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), tiebreak).select(
+        "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return moments.join(q, "column", "left").select(
+        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

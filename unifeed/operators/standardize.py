@@ -90,8 +90,9 @@ def _parsed(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
         dates.parse_date("t_date", normalized=True).alias("date"),
         durations.clock_seconds("t_start", normalized=True).alias("start_s"),
         durations.clock_seconds("t_end", normalized=True).alias("end_s"),
-        durations.duration_hours("t_dur", normalized=True).alias("given_hours"),
-        "event_name", "location", *passthrough)
+        durations.duration_hours("t_dur", normalized=True, positive_only=False).alias("given_raw"),
+        "event_name", "location", *passthrough).withColumn(
+        "given_hours", F.when(F.col("given_raw") > 0, F.col("given_raw")))
 
 
 def community_log(raw: DataFrame, data_source: str = "community_engagement",

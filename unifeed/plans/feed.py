@@ -36,10 +36,10 @@ def _as_of() -> _dt.date:
     return _dt.date.fromisoformat(dt.PROCESSED_DATE)
 
 
-def driver_sources(spark: SparkSession, sf_dir: str, keep_ids: bool = False) -> dict[str, DataFrame]:
+def driver_sources(spark: SparkSession, sf_dir: str, routed: DataFrame | None = None) -> dict[str, DataFrame]:
     """Canonical frames of the four derived sources (dispatch rows routed, CSB excluded)."""
     pd_ = _as_of()
-    routed = dispatch_routed(spark, sf_dir)
+    routed = routed if routed is not None else dispatch_routed(spark, sf_dir)
     return {
         "community_engagement": standardize.community_log(dt.community_raw(spark, sf_dir),
                                                           processed_date=pd_),
@@ -56,10 +56,26 @@ def dispatch_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        keep=("event_id",))
 
 
+_PLANS: dict = {}
+
+
 def build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool = True,
                blank_matches: bool = True) -> FeedRun:
-    """§3.1: union -> FLT1 -> JOI1 (order matters: filter before gap-fill)."""
-    sources = driver_sources(spark, sf_dir)
+    """§3.1: union -> FLT1 -> JOI1 (order matters: filter before gap-fill).
+
+    The lazy plan (not data) is memoised per session and input, so several
+    reports over the same feed share one plan-construction cost.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, gap_fill_enabled, blank_matches)
+    if key not in _PLANS:
+        _PLANS[key] = _build_feed(spark, sf_dir, gap_fill_enabled, blank_matches)
+    return _PLANS[key]
+
+
+def _build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool,
+                blank_matches: bool) -> FeedRun:
+    routed = dispatch_routed(spark, sf_dir)
+    sources = driver_sources(spark, sf_dir, routed)
     combined = union_sources(sources.values())
     kept, removed = remove_contamination(combined)
     src = F.col("data_source")
@@ -71,4 +87,4 @@ def build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool = True,
         gap_kept, gap_dropped = gap, gap.where(F.lit(False))
     feed = record.unionByName(gap_kept)
     return FeedRun(feed=feed, sources=sources, removed=removed, gap_dropped=gap_dropped,
-                   routed=dispatch_routed(spark, sf_dir))
+                   routed=routed)

@@ -284,7 +284,8 @@ _DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount")
 @register("describe_numeric", _describe_sql(_DESC_COLS))
 def describe_numeric(spark, sf_dir):
     """AGG7: count, mean, std, min, quartiles, max of three ``lineitem`` measures."""
-    d = report.describe_numeric(table(spark, sf_dir, "lineitem"), _DESC_COLS)
+    d = report.describe_numeric(table(spark, sf_dir, "lineitem"), _DESC_COLS,
+                                tiebreak=("l_orderkey", "l_linenumber", "l_partkey"))
     r6 = lambda c: numbers.round_half_even(F.col(c), 6)
     return d.select("column", "count", r6("mean").alias("mean"), r6("std").alias("std"), "min",
                     r6("p25").alias("p25"), r6("p50").alias("p50"), r6("p75").alias("p75"), "max")
