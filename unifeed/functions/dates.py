@@ -22,18 +22,30 @@ MONTH_ABBR = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN",
               "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 
+def date_iso(c, normalized: bool = False) -> Column:
+    """DAT1 stage 1: rewrite any accepted layout to ``yyyy-M-d`` (other text unchanged)."""
+    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
+    iso = t
+    for pattern, rewrite in DATE_LAYOUTS:
+        iso = F.regexp_replace(iso, pattern, rewrite)
+    return iso
+
+
+def date_from_iso(iso) -> Column:
+    """DAT1 stage 2: cast only the exact ``yyyy-M-d`` shape; impossible days -> NULL."""
+    iso = col_(iso)
+    return F.when(iso.rlike(ISO_DAY), iso.try_cast(T.DateType()))
+
+
 def parse_date(c, normalized: bool = False) -> Column:
     """DAT1: text in any accepted layout -> DATE; NULL when blank or unparseable.
 
     Each layout is rewritten to ``yyyy-M-d`` by one regex replace; only that
     exact shape is cast, so impossible days (``02/30/2026``) are NULL and
     nothing else is guessed.  ``normalized=True``: input is trimmed text.
+    Staged callers project :func:`date_iso` and decode with :func:`date_from_iso`.
     """
-    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    iso = t
-    for pattern, rewrite in DATE_LAYOUTS:
-        iso = F.regexp_replace(iso, pattern, rewrite)
-    return F.when(iso.rlike(ISO_DAY), iso.try_cast(T.DateType()))
+    return date_from_iso(date_iso(c, normalized))
 
 
 def date_key(c) -> Column:

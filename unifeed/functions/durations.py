@@ -66,20 +66,36 @@ def duration_text(c) -> Column:
     return F.lower(missing_to_null(col_(c).cast(T.StringType())))
 
 
+# The same shape with the ranges encoded (hour 0-23, minute/second 0-59).
+CLOCK_STRICT = r"^([01]?\d|2[0-3]):?([0-5]\d)(:([0-5]\d))?$"
+
+
+def clock_digits(c, normalized: bool = False) -> Column:
+    """DAT2 stage 1: the digits of a valid clock text (``930``, ``0930``,
+    ``93015``, ``174510``), NULL when the text is not a valid clock."""
+    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
+    return F.when(t.rlike(CLOCK_STRICT), F.regexp_replace(t, r"[^0-9]", ""))
+
+
+def clock_from_digits(d) -> Column:
+    """DAT2 stage 2: digits -> seconds of day.  3-4 digits are ``[H]HMM``, 5-6
+    digits ``[H]HMMSS`` -- unambiguous because minutes and seconds always
+    have two digits."""
+    d = col_(d)
+    v = d.cast("int")
+    hi = F.floor(v / 100).cast("int")
+    return F.when(F.length(d) <= 4, hi * 3600 + (v % 100) * 60) \
+        .otherwise(F.floor(v / 10000).cast("int") * 3600 + (hi % 100) * 60 + v % 100)
+
+
 def clock_seconds(c, normalized: bool = False) -> Column:
     """DAT2: clock text (``10:00``, ``9:30``, ``0900``, ``17:45:10``) -> seconds of day.
 
-    One regex validates the shape and one rewrites it to ``H:MM:S``; the parts
-    are then cut by a plain split (casts only ever see digits).  Out-of-range
-    parts (hour > 23, minute/second > 59) give NULL.
+    Out-of-range parts (hour > 23, minute/second > 59) give NULL.  Staged
+    callers should project :func:`clock_digits` first and decode it with
+    :func:`clock_from_digits` in the next projection.
     """
-    t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    parts = F.split(F.regexp_replace(t, CLOCK_PATTERN, "$1:$2:$4"), ":")
-    h = F.try_element_at(parts, F.lit(1)).try_cast("int")
-    m = F.try_element_at(parts, F.lit(2)).try_cast("int")
-    sec = F.coalesce(digits_to(F.try_element_at(parts, F.lit(3))), F.lit(0))
-    return F.when(t.rlike(CLOCK_PATTERN),
-                  F.when((h < 24) & (m < 60) & (sec < 60), h * 3600 + m * 60 + sec))
+    return clock_from_digits(clock_digits(c, normalized))
 
 
 def timestamp_seconds(c) -> Column:

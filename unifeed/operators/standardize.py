@@ -85,14 +85,23 @@ def _normalized(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
 
 
 def _parsed(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
-    """Stage 3: typed values parsed from the normalised text columns."""
-    return df.select(
-        dates.parse_date("t_date", normalized=True).alias("date"),
-        durations.clock_seconds("t_start", normalized=True).alias("start_s"),
-        durations.clock_seconds("t_end", normalized=True).alias("end_s"),
+    """Stages 3-4: prepared parse inputs (each regex once per cell), then typed values."""
+    names = [p if isinstance(p, str) else None for p in passthrough]
+    prep = df.select(
+        dates.date_iso("t_date", normalized=True).alias("_iso"),
+        durations.clock_digits("t_start", normalized=True).alias("_sd"),
+        durations.clock_digits("t_end", normalized=True).alias("_ed"),
         durations.duration_hours("t_dur", normalized=True, positive_only=False).alias("given_raw"),
-        "event_name", "location", *passthrough).withColumn(
-        "given_hours", F.when(F.col("given_raw") > 0, F.col("given_raw")))
+        "event_name", "location", *passthrough)
+    keep = [n for n in names if n is not None] + [c for c in prep.columns
+                                                  if c not in ("_iso", "_sd", "_ed", "given_raw",
+                                                               "event_name", "location") and c not in names]
+    return prep.select(
+        dates.date_from_iso("_iso").alias("date"),
+        durations.clock_from_digits("_sd").alias("start_s"),
+        durations.clock_from_digits("_ed").alias("end_s"),
+        F.when(F.col("given_raw") > 0, F.col("given_raw")).alias("given_hours"),
+        "event_name", "location", *keep)
 
 
 def community_log(raw: DataFrame, data_source: str = "community_engagement",
@@ -240,10 +249,15 @@ def dispatch_export(raw: DataFrame, routes: DataFrame, data_source: str = "cad_c
         blank_to_null(g("Squad")).alias("squad"),
         F.coalesce(blank_to_null(g("Officer")), F.lit("")).alias("attendee_names"),
         *keep_cols)
-    s2 = s1.select(
-        "case_no", dates.parse_date("t_call", normalized=True).alias("date"),
-        durations.clock_seconds("t_out", normalized=True).alias("out_s"),
-        durations.clock_seconds("t_in", normalized=True).alias("in_s"),
+    s15 = s1.select(
+        "case_no", dates.date_iso("t_call", normalized=True).alias("_iso"),
+        durations.clock_digits("t_out", normalized=True).alias("_od"),
+        durations.clock_digits("t_in", normalized=True).alias("_id"),
+        "event_name", "location", "squad", "attendee_names", *kept)
+    s2 = s15.select(
+        "case_no", dates.date_from_iso("_iso").alias("date"),
+        durations.clock_from_digits("_od").alias("out_s"),
+        durations.clock_from_digits("_id").alias("in_s"),
         "event_name", "location", "squad", "attendee_names", *kept)
     dur, imputed, end_s = durations.memorial_guard("out_s", "in_s")
     base = s2.select(
