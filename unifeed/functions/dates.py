@@ -25,10 +25,11 @@ MONTH_ABBR = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN",
 def date_iso(c, normalized: bool = False) -> Column:
     """DAT1 stage 1: rewrite any accepted layout to ``yyyy-M-d`` (other text unchanged)."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    iso = t
-    for pattern, rewrite in DATE_LAYOUTS:
-        iso = F.regexp_replace(iso, pattern, rewrite)
-    return iso
+    (iso_p, iso_r), (us4_p, us4_r), (us2_p, us2_r) = DATE_LAYOUTS
+    # slash layouts and dash layouts are disjoint: test the cheap character first
+    return F.when(F.instr(t, "/") > 0,
+                  F.regexp_replace(F.regexp_replace(t, us4_p, us4_r), us2_p, us2_r)) \
+        .otherwise(F.regexp_replace(t, iso_p, iso_r))
 
 
 def date_from_iso(iso) -> Column:

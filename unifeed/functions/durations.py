@@ -74,7 +74,7 @@ def clock_digits(c, normalized: bool = False) -> Column:
     """DAT2 stage 1: the digits of a valid clock text (``930``, ``0930``,
     ``93015``, ``174510``), NULL when the text is not a valid clock."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    return F.when(t.rlike(CLOCK_STRICT), F.regexp_replace(t, r"[^0-9]", ""))
+    return F.when(t.rlike(CLOCK_STRICT), F.translate(t, ":", ""))
 
 
 def clock_from_digits(d) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import blank_to_null, col_, to_double
+from .text import blank_to_null, col_, to_double, ws_trim
 
 # Tokens ignored when comparing locations (STR3).
 LOCATION_STOPWORDS = ("the", "and", "of", "at", "a", "an")
@@ -67,5 +67,5 @@ def compose_location(business, st_number, street) -> Column:
     as_int = to_double(num).try_cast(T.LongType()).cast("string")
     num_txt = F.coalesce(as_int, num, F.lit(""))
     st = F.coalesce(blank_to_null(street), F.lit(""))
-    addr = F.regexp_replace(F.concat_ws(" ", num_txt, st), r"^\s+|\s+$", "")
+    addr = ws_trim(F.concat_ws(" ", num_txt, st))
     return F.coalesce(blank_to_null(business), addr)

@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 # ``float``: no ``1_000``, ``inf``, ``nan``; stricter than Spark casts: no ``2d``).
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INT_PATTERN = r"^\d+$"
-# Leading/trailing whitespace, the analogue of Python ``str.strip``.
+# Leading/trailing whitespace, the analogue of Python ``str.strip`` (the
+# characters of the regex class ``\s``: space, tab, LF, CR, FF, VT).
 EDGE_WS = r"^\s+|\s+$"
+WS_CHARS = " \t\n\r\f\u000b"
 # Text values that mean "missing" in spreadsheet exports.
 MISSING_WORDS = ("nan", "none", "nat", "null")
 
@@ -24,31 +26,25 @@ def col_(c) -> Column:
 
 
 def ws_trim(c) -> Column:
-    """Strip whitespace of any kind at both ends (``trim`` strips spaces only)."""
-    return F.regexp_replace(col_(c), EDGE_WS, "")
+    """Strip whitespace at both ends (plain ``trim`` strips spaces only); a
+    character-set trim, no regex."""
+    return F.trim(col_(c), F.lit(WS_CHARS))
 
 
 def blank_to_null(c) -> Column:
-    """Trimmed text, NULL when the cell is NULL or only whitespace (FLT9).
-
-    The input is referenced once by a cheap ``rlike`` and once by the trim,
-    so nesting this expression does not multiply regex work.
-    """
-    x = col_(c).cast(T.StringType())
-    return F.when(x.rlike(r"\S"), ws_trim(x))
+    """Trimmed text, NULL when the cell is NULL or only whitespace (FLT9)."""
+    t = ws_trim(col_(c).cast(T.StringType()))
+    return F.when(t != F.lit(""), t)
 
 
 def is_blank(c) -> Column:
-    return ~F.coalesce(col_(c).cast(T.StringType()).rlike(r"\S"), F.lit(False))
-
-
-MISSING_PATTERN = r"(?i)^\s*(" + "|".join(MISSING_WORDS) + r")\s*$"
+    return blank_to_null(c).isNull()
 
 
 def missing_to_null(c) -> Column:
     """Like :func:`blank_to_null` but also maps ``nan``/``none``/``nat``/``null``."""
-    x = col_(c).cast(T.StringType())
-    return F.when(x.rlike(r"\S") & ~x.rlike(MISSING_PATTERN), ws_trim(x))
+    t = ws_trim(col_(c).cast(T.StringType()))
+    return F.when((t != F.lit("")) & ~F.lower(t).isin(*MISSING_WORDS), t)
 
 
 def to_double(c) -> Column:

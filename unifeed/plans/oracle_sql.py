@@ -31,7 +31,7 @@ def q(s: str) -> str:
 
 
 def trim_ws(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
 
 
 def b2n(x: str) -> str:
