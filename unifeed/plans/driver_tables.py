@@ -30,8 +30,11 @@ SPREAD_TABLES = ("lineitem", "orders", "events", "documents", "conversations", "
                  "customer", "part", "embeddings")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread_scan=name in SPREAD_TABLES)
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One driver table; fact tables are spread over the cores when the file has
+    too few splits (``spread=False`` keeps simple predicates at the scan)."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet",
+                        spread_scan=spread and name in SPREAD_TABLES)
 
 
 def _case(key: Column, mod: int, *values) -> Column:

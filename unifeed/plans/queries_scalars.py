@@ -234,7 +234,7 @@ FROM orders WHERE o_orderdate >= DATE '1998-03-01' AND o_orderdate < DATE '1998-
 def period_filter(spark, sf_dir):
     """FLT3 month filter (sargable, pushed to the scan), period from a file name (SRC7), DAT4."""
     first = dates.period_from_file_name(F.lit("1998_03_CE_orders.xlsx"))
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=False)
     d = F.col("o_orderdate")
     # compare the timestamp column with timestamp bounds so the predicate reaches parquet
     f = o.where((d >= first.cast("timestamp_ntz")) & (d < F.add_months(first, 1).cast("timestamp_ntz")))
@@ -247,7 +247,7 @@ def period_filter(spark, sf_dir):
 FROM orders WHERE o_orderdate >= DATE '1999-06-01' AND o_orderdate < DATE '2000-07-01' GROUP BY ALL""")
 def rolling_window(spark, sf_dir):
     """FLT4 13-calendar-month window ending in the month of ``as_of`` (2000-06-15)."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=False)
     as_of = F.lit("2000-06-15").cast("date")
     d = F.col("o_orderdate")
     start = F.add_months(F.trunc(as_of, "MM"), -12).cast("timestamp_ntz")

@@ -19,8 +19,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A file stored as one row group is read by one task; the round-robin
     repartition lets every core parse it.  When the scan already has enough
     splits -- the normal case for large inputs -- the frame is returned as
-    is and no shuffle is added.  Filters and column pruning still pass
-    through the repartition to the scan.
+    is and nothing is added.
+
+    When it does repartition, a row-preserving filter on the partition id
+    (always true, but non-deterministic to the optimizer) sits above the
+    exchange, so predicates on *derived* columns (a parsed date, a
+    contamination rule) are evaluated by all tasks after the spread instead
+    of being pushed into the single scan task.  Column pruning still reaches
+    the scan.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
@@ -28,7 +34,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         n = df.rdd.getNumPartitions()
     except Exception:  # e.g. a client session without RDD access
         return df
-    return df.repartition(target) if n < target else df
+    if n >= target:
+        return df
+    return df.repartition(target).where(F.spark_partition_id() >= 0)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], spread_scan: bool = False) -> DataFrame:
