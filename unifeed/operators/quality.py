@@ -50,15 +50,16 @@ def combined_score(df: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> Da
 
 def quality_scores(df: DataFrame, as_of_year: int, fields: Sequence[str] = CRITICAL_FIELDS,
                    date_col: str = "date", duration_col: str = "duration_hours",
-                   count_col: str = "attendee_count") -> DataFrame:
+                   count_col: str = "attendee_count", date_kinds: str = "type") -> DataFrame:
     """QLT2-QLT6 on a frame of raw text cells: completeness, consistency,
     accuracy, uniqueness, overall and label -- one row.
 
     * completeness: NULL cells over the critical fields; an absent field counts
       as all missing; an empty frame scores 0.
-    * consistency: dates whose kind (parseable date vs text) is in the
-      minority, durations that are not numbers, counts that are not
-      non-negative numbers.
+    * consistency: dates whose kind is in the minority -- ``date_kinds="type"``
+      (the reference: the cell type; one typed or one text column has a single
+      kind) or ``"parse"`` (parseable date vs other text) --, durations that
+      are not numbers, counts that are not non-negative numbers.
     * accuracy: numeric durations outside [0, 24], counts outside [0, 1000],
       parseable dates with year outside [2020, as_of_year + 1].
     * uniqueness: rows repeating an earlier row on the available key fields.
@@ -99,8 +100,8 @@ def quality_scores(df: DataFrame, as_of_year: int, fields: Sequence[str] = CRITI
     c = F.col
     if date_col in df.columns:
         checks = checks + c("_d_nn")
-        minority = F.least(c("_d_ok"), c("_d_nn") - c("_d_ok"))
-        issues = issues + minority
+        if date_kinds == "parse":
+            issues = issues + F.least(c("_d_ok"), c("_d_nn") - c("_d_ok"))
         acc_total = acc_total + c("_d_ok")
         acc_bad = acc_bad + c("_d_bad")
     if duration_col in df.columns:

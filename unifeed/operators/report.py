@@ -48,7 +48,8 @@ def office_summary(feed: DataFrame, keys: Sequence[str] = ("office", "division")
         F.coalesce(F.sum("attendee_count"), F.lit(0)).cast("long").alias("total_attendees"),
         round_half_even(F.avg("attendee_count"), 2).alias("avg_attendees"),
         round_half_even(exact_sum("duration_hours"), 2).alias("total_hours"),
-        round_half_even(exact_sum("duration_hours") / F.count("duration_hours"), 2).alias("avg_hours"),
+        round_half_even(F.try_divide(exact_sum("duration_hours"), F.count("duration_hours")), 2)
+        .alias("avg_hours"),
     )
 
 

@@ -20,7 +20,8 @@ SELECT office, division, count(event_name) AS n_events,
   CAST(coalesce(sum(attendee_count), 0) AS BIGINT) AS total_attendees,
   round_even(avg(attendee_count), 2) AS avg_attendees,
   round_even({S.exact_sum('duration_hours')}, 2) AS total_hours,
-  round_even({S.exact_sum('duration_hours')} / count(duration_hours), 2) AS avg_hours
+  round_even(CASE WHEN count(duration_hours) > 0 THEN {S.exact_sum('duration_hours')} / count(duration_hours) END, 2)
+    AS avg_hours
 FROM feed WHERE office IS NOT NULL AND division IS NOT NULL GROUP BY office, division""")
 def feed_office_summary(spark, sf_dir):
     """Flagship. §3.1 end to end: 4 sources -> union -> FLT1 -> JOI1 -> AGG1."""

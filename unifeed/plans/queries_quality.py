@@ -75,7 +75,7 @@ a AS (SELECT count(*) AS n,
   count(attendee_count) AS c_nn, count_if(cnt IS NOT NULL AND cnt >= 0) AS c_okn, count(cnt) AS c_num,
   count_if(cnt IS NOT NULL AND NOT (cnt BETWEEN 0 AND 1000)) AS c_bad FROM p),
 s AS (SELECT CASE WHEN n > 0 THEN {_pct('n * 4 - miss', 'n * 4')} ELSE 0.0 END AS completeness,
-  d_nn + u_nn + c_nn AS checks, least(d_ok, d_nn - d_ok) + (u_nn - u_num) + (c_nn - c_okn) AS issues,
+  d_nn + u_nn + c_nn AS checks, (u_nn - u_num) + (c_nn - c_okn) AS issues,
   d_ok + u_num + c_num AS acc_total, d_bad + u_bad + c_bad AS acc_bad FROM a),
 g AS (SELECT count(*) AS k FROM qa GROUP BY event_name, date, office, division),
 u AS (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS duplicate_count, coalesce(sum(k), 0) AS r FROM g),
