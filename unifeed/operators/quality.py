@@ -116,21 +116,17 @@ def quality_scores(df: DataFrame, as_of_year: int, fields: Sequence[str] = CRITI
         acc_bad = acc_bad + c("_c_bad")
     consistency = F.when(checks > 0, pct(checks - issues, checks)).otherwise(F.lit(100.0))
     accuracy = F.when(acc_total > 0, pct(acc_total - acc_bad, acc_total)).otherwise(F.lit(100.0))
-    scores = agg.select("completeness", consistency.alias("consistency"), accuracy.alias("accuracy"),
-                        issues.cast("long").alias("format_issues"), acc_bad.cast("long").alias("logical_issues"),
-                        F.lit(1).alias("_one"))
     keys = [f for f in fields if f in df.columns]
     if keys:
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
-        u = g.agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long").alias("duplicate_count"),
-                  F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("_rows"))
-        uniq = u.select("duplicate_count",
-                        F.when(F.col("_rows") > 0, pct(F.col("_rows") - F.col("duplicate_count"), F.col("_rows")))
-                        .otherwise(F.lit(100.0)).alias("uniqueness"), F.lit(1).alias("_one"))
+        # repeated key tuples, as a scalar subquery over one grouping pass
+        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k")) \
+            .agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long")).scalar()
     else:
-        uniq = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_count"),
-                                               F.lit(100.0).alias("uniqueness"), F.lit(1).alias("_one"))
-    j = scores.join(F.broadcast(uniq), "_one").drop("_one")
+        dup = F.lit(0).cast("long")
+    uniqueness = F.when(c("_n") > 0, pct(c("_n") - dup, c("_n"))).otherwise(F.lit(100.0))
+    j = agg.select("completeness", consistency.alias("consistency"), accuracy.alias("accuracy"),
+                   issues.cast("long").alias("format_issues"), acc_bad.cast("long").alias("logical_issues"),
+                   dup.alias("duplicate_count"), uniqueness.alias("uniqueness"))
     overall = (F.col("completeness") + F.col("consistency") + F.col("accuracy") + F.col("uniqueness")) / 4.0
     ov = round_half_even(overall, 1)
     return j.withColumn("label", quality_label(overall)).withColumn("overall", ov)
@@ -213,15 +209,15 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def frame_summary(df: DataFrame) -> DataFrame:
-    """QLT8: rows, columns, all-NULL rows, duplicate rows (whole row, NULL = NULL)."""
+    """QLT8: rows, columns, all-NULL rows, duplicate rows (whole row, NULL = NULL).
+
+    One grouping pass over whole rows; every figure is summed from the groups."""
     all_null = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() for c in df.columns])
-    a = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(all_null).alias("all_null_rows")) \
-        .withColumn("_one", F.lit(1))
     g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_k"))
-    d = g.agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long").alias("duplicate_rows")) \
-        .withColumn("_one", F.lit(1))
-    return a.join(F.broadcast(d), "_one").select("rows", F.lit(len(df.columns)).alias("columns"),
-                                                 "all_null_rows", "duplicate_rows")
+    return g.agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("rows"),
+                 F.lit(len(df.columns)).alias("columns"),
+                 F.coalesce(F.sum(F.when(all_null, F.col("_k"))), F.lit(0)).cast("long").alias("all_null_rows"),
+                 F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def bad_column_names(columns: Sequence[str]) -> list[str]:

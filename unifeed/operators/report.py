@@ -70,13 +70,11 @@ def bureau_rollup(feed: DataFrame) -> DataFrame:
 def value_share(df: DataFrame, key: str, scale: int = 2) -> DataFrame:
     """AGG3: value counts with percent of total (NULL keys are a group too).
 
-    The total is a one-row aggregate, equi-joined back on a constant key and
-    broadcast (its size is exactly one row).
+    The total is a scalar subquery (computed once, no join of the groups).
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("_one", F.lit(1))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
-    return counts.join(F.broadcast(total), "_one").select(
-        key, "n", numbers.pct(F.col("n"), F.col("_total"), scale).alias("pct"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.select(key, "n", numbers.pct(F.col("n"), total, scale).alias("pct"))
 
 
 def crosstab_margins(df: DataFrame, row_key: str, col_key: str, all_label: str = "All") -> DataFrame:

@@ -63,10 +63,9 @@ def run_summary(spark: SparkSession, feed: DataFrame, sources: list[str], errors
     error texts (a handful of strings) come from the driver."""
     from ..operators.quality import combined_score
     s = combined_score(feed)
-    meta = spark.createDataFrame([(started, sources, errors)],
-                                 "started timestamp, sources array<string>, errors array<string>")
-    one = F.lit(1)
-    return meta.withColumn("_one", one).join(F.broadcast(s.withColumn("_one", one)), "_one").drop("_one")
+    texts = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
+    return s.select(F.lit(started).cast("timestamp").alias("started"), texts(sources).alias("sources"),
+                    texts(errors).alias("errors"), "*")
 
 
 def roundtrip_check(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -84,16 +83,18 @@ def roundtrip_check(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame
         back = df.sparkSession.read.format(fmt).load(path)
     cols = df.columns
 
-    def profile(x: DataFrame, tag: str) -> DataFrame:
-        return x.agg(F.count(F.lit(1)).alias(f"rows_{tag}"),
-                     F.array(*[F.count_if(F.col(f"`{c}`").isNull()) for c in cols]).alias(f"nulls_{tag}")) \
-            .withColumn("_one", F.lit(1))
+    def nulls(x: DataFrame):
+        return F.array(*[F.count_if(F.col(f"`{c}`").isNull()) for c in cols])
 
-    a, b = profile(df, "out"), profile(back, "in")
-    missing = df.exceptAll(back).agg(F.count(F.lit(1)).alias("rows_lost")).withColumn("_one", F.lit(1))
-    extra = back.exceptAll(df).agg(F.count(F.lit(1)).alias("rows_added")).withColumn("_one", F.lit(1))
-    j = a.join(b, "_one").join(missing, "_one").join(extra, "_one").drop("_one")
+    # the written side is the main row; the read-back side and both
+    # differences are scalar subqueries (no join of one-row frames)
+    back_stats = back.agg(F.struct(F.count(F.lit(1)).alias("rows"), nulls(back).alias("nulls"))).scalar()
+    lost = df.exceptAll(back).agg(F.count(F.lit(1))).scalar()
+    added = back.exceptAll(df).agg(F.count(F.lit(1))).scalar()
     same_cols = back.columns == cols
+    j = df.agg(F.count(F.lit(1)).alias("rows_out"), nulls(df).alias("nulls_out")).select(
+        "rows_out", back_stats["rows"].alias("rows_in"), "nulls_out", back_stats["nulls"].alias("nulls_in"),
+        lost.alias("rows_lost"), added.alias("rows_added"))
     return j.select("rows_out", "rows_in", F.lit(same_cols).alias("same_columns"),
                     (F.col("nulls_out") == F.col("nulls_in")).alias("same_nulls"),
                     "rows_lost", "rows_added",
