@@ -153,3 +153,18 @@ def test_landing_stream_available_now(spark):
     q.awaitTermination(120)
     got = spark.read.parquet(out).collect()
     assert [r.event_name for r in got] == ["Fair"]
+
+
+def test_production_job_and_gates(spark):
+    from unifeed.operators import quality
+    from unifeed.plans.feed import run_production
+    d = tempfile.mkdtemp(prefix="unifeed-prod-")
+    paths = run_production(spark, "/root/testdata/sf0.001", d)
+    feed = spark.read.parquet(paths["combined"])
+    summary = spark.read.parquet(paths["office_summary"])
+    assert feed.count() > 0 and summary.count() > 0
+    assert summary.agg(F.sum("n_events")).first()[0] == feed.where("office is not null and division is not null") \
+        .agg(F.count("event_name")).first()[0]
+    q = quality.quality_gate(spark.read.parquet(paths["quality"]), "quality_score", 75.0).first()
+    assert q.passed is True
+    assert quality.event_header_columns(["Date of Event", "Squad", "Attendees"]) == ["Date of Event", "Attendees"]

@@ -31,6 +31,11 @@ MAX_COLUMNS = 16_000
 MAX_NAME_LENGTH = 128
 FORBIDDEN_NAME_CHARS = "[]{}()\"'\\/\t\n\r"
 RESERVED_NAMES = ("null", "true", "false")
+# Header keywords that mark event-related columns (STR16).
+EVENT_HEADER_KEYWORDS = ("event", "name", "program", "activity", "date", "time", "location", "venue",
+                         "member", "staff", "attend")
+# Default minimum quality score of a run (QLT10).
+MIN_QUALITY_SCORE = 75.0
 
 
 def _one(df: DataFrame, *cols: Column) -> DataFrame:
@@ -259,3 +264,22 @@ def export_check(df: DataFrame) -> DataFrame:
     return a.select("rows", F.lit(len(df.columns)).alias("columns"), "max_text_length", "over_limit_cells",
                     F.lit(len(names_bad)).alias("bad_column_names"), F.lit(type_score).alias("type_score"),
                     score.alias("score"), label.alias("label"))
+
+
+def event_header_columns(columns: Sequence[str], keywords: Sequence[str] = EVENT_HEADER_KEYWORDS) -> list[str]:
+    """STR16: headers containing any event keyword (case-insensitive) -- schema
+    metadata only, no data is read."""
+    return [c for c in columns if any(k in str(c).lower() for k in keywords)]
+
+
+def quality_gate(scores: DataFrame, score_col: str = "overall", min_score: float = MIN_QUALITY_SCORE,
+                 strict: bool = False) -> DataFrame:
+    """QLT10: flag a run whose score is below ``min_score``; ``strict`` fails the
+    job with ``raise_error`` instead (evaluated on the executors)."""
+    ok = F.col(score_col) >= F.lit(min_score)
+    out = scores.withColumn("passed", ok)
+    if strict:
+        out = out.withColumn("passed", F.when(ok, F.lit(True)).otherwise(
+            F.raise_error(F.format_string("quality score %s below %s", F.col(score_col).cast("string"),
+                                          F.lit(str(min_score))))))
+    return out

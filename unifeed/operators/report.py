@@ -240,6 +240,11 @@ def presentation(feed: DataFrame, row_id: str | None = None) -> DataFrame:
     return out.where(F.col("Date").isNotNull())
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """SRT3: the first ``n`` rows for a look (the limit is the feature)."""
+    return df.limit(n)
+
+
 def sorted_for_sink(df: DataFrame, *cols: str) -> DataFrame:
     """SRT1: global sort at the sink only (range-partitioned, no single task)."""
     return df.orderBy(*cols)

@@ -88,3 +88,31 @@ def _build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool,
     feed = record.unionByName(gap_kept)
     return FeedRun(feed=feed, sources=sources, removed=removed, gap_dropped=gap_dropped,
                    routed=routed)
+
+
+def run_production(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """§3.1 as a job: build the feed, write it (SNK1, month-partitioned parquet),
+    then compute every report from the *written* table -- the write cuts the
+    lineage, so a lost executor during reporting re-reads the table instead of
+    recomputing four sources -- and write the result tables (SNK2-SNK5)."""
+    import datetime as _dt2
+
+    from ..operators import quality, report
+    from ..sources import sinks
+
+    started = _dt2.datetime.now(_dt2.timezone.utc).replace(tzinfo=None)
+    run = build_feed(spark, sf_dir)
+    feed_path = sinks.write_feed(run.feed, f"{out_dir.rstrip('/')}/combined")
+    feed = spark.read.parquet(feed_path).drop("year_month")
+    tables = {
+        "office_summary": report.office_summary(feed),
+        "bureau_rollup": report.bureau_rollup(feed),
+        "presentation": report.presentation(feed),
+        "removed_rows": run.removed,
+        "gap_dropped": run.gap_dropped,
+        "run_summary": sinks.run_summary(spark, feed, list(run.sources), [], started),
+        "quality": quality.combined_score(feed),
+    }
+    paths = sinks.write_tables(tables, out_dir)
+    paths["combined"] = feed_path
+    return paths
