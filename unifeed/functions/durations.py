@@ -122,12 +122,18 @@ def pick_duration(given, elapsed, default: float | None = DEFAULT_HOURS,
     return round_half_even(F.coalesce(*parts), scale)
 
 
+def _two_digits(x: Column) -> Column:
+    """``%02d`` for a non-negative integer without ``java.util.Formatter``."""
+    t = x.cast("string")
+    return F.when(x < 10, F.concat(F.lit("0"), t)).otherwise(t)
+
+
 def hhmm(seconds) -> Column:
     """TIM1: seconds -> ``HH:MM`` (minutes floored; hours may exceed 23)."""
     s = col_(seconds)
-    return F.when(s.isNotNull(),
-                  F.format_string("%02d:%02d", F.floor(s / 3600).cast("int"),
-                                  F.floor((s % 3600) / 60).cast("int")))
+    h = F.floor(s / 3600)
+    m = F.floor((s % 3600) / 60)
+    return F.when(s.isNotNull(), F.concat(_two_digits(h), F.lit(":"), _two_digits(m)))
 
 
 def add_minutes_of_day(seconds, minutes: int = 30) -> Column:

@@ -13,8 +13,10 @@ side is pre-aggregated to ``min(row_idx)`` per key, so no step materialises
 the pairs of a date:
 
 * equal keys              -> join on (date, key)
-* log key inside CAD key  -> CAD key substrings joined to log keys
-* CAD key inside log key  -> log key substrings (aggregated) joined to CAD keys
+* one key inside another  -> suffixes of the longer key blocked on their first
+                             four characters, checked with ``startswith``
+                             (keys under four characters: exact join on short
+                             substrings) -- O(L) rows per key, not O(L^2)
 * token Jaccard >= 0.5    -> prefix filtering on distinct token sets ordered by
                              global token frequency (any two sets with
                              Jaccard >= t share a token in their prefixes)
@@ -37,15 +39,6 @@ PRESENT, SPLIT, CONFLICT, MISSING = "PRESENT", "SPLIT_SUGGESTED", "CONFLICT", "M
 CLASSES = (PRESENT, SPLIT, CONFLICT, MISSING)
 
 
-def substrings(key: Column) -> Column:
-    """All distinct non-empty substrings of ``key`` (an array; empty for '')."""
-    n = F.length(key)
-    return F.when(n > 0, F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(i, n), lambda j: F.substring(key, i, j - i + 1))))))\
-        .otherwise(F.array().cast("array<string>"))
-
-
 def _prefix_len(size: Column) -> Column:
     # |x| - ceil(0.5 * |x|) + 1 tokens: a pair with Jaccard >= 0.5 shares one of them
     return size - F.ceil(size * F.lit(places.JACCARD_MIN)).cast("int") + 1
@@ -83,18 +76,59 @@ def _jaccard_hits(cad: DataFrame, log: DataFrame, name: str) -> DataFrame:
     return cset.join(ok, ["date", "toks"]).select("cad_id", name)
 
 
+PREFIX_LEN = 4  # q of the q-character prefix used to block containment tests
+
+
+def suffixes(key: Column, min_len: int = 1) -> Column:
+    """Every suffix of ``key`` with at least ``min_len`` characters (L per key)."""
+    n = F.length(key)
+    return F.when(n >= min_len, F.transform(F.sequence(F.lit(1), n - min_len + 1),
+                                            lambda i: F.substring(key, i, n - i + 1))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def short_substrings(key: Column, max_len: int = PREFIX_LEN - 1) -> Column:
+    """Distinct substrings of ``key`` shorter than the blocking prefix (<= 3L per key)."""
+    n = F.length(key)
+
+    def of_length(ln: int):
+        # one-argument lambda: ``transform`` reads a second parameter as the index
+        return lambda i: F.substring(key, i, ln)
+
+    parts = [F.when(n >= ln, F.transform(F.sequence(F.lit(1), n - ln + 1), of_length(ln)))
+             .otherwise(F.array().cast("array<string>")) for ln in range(1, max_len + 1)]
+    return F.array_distinct(F.flatten(F.array(*parts)))
+
+
+def _contained(x: DataFrame, y_values: DataFrame, x_col: str, y_col: str, keep: list[str]) -> DataFrame:
+    """Rows of ``x`` joined to rows of ``y_values`` whose text contains ``x[x_col]``
+    on the same date -- exact, with O(L) expansion per key:
+
+    * keys shorter than the prefix: equi-join against ``y``'s short substrings;
+    * longer keys: equi-join on (date, first ``PREFIX_LEN`` characters) against
+      ``y``'s suffixes, then ``startswith(suffix, key)``.
+    """
+    short = x.where(F.length(x_col) < PREFIX_LEN)
+    long_ = x.where(F.length(x_col) >= PREFIX_LEN).withColumn("_pre", F.substring(x_col, 1, PREFIX_LEN))
+    ys = y_values.select("date", F.explode(short_substrings(F.col(y_col))).alias(x_col), *keep)
+    ysuf = y_values.select("date", F.explode(suffixes(F.col(y_col), PREFIX_LEN)).alias("_suf"), *keep) \
+        .withColumn("_pre", F.substring("_suf", 1, PREFIX_LEN))
+    a = short.join(ys, ["date", x_col])
+    b = long_.join(ysuf, ["date", "_pre"]).where(F.col("_suf").startswith(F.col(x_col))).drop("_pre", "_suf")
+    return a.unionByName(b)
+
+
 def _containment_hits(cad: DataFrame, keyed_log: DataFrame, name: str) -> list[DataFrame]:
-    """Equal keys, log key inside CAD key, CAD key inside log key (STR4 first half)."""
+    """Equal keys, log key inside CAD key, CAD key inside log key (STR4 first half).
+
+    The log side is always reduced to ``min(row_idx)`` per distinct (date, key)
+    before it meets dispatch rows."""
     lk = keyed_log.where(F.col("lkey") != "").groupBy("date", "lkey").agg(F.min("row_idx").alias("row_idx"))
-    c = cad.where(F.col("ckey") != "")
-    # log key is a substring of the CAD key (includes equality)
-    csub = c.select("cad_id", "date", F.explode(substrings(F.col("ckey"))).alias("lkey"))
-    h1 = _min_hit(csub, lk, ["date", "lkey"], name)
-    # CAD key is a substring of the log key
-    lsub = (keyed_log.where(F.col("lkey") != "")
-            .select("date", F.explode(substrings(F.col("lkey"))).alias("ckey"), "row_idx")
-            .groupBy("date", "ckey").agg(F.min("row_idx").alias("row_idx")))
-    h2 = _min_hit(c.select("cad_id", "date", "ckey"), lsub, ["date", "ckey"], name)
+    c = cad.where(F.col("ckey") != "").select("cad_id", "date", "ckey")
+    # log key is a substring of the CAD key (includes equality): x = log keys, y = CAD keys
+    h1 = _contained(lk, c, "lkey", "ckey", ["cad_id"]).groupBy("cad_id").agg(F.min("row_idx").alias(name))
+    # CAD key is a substring of the log key: x = CAD keys, y = distinct log keys
+    h2 = _contained(c, lk, "ckey", "lkey", ["row_idx"]).groupBy("cad_id").agg(F.min("row_idx").alias(name))
     return [h1, h2]
 
 

@@ -46,10 +46,18 @@ def _case(key: Column, mod: int, *values) -> Column:
     return expr
 
 
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _p2(c: Column) -> Column:
+    """Zero-padded two-digit text of a small non-negative integer (``%02d``)."""
+    return F.lpad(c.cast("string"), 2, "0")
+
+
 def _hms(seconds: Column) -> Column:
     s = seconds
-    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600).cast("int"),
-                           F.floor((s % 3600) / 60).cast("int"), (s % 60).cast("int"))
+    return F.concat_ws(":", _p2(F.floor(s / 3600)), _p2(F.floor((s % 3600) / 60)), _p2(s % 60))
 
 
 def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +68,13 @@ def community_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         k.alias("row_id"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("Date of Event"),
-        F.when(k % 9 != 0, F.format_string("%02d:%02d", 8 + k % 10, (k % 4) * 15)).alias("Start Time"),
-        F.when(k % 13 != 0, F.format_string("%02d:%02d", (14 + k % 10 + c % 3) % 24, (c % 4) * 15))
+        F.when(k % 9 != 0, F.concat(_p2(8 + k % 10), F.lit(":"), _p2((k % 4) * 15))).alias("Start Time"),
+        F.when(k % 13 != 0, F.concat(_p2((14 + k % 10 + c % 3) % 24), F.lit(":"), _p2((c % 4) * 15)))
          .alias("End Time"),
         F.when(k % 17 == 0, F.lit("Arrests")).when(k % 19 == 0, F.lit("Patrol (Monthly Total)"))
          .otherwise(F.col("o_orderpriority")).alias("Community Event"),
         _case(c, 3, F.upper(site), F.lower(site), F.concat(F.lit(" "), site, F.lit(" "))).alias("Event Location"),
-        _case(k, 5, F.format_string("%d:%02d", k % 3, (k % 4) * 15), F.lit("0 days 01:15:00"))
+        _case(k, 5, F.concat(_s(k % 3), F.lit(":"), _p2((k % 4) * 15)), F.lit("0 days 01:15:00"))
          .alias("Event Duration9"),
         _case(k, 6, None, "0", "2.0", "x", (c % 9).cast("string"), (c % 9).cast("string"))
          .alias("Member Count"),
@@ -81,10 +89,11 @@ def stacp_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.date_format("l_shipdate", "M/d/yyyy"))
     return li.select(
         date_txt.alias("Date"),
-        F.format_string("%02d%02d", 7 + n, (o % 4) * 15).alias("Start Time"),
-        F.format_string("%d:%02d", 8 + n + p % 3, (p % 4) * 15).alias("End Time"),
-        _case(n, 4, F.format_string("%d Hrs. %02d Mins", 1 + o % 5, (o % 2) * 30), F.lit("1 Hour "),
-              None, F.format_string("0 days %02d:%02d:00", p % 3, (s % 4) * 15)).alias("Total Time"),
+        F.concat(_p2(7 + n), _p2((o % 4) * 15)).alias("Start Time"),
+        F.concat(_s(8 + n + p % 3), F.lit(":"), _p2((p % 4) * 15)).alias("End Time"),
+        _case(n, 4, F.concat(_s(1 + o % 5), F.lit(" Hrs. "), _p2((o % 2) * 30), F.lit(" Mins")), F.lit("1 Hour "),
+              None, F.concat(F.lit("0 days "), _p2(p % 3), F.lit(":"), _p2((s % 4) * 15), F.lit(":00")))
+         .alias("Total Time"),
         F.concat(F.lit("Site "), (s % 50).cast("string")).alias("Location"),
         F.concat(F.lit("Outreach "), F.col("l_returnflag"), F.col("l_linestatus"))
          .alias("School Outreach Conducted "),
@@ -109,7 +118,7 @@ def patrol_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.regexp_replace(F.col("c_name"), "#", " "))
     return cu.select(
         c.alias("row_id"),
-        F.format_string("1/%d/2024", 1 + c % 31).alias("Date"),
+        F.concat(F.lit("1/"), _s(1 + c % 31), F.lit("/2024")).alias("Date"),
         F.lit(None).cast("string").alias("Start Time"),
         F.lit(None).cast("string").alias("End Time"),
         F.col("c_mktsegment").alias("Event Type"),
@@ -126,7 +135,7 @@ def cad_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     secs = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
     back = (secs + F.floor(F.col("value") * 60)) % 86400
     return ev.select(
-        F.when(e % 4 == 0, F.format_string("%d.0", 24000000 + e))
+        F.when(e % 4 == 0, F.concat(_s(24000000 + e), F.lit(".0")))
          .otherwise((24000000 + e).cast("string")).alias("ReportNumberNew"),
         F.col("ts").alias("Time of Call"),
         F.date_format("ts", "HH:mm:ss").alias("Time Out Display"),
@@ -134,10 +143,10 @@ def cad_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 23 == 0, F.lit("BWC Review Q2")).otherwise(F.col("event_type")).alias("Incident"),
         F.when(u % 3 == 0, F.concat(F.lit("Site "), (u % 50).cast("string")))
          .alias("SelfJoinCADNumber::Business Name"),
-        _case(u, 3, None, F.format_string("%d.0", u % 500), F.concat((u % 90).cast("string"), F.lit("B")))
+        _case(u, 3, None, F.concat(_s(u % 500), F.lit(".0")), F.concat((u % 90).cast("string"), F.lit("B")))
          .alias("St Number"),
         _case(u, 4, "Main St", "Elm Ave", None, "Oak Rd").alias("StreetName"),
-        F.format_string("Sgt. Ann%d Lane%d %d", u % 5, u % 11, 100 + u % 50).alias("Officer"),
+        F.concat(F.lit("Sgt. Ann"), _s(u % 5), F.lit(" Lane"), _s(u % 11), F.lit(" "), _s(100 + u % 50)).alias("Officer"),
         _case(e, 7, "COMM ENG", "CSB", "STA", "A2", "B3", "XYZ", None).alias("Squad"),
         F.lit("D1").alias("DispatcherNew"),
         e.alias("event_id"),
