@@ -128,9 +128,16 @@ res AS (SELECT c.*, CASE WHEN a.present_row IS NOT NULL THEN 'PRESENT' WHEN a.sp
 resl AS (SELECT r.*, l.location AS matched_loc FROM res r LEFT JOIN lg l ON l.row_idx = r.matched_row)"""
 
 
+_PLANS: dict = {}
+
+
 def _reconciled(spark, sf_dir):
-    cad, log = recon_sides(spark, sf_dir)
-    return R.reconcile(cad, log), log
+    """The reconciliation plan (lazy, not data), memoised per session and input."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        cad, log = recon_sides(spark, sf_dir)
+        _PLANS[key] = (R.reconcile(cad, log), log)
+    return _PLANS[key]
 
 
 @register("reconcile", f"""{_RECON_SQL}
