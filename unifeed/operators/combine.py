@@ -3,8 +3,6 @@ alias lookup (FLT1, FLT2, JOI1, JOI3, NUM5, OUT2, OUT4)."""
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +136,3 @@ def apply_alias_table(names: DataFrame, alias: DataFrame, id_col: str, names_col
                               lambda x: x.isNotNull())).alias("_items"))
     return grouped.select(id_col, F.transform("_items", lambda x: x["n"]).alias(names_col))
 
-
-def key_columns(cols: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in cols]

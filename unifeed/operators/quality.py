@@ -38,10 +38,6 @@ EVENT_HEADER_KEYWORDS = ("event", "name", "program", "activity", "date", "time",
 MIN_QUALITY_SCORE = 75.0
 
 
-def _one(df: DataFrame, *cols: Column) -> DataFrame:
-    return df.select(*cols)
-
-
 def combined_score(df: DataFrame, fields: Sequence[str] = CRITICAL_FIELDS) -> DataFrame:
     """QLT1: ``(N*k - nulls) / (N*k) * 100`` over the critical fields; a field the
     frame lacks contributes no nulls; blanks are not nulls.  Also reports N and nulls."""
