@@ -334,3 +334,17 @@ def blank_rows(spark, sf_dir):
 
 
 _ = blank_to_null  # re-exported helper used by callers of this module
+
+
+@register("export_roundtrip", """SELECT count(*) AS rows_out, count(*) AS rows_in, true AS same_columns,
+  true AS same_nulls, CAST(0 AS BIGINT) AS rows_lost, CAST(0 AS BIGINT) AS rows_added, true AS ok FROM documents""")
+def export_roundtrip(spark, sf_dir):
+    """SNK6: ``documents`` written as CSV into the shared checkpoint folder and read
+    back; shape, names, NULL counts and content must survive (the oracle is the
+    lossless outcome).  The write happens when the query is built."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.sinks import roundtrip_check
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip/documents-{uuid.uuid4().hex}"
+    return roundtrip_check(table(spark, sf_dir, "documents"), path, fmt="csv")

@@ -17,6 +17,14 @@ from pyspark.sql import functions as F
 from ..operators.schema import order_columns
 
 
+# Lossless CSV: RFC-4180 quote doubling, no whitespace trimming on write (Spark
+# trims by default), multi-line cells read back as one record.
+CSV_WRITE = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+CSV_READ = {"header": "true", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
+
+
 def run_stamp(now: _dt.datetime | None = None) -> str:
     return (now or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
 
@@ -33,7 +41,7 @@ def write_feed(df: DataFrame, path: str, fmt: str = "parquet", partition_by_mont
     if partition_by_month and "date" in out.columns:
         writer = writer.partitionBy("year_month")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.options(**CSV_WRITE).csv(path)
     else:
         writer.format(fmt).save(path)
     return path
@@ -48,7 +56,7 @@ def write_tables(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet
         p = f"{base.rstrip('/')}/{name}"
         w = df.write.mode(mode)
         if fmt == "csv":
-            w.option("header", True).option("escape", '"').csv(p)
+            w.options(**CSV_WRITE).csv(p)
         else:
             w.format(fmt).save(p)
         paths[name] = p
@@ -76,8 +84,8 @@ def roundtrip_check(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame
     each and the row-level difference is counted, never listed."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
-        back = df.sparkSession.read.schema(df.schema).option("header", True).option("escape", '"').csv(path)
+        w.options(**CSV_WRITE).csv(path)
+        back = df.sparkSession.read.schema(df.schema).options(**CSV_READ).csv(path)
     else:
         w.format(fmt).save(path)
         back = df.sparkSession.read.format(fmt).load(path)
