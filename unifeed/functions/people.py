@@ -87,12 +87,15 @@ def nonblank_count(*cols) -> Column:
 
 def roster_names(primary, extras, free_text) -> Column:
     """STR14: primary + extra dropdowns (one person each, never split) + free text
-    split on ``/`` or ``,``.  Blanks are dropped; duplicates are kept."""
+    split on ``/`` or ``,``.  Blanks are dropped; duplicates are kept.
+
+    The split pattern swallows the whitespace around each separator and the
+    text is trimmed first, so the parts need no per-element trim; blanks and
+    NULLs are removed with ``array_compact`` / ``array_remove`` (no lambdas)."""
     singles = [blank_to_null(primary)] + [blank_to_null(e) for e in extras]
     free = ws_trim(F.coalesce(col_(free_text).cast("string"), F.lit("")))
-    free_parts = F.transform(F.split(free, FREE_TEXT_SPLIT), lambda x: ws_trim(x))
-    arr = F.concat(F.array(*singles), free_parts)
-    return F.filter(arr, lambda x: x.isNotNull() & (x != F.lit("")))
+    arr = F.concat(F.array(*singles), F.split(free, FREE_TEXT_SPLIT))
+    return F.array_remove(F.array_compact(arr), "")
 
 
 def alias_map_lookup(name, mapping: dict[str, str]) -> Column:
