@@ -23,13 +23,20 @@ MONTH_ABBR = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN",
 
 
 def date_iso(c, normalized: bool = False) -> Column:
-    """DAT1 stage 1: rewrite any accepted layout to ``yyyy-M-d`` (other text unchanged)."""
+    """DAT1 stage 1: rewrite any accepted layout to ``yyyy-M-d`` (NULL for other shapes).
+
+    Plain string functions only: ``M/d/yyyy`` and ``M/d/yy`` (20yy) are cut on
+    ``/``; ISO dates keep the part before a space or ``T``.  The shape is
+    validated once, by :func:`date_from_iso`, against ``^\\d{4}-\\d{1,2}-\\d{1,2}$`` --
+    the same set of texts the layout patterns in :data:`DATE_LAYOUTS` accept."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    (iso_p, iso_r), (us4_p, us4_r), (us2_p, us2_r) = DATE_LAYOUTS
-    # slash layouts and dash layouts are disjoint: test the cheap character first
-    return F.when(F.instr(t, "/") > 0,
-                  F.regexp_replace(F.regexp_replace(t, us4_p, us4_r), us2_p, us2_r)) \
-        .otherwise(F.regexp_replace(t, iso_p, iso_r))
+    parts = F.split(t, "/")
+    y = F.try_element_at(parts, F.lit(3))
+    y4 = F.when(F.length(y) == 4, y).when(F.length(y) == 2, F.concat(F.lit("20"), y))
+    us = F.when(F.size(parts) == 3, F.concat(y4, F.lit("-"), F.try_element_at(parts, F.lit(1)), F.lit("-"),
+                                             F.try_element_at(parts, F.lit(2))))
+    iso = F.substring_index(F.substring_index(t, " ", 1), "T", 1)
+    return F.when(F.instr(t, "/") > 0, us).otherwise(iso)
 
 
 def date_from_iso(iso) -> Column:
