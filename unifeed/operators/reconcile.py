@@ -14,8 +14,8 @@ the pairs of a date:
 
 * equal keys              -> join on (date, key)
 * one key inside another  -> suffixes of the longer key blocked on their first
-                             four characters, checked with ``startswith``
-                             (keys under four characters: exact join on short
+                             six characters, checked with ``startswith``
+                             (keys under six characters: exact join on short
                              substrings) -- O(L) rows per key, not O(L^2)
 * token Jaccard >= 0.5    -> prefix filtering on distinct token sets ordered by
                              global token frequency (any two sets with
@@ -76,7 +76,7 @@ def _jaccard_hits(cad: DataFrame, log: DataFrame, name: str) -> DataFrame:
     return cset.join(ok, ["date", "toks"]).select("cad_id", name)
 
 
-PREFIX_LEN = 4  # q of the q-character prefix used to block containment tests
+PREFIX_LEN = 6  # q of the q-character prefix used to block containment tests
 
 
 def suffixes(key: Column, min_len: int = 1) -> Column:
@@ -88,7 +88,7 @@ def suffixes(key: Column, min_len: int = 1) -> Column:
 
 
 def short_substrings(key: Column, max_len: int = PREFIX_LEN - 1) -> Column:
-    """Distinct substrings of ``key`` shorter than the blocking prefix (<= 3L per key)."""
+    """Distinct substrings of ``key`` shorter than the blocking prefix (<= (q-1)L per key)."""
     n = F.length(key)
 
     def of_length(ln: int):
