@@ -49,14 +49,17 @@ def duration_hours(c, normalized: bool = False, positive_only: bool = True) -> C
     input is already lower-cased, trimmed text (see :func:`duration_text`).
     """
     t = col_(c) if normalized else duration_text(c)
+    # each layout's regex runs only when a character it requires is present
+    # (``day``, ``:``, ``h``) -- implied by the patterns, so results are unchanged
+    has_day, has_colon, has_h = F.instr(t, "day") > 0, F.instr(t, ":") > 0, F.instr(t, "h") > 0
     hours = (
         F.when(t.rlike(NUMBER_PATTERN), t.cast(T.DoubleType()))
-        .when(t.rlike(_DAYS),
+        .when(has_day & t.rlike(_DAYS),
               _grp(t, _DAYS, 1) * 24.0 + _grp(t, _DAYS, 2)
               + _grp(t, _DAYS, 3) / 60.0 + _grp0(t, _DAYS, 5) / 3600.0)
-        .when(t.rlike(_HMS),
+        .when(has_colon & t.rlike(_HMS),
               _grp(t, _HMS, 1) + _grp(t, _HMS, 2) / 60.0 + _grp0(t, _HMS, 4) / 3600.0)
-        .when(t.rlike(_WORDS), _grp(t, _WORDS, 1) + _grp0(t, _WORDS, 5) / 60.0)
+        .when(has_h & t.rlike(_WORDS), _grp(t, _WORDS, 1) + _grp0(t, _WORDS, 5) / 60.0)
     )
     return F.when(hours > 0, hours) if positive_only else hours
 
