@@ -11,8 +11,9 @@ import __spark_entry__ as E
 from unifeed.plans.driver_tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+LIBRARY = E._catalog()
+QUERIES = {k: q for k, q in E.queries().items() if k in LIBRARY.QUERIES}
+ORACLE = {k: s for k, s in E.oracle_sql().items() if k in LIBRARY.ORACLE}
 
 
 @pytest.fixture(scope="module")
