@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, mixing
+from . import chat, mixing, neardup
 from .catalog import register
 from .shared import read
 
@@ -85,3 +85,27 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS ws
+  FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM g),
+u AS (SELECT doc_id, unnest(s) AS x FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 75 * (na.n_shingles + nb.n_shingles - i)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a)
+SELECT n.doc_id, n.n_shingles, m.c AS component_id, n.doc_id = m.c AS kept
+FROM n JOIN (SELECT x, min(y) AS c FROM r GROUP BY x) m ON m.x = n.doc_id
+"""
+
+
+@register("op9_near_duplicates", OP9_SQL)
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (five-word shingles, similarity 0.75)."""
+    return neardup.link(read(spark, sf_dir, "documents").select("doc_id", "text"))
