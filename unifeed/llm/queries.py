@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neardup
+from . import chat, decontam, mixing, neardup
 from .catalog import register
 from .shared import read
 
@@ -109,3 +109,9 @@ FROM n JOIN (SELECT x, min(y) AS c FROM r GROUP BY x) m ON m.x = n.doc_id
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (five-word shingles, similarity 0.75)."""
     return neardup.link(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that copy a benchmark item, exactly or edited."""
+    return decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
