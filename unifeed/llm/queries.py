@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, neardup
+from . import chat, decontam, linededup, mixing, neardup
 from .catalog import register
 from .shared import read
 
@@ -115,3 +115,32 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of all documents that copy a benchmark item, exactly or edited."""
     return decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+  FROM documents WHERE text IS NOT NULL),
+c AS (SELECT *, CAST(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS BIGINT) AS w FROM l),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM c WHERE w > 0),
+p AS (SELECT a.doc_id, a.i, a.k, a.w, b.doc_id AS d0, a.k - b.k AS off FROM k a JOIN k b
+      ON a.line = b.line AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.k < a.k))),
+g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, d0, off ORDER BY k) AS island FROM p),
+r AS (SELECT *, sum(w) OVER (PARTITION BY doc_id, d0, off, island) AS words FROM g),
+hit AS (SELECT DISTINCT doc_id, i FROM r WHERE words >= 50),
+f AS (SELECT c.*, CASE WHEN c.w > 0 THEN hit.i IS NOT NULL END AS covered FROM c LEFT JOIN hit ON hit.doc_id = c.doc_id AND hit.i = c.i),
+z AS (SELECT *, coalesce(last_value(covered IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS gone FROM f),
+t AS (SELECT doc_id, count(*) AS lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS removed_lines,
+             CAST(sum(CASE WHEN gone THEN w ELSE 0 END) AS BIGINT) AS removed_words,
+             coalesce(string_agg(CASE WHEN gone THEN NULL ELSE line END, chr(10) ORDER BY i), '') AS text FROM z GROUP BY doc_id)
+SELECT d.doc_id, t.text, coalesce(t.lines, 0) AS lines, coalesce(t.removed_lines, 0) AS removed_lines,
+       coalesce(t.removed_words, 0) AS removed_words FROM documents d LEFT JOIN t USING (doc_id)
+"""
+
+
+@register("op2_line_dedup", OP2_SQL)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later repeats of runs of 50 words or more."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "text", "lines", "removed_lines", "removed_words")
