@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, mixing, neardup
+from . import chat, decontam, linededup, mixing, neardup, quality
 from .catalog import register
 from .shared import read
 
@@ -144,3 +144,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without later repeats of runs of 50 words or more."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup(docs).select("doc_id", "text", "lines", "removed_lines", "removed_words")
+
+
+@register("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of all documents and whether to keep each."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.score(docs, read(spark, sf_dir, "labels")).drop("text")
