@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, mixing, neardup, quality
+from . import chat, decontam, linededup, mixing, neardup, quality, toxicity
 from .catalog import register
 from .shared import read
 
@@ -151,3 +151,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior quality of all documents and whether to keep each."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return quality.score(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fold."""
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
