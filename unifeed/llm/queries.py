@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, mixing, neardup, quality, toxicity
+from . import chat, decontam, fingerprints, linededup, mixing, neardup, quality, toxicity
 from .catalog import register
 from .shared import read
 
@@ -157,3 +157,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels outside the held-out fold."""
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
