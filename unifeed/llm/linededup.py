@@ -37,20 +37,21 @@ def _repeats(lines: DataFrame, key: str, mark: str) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(id, h, i, w, repeated) for every line i of every distinct (id, text); h hashes the text."""
-    parts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"),
+    """(k, h, i, w, repeated) for every line i of every distinct (id, text); k and h hash the id
+    (null too) and the text, so plain equality joins and one partitioning serve throughout."""
+    parts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k"), F.xxhash64(text_col).alias("h"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("i", "line"))
-    lines = parts.select("id", "h", "i", F.xxhash64("line").alias("lh"),
+    lines = parts.select("id", "k", "h", "i", F.xxhash64("line").alias("lh"),
                          F.regexp_count("line", F.lit(WORD)).cast("long").alias("w"))
-    doc = W.partitionBy("id", "h")
+    doc = W.partitionBy("k", "h")
     # equal rows give equal lines: one set of them is enough
-    lines = table(lines.repartition("id", "h").dropDuplicates(["id", "h", "i"]))
+    lines = table(lines.repartition("k", "h").dropDuplicates(["k", "h", "i"]))
     full = lines.where("w > 0").withColumn("upto", F.sum("w").over(doc.orderBy("i")))
     full = full.withColumn("before", F.col("upto") - F.col("w"))
     ahead = doc.orderBy("before").rangeBetween(0, min_words - 1)
     back = doc.orderBy("upto").rangeBetween(-(min_words - 1), 0)
     full = full.select(
-        "id", "h", "i", "w",
+        "id", "k", "h", "i", "w",
         F.min("lh").over(ahead).alias("mark"),                         # fingerprint
         F.when(F.sum("w").over(ahead) >= min_words, F.xxhash64(F.collect_list("lh").over(ahead))).alias("next"),
         F.max("i").over(ahead).alias("next_end"),
@@ -65,18 +66,16 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "h", "i")
     hit = (full.join(right, F.col("next") == F.col("k_next"), "left")
                .join(left, F.col("prev") == F.col("k_prev"), "left"))
-    hit = hit.select("id", "h", "i",
+    hit = hit.select("k", "h", "i",
                      F.when(F.col("first_next") != place, F.col("next_end")).alias("to"),
                      F.when(F.col("first_prev") != place, F.col("prev_start")).alias("from"))
     hit = hit.where(F.col("to").isNotNull() | F.col("from").isNotNull())
-    found = lines.select("id", "h", "i", "w").join(
-        hit.select(F.col("id").alias("hid"), F.col("h").alias("hh"), F.col("i").alias("hi"), "to", "from"),
-        F.col("id").eqNullSafe(F.col("hid")) & (F.col("h") == F.col("hh")) & (F.col("i") == F.col("hi")), "left")
+    found = lines.select("k", "h", "i", "w").join(hit, ["k", "h", "i"], "left")
     run = doc.orderBy("i")
     covered = (F.coalesce(F.max("to").over(run.rowsBetween(W.unboundedPreceding, 0)) >= F.col("i"), F.lit(False))
                | F.coalesce(F.min("from").over(run.rowsBetween(0, W.unboundedFollowing)) <= F.col("i"), F.lit(False)))
     flagged = found.withColumn("covered", F.when(F.col("w") > 0, covered))
-    return flagged.select("id", "h", "i", "w", F.coalesce(
+    return flagged.select("k", "h", "i", "w", F.coalesce(
         F.last("covered", ignorenulls=True).over(run.rowsBetween(W.unboundedPreceding, 0)),
         F.lit(False)).alias("repeated"))
 
@@ -93,18 +92,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = ("lines", "removed_lines", "removed_words")
     base = docs.drop(*out)
     flagged = repeated_lines(base, id_col, text_col, min_words)
-    per = flagged.groupBy("id", "h").agg(
+    per = flagged.groupBy("k", "h").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("w").alias("words"),
         F.sum(F.col("repeated").cast("int")).alias("gone"),
         F.sum(F.when(F.col("repeated"), F.col("w")).otherwise(0)).alias("gone_words"),
         F.array_sort(F.collect_list(F.when(~F.col("repeated"), F.col("i")))).alias("stay"))
-    per = per.select(F.col("id").alias("__ld_id"), F.col("h").alias("__ld_hash"), F.struct(
+    per = per.select(F.col("k").alias("__ld_k"), F.col("h").alias("__ld_h"), F.struct(
         "lines", "words", "gone", "gone_words",
         F.when(F.col("gone") > 0, F.col("stay")).alias("stay")).alias("__ld"))
-    h = F.xxhash64(text_col)
-    same = W.partitionBy(id_col, "__ld_h").orderBy(F.lit(0))
-    rows = base.withColumn("__ld_h", h).withColumn("__ld_copy", F.row_number().over(same))
-    rows = rows.join(per, F.col(id_col).eqNullSafe(F.col("__ld_id")) & (F.col("__ld_h") == F.col("__ld_hash")), "left")
+    same = W.partitionBy("__ld_k", "__ld_h").orderBy(F.lit(0))
+    rows = base.withColumn("__ld_k", F.xxhash64(id_col)).withColumn("__ld_h", F.xxhash64(text_col))
+    rows = rows.withColumn("__ld_copy", F.row_number().over(same)).join(per, ["__ld_k", "__ld_h"], "left")
     again = (F.col("__ld_copy") > 1) & (F.col("__ld.words") >= min_words)
     # the split text is bound once (a lambda's free expressions run for every element)
     kept = F.transform(F.array(F.split(F.col(text_col), "\n", -1)), lambda parts: F.array_join(
