@@ -7,11 +7,12 @@
    and go.  Two classes that agree in ``match`` of ``coords`` values must share one of their
    ``m - match + 1`` rarest remaining values (prefix filter): only those lists are merged, the
    long lists of common values are skipped.
-3. Lists are not expanded into pairs.  Each member is paired with the least class of its list;
-   pairs with enough collisions are confirmed on the full sets and joined into components.
-   What is left are members of one list in different components: members outside the
-   list's largest component meet all members of other components.  So each pair that could
-   change the result is tested, while a list of n copies of one thing costs n pairs.
+3. Lists are not expanded into pairs.  In each round every member outside the largest
+   component of a list is paired with one pivot from it; pairs with enough collisions are
+   confirmed on the full sets and joined into components.  Members of one list that are
+   still in different components then meet block by block inside tasks, which give out
+   links only.  So each pair that could change the result is tested, while a list of n
+   copies of one thing costs n pairs.
 
 With 96 coordinates and 54 matches a pair at similarity 0.75 is missed with probability
 below 1e-5 (binomial tail); anything found is confirmed exactly.
@@ -31,6 +32,8 @@ from .shared import table
 from .words import chunks, mix64, randoms, shingles, split, word_hashes
 
 COORDS, MATCH, SHINGLE, SIMILARITY = 96, 54, 5, 75
+ROUNDS, TRIES = 3, 4    # rounds and pivots per member before the remaining pairs are met
+BLOCK = 512             # rows of a block in which remaining pairs meet
 BUCKETS = 1 << 19
 
 
@@ -102,6 +105,73 @@ def full_sets(docs: DataFrame, text_col: str, k: int) -> DataFrame:
     return docs.select("node", "c", text_col).mapInArrow(run, "node long, shingles array<long>")
 
 
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(node, shingles) of some classes, from the texts of their first documents: a bounded
+    broadcast of hash buckets thins the scan, an exact join follows."""
+    wanted = table(classes.select("node", F.col("doc_id").alias("w_id"), "c", "c2").join(nodes, "node", "left_semi"))
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
+    hits = wanted.select(bucket(F.col("w_id")).alias("bucket")).distinct()   # at most BUCKETS rows
+    texts = (docs.select(F.col(id_col).alias("t_id"), text_col)
+                 .join(F.broadcast(hits), bucket(F.col("t_id")) == F.col("bucket"), "left_semi")
+                 .join(wanted, F.col("t_id").eqNullSafe(F.col("w_id"))).select("node", "c", text_col))
+    return table(full_sets(texts, text_col, k).dropDuplicates(["node"]))
+
+
+def _cross_links(left: list, right: list, match: int, percent: int) -> list[tuple[int, int]]:
+    """Linked pairs between two bounded blocks of (node, comp, sig, shingles)."""
+    sig = np.stack([r[2] for r in right])
+    comp, size = np.array([r[1] for r in right]), np.array([len(r[3]) for r in right])
+    out = []
+    for node, own, mine, a in left:
+        near = ((sig == mine).sum(1) >= match) & (comp != own)
+        near &= 100 * np.minimum(size, len(a)) >= percent * np.maximum(size, len(a))
+        for x in np.flatnonzero(near):
+            b = right[x][3]
+            common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                out.append((node, right[x][0]))
+    return out
+
+
+def _rest_links(posted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int,
+                match: int, percent: int) -> DataFrame | None:
+    """Links between members of one list that are still in different components.
+
+    Lists that share members form a family.  Members outside its largest component meet all
+    its members in blocks of ``BLOCK`` by ``BLOCK`` rows inside one task each, so pairs are
+    compared in place and only links come out; no task holds more than two blocks."""
+    torn = (posted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("node").alias("a"))
+                  .where("x <> y").select("key", "a"))
+    spread = table(posted.join(torn, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    if spread.isEmpty():
+        return None
+    family = components(spread).select("node", F.col("label").alias("family"))
+    comps = posted.select("node", "comp").distinct()
+    rows = table(family.join(comps, "node"))
+    per = rows.groupBy("family", "comp").count()
+    per = per.groupBy("family").agg(F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("n"))
+    per = per.select("family", F.col("top.comp").alias("top"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                     F.ceil((F.col("n") - F.col("top.count")) / BLOCK).cast("int").alias("outer_blocks")).where("outer_blocks > 0")
+    rows = rows.join(per, "family")
+    sets = _sets_of(rows.select("node"), classes, docs, id_col, text_col, k)
+    rows = table(rows.join(classes.select("node", "sig"), "node").join(sets, "node"))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    out = rows.where("comp <> top").withColumn("i", deal("outer_blocks")).withColumn("j", every("blocks")).withColumn("side", F.lit(0))
+    into = rows.withColumn("j", deal("blocks")).withColumn("i", every("outer_blocks")).withColumn("side", F.lit(1))
+    cols = ["family", "i", "j", "side", "node", "comp", "sig", "shingles"]
+
+    def meet(pdf):
+        import pandas as pd
+        sides = ([], [])
+        for side, node, comp, sig, s in zip(pdf["side"], pdf["node"], pdf["comp"], pdf["sig"], pdf["shingles"]):
+            sides[side].append((node, comp, np.asarray(sig), np.asarray(s, dtype=np.int64).view(np.uint64)))
+        links = _cross_links(*sides, match, percent) if sides[0] and sides[1] else []
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    return table(out.select(*cols).unionByName(into.select(*cols)).groupBy("family", "i", "j")
+                    .applyInPandas(meet, "a long, b long"))
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
              k: int, match: int, percent: int) -> DataFrame:
     """The (a, b) among ``pairs`` that collide in ``match`` coordinates and whose full sets
@@ -113,16 +183,8 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     near = table(pairs.join(left, "a").join(right, "b")
                  .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (same >= match))
                  .select("a", "b"))
-    # the texts behind the pairs: a bounded broadcast of hash buckets thins the scan, an
-    # exact join follows
     nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    wanted = table(classes.select("node", F.col("doc_id").alias("w_id"), "c", "c2").join(nodes, "node", "left_semi"))
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
-    hits = wanted.select(bucket(F.col("w_id")).alias("bucket")).distinct()   # at most BUCKETS rows
-    texts = (docs.select(F.col(id_col).alias("t_id"), text_col)
-                 .join(F.broadcast(hits), bucket(F.col("t_id")) == F.col("bucket"), "left_semi")
-                 .join(wanted, F.col("t_id").eqNullSafe(F.col("w_id"))).select("node", "c", text_col))
-    sets = table(full_sets(texts, text_col, k).dropDuplicates(["node"]))
+    sets = _sets_of(nodes, classes, docs, id_col, text_col, k)
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -130,8 +192,16 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
                 .where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b").distinct())
 
 
+def _labelled(posts: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Postings with the component of their node (its own before the first round)."""
+    if label is None:
+        return posts.withColumn("comp", F.col("node"))
+    return posts.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp"))
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-         percent: int = SIMILARITY, coords: int = COORDS, match: int = MATCH) -> DataFrame:
+         percent: int = SIMILARITY, coords: int = COORDS, match: int = MATCH,
+         rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Documents with shingle similarity of ``percent`` per cent or more are linked;
@@ -151,25 +221,23 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     posts = table(posts.withColumn("m", F.count(F.lit(1)).over(mine))
                   .withColumn("r", F.row_number().over(mine.orderBy("df", "key")))
                   .where(F.col("r") <= F.col("m") - match + 1).select("key", "node"))
-    least = posts.groupBy("key").agg(F.min("node").alias("a"))
-    stars = table(posts.join(least, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct())
-    first = table(_confirm(stars, classes, docs, id_col, text_col, k, match, percent))
-    label = table(components(first))
-    # members of one list that are still in different components
-    posted = table(posts.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp")))
-    sizes = posted.groupBy("key", "comp").count()
-    largest = (sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
-               .where("comps > 1").select("key", F.col("top.comp").alias("top")))
-    mixed = table(posted.join(largest, "key"))
-    outer = mixed.where("comp <> top").select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-    inner = mixed.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"), "top")
-    rest = (outer.join(inner, "key").where("comp_a <> comp_b and (comp_b = top or a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    rest = table(rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    edges = first
-    if not rest.isEmpty():
-        edges = first.unionByName(_confirm(rest, classes, docs, id_col, text_col, k, match, percent))
-        label = table(components(table(edges)))
+    label, edges = None, None
+    for turn in range(rounds):
+        posted = _labelled(posts, label)
+        sizes = posted.groupBy("key", "comp").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), "node")).alias("pick"))
+        top = (sizes.groupBy("key").agg(F.max(F.struct("n", "comp", "pick")).alias("top"), F.count(F.lit(1)).alias("comps"))
+                    .where("comps > 1").select("key", F.col("top.comp").alias("top"), F.col("top.pick.node").alias("a")))
+        # each member outside the largest component of its lists is tried with a few pivots
+        stars = (posted.join(top, "key").where("comp <> top").groupBy(F.col("node").alias("b"))
+                       .agg(F.collect_set("a").alias("some"))          # at most one for each coordinate
+                       .select(F.explode(F.slice(F.array_sort("some"), 1, TRIES)).alias("a"), "b"))
+        found = table(_confirm(stars, classes, docs, id_col, text_col, k, match, percent))
+        edges = found if edges is None else table(edges.unionByName(found))
+        label = components(edges)
+    rest = _rest_links(table(_labelled(posts, label)), classes, docs, id_col, text_col, k, match, percent)
+    if rest is not None:
+        label = components(table(edges.unionByName(rest)))
     member = classes.select("node", "c", "c2", "doc_id").join(label, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     ids = member.groupBy("label").agg(F.min("doc_id").alias("component_id"))
