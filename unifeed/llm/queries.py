@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprints, linededup, mixing, neardup, quality, toxicity
+from . import chat, decontam, fingerprints, licenses, linededup, mixing, neardup, quality, toxicity
 from .catalog import register
 from .shared import read
 
@@ -163,3 +163,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash fingerprints of all documents and of their edited texts."""
     return fingerprints.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that all documents carry."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
