@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
-from . import chat, decontam, fingerprints, licenses, linededup, mixing, neardup, quality, toxicity
+from . import chat, decontam, fingerprints, licenses, linededup, maxent, mixing, neardup, quality, toxicity
 from .catalog import register
 from .shared import read
 
@@ -169,3 +169,9 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses that all documents carry."""
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@register("op5_lm_scores")
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under the maximum-entropy model and the base."""
+    return maxent.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
