@@ -210,7 +210,7 @@ def label_model(patterns: np.ndarray, count: np.ndarray, toxic: np.ndarray, clea
         prior = (w1.sum() + 1) / (w1.sum() + w0.sum() + 2)
         z = _loglik(v, _tree(v, w1)) - _loglik(v, _tree(v, w0)) + np.log(prior / (1 - prior))
         new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(new - q).max() < 1e-6:
+        if np.abs(new - q).max(initial=0.0) < 1e-6:
             break
         q = new
     return q
