@@ -122,7 +122,7 @@ def test_config_run_isolates_failures(spark):
         f.write("Date of Event\tStart Time\tEnd Time\tCommunity Event\tEvent Location\tMember Count\n"
                 "10/01/2025\t10:00\t11:30\tFair\tPark\t3\n10/02/2025\t\t\tArrests\tPark\t\n")
     cfg = {"sources": {
-        "community_engagement": {"format": "tsv", "path": p, "recipe": "community",
+        "outreach_log": {"format": "tsv", "path": p, "recipe": "community",
                                  "required": ["Date of Event", "Community Event"]},
         "missing_file": {"format": "tsv", "path": os.path.join(d, "nope.tsv"), "recipe": "community"},
         "wrong_columns": {"format": "tsv", "path": p, "recipe": "community", "required": ["Nope"]},
@@ -130,7 +130,7 @@ def test_config_run_isolates_failures(spark):
     }}
     feed, status = run_config.run(spark, cfg, dt.date(2025, 11, 1))
     st = {r.source: r.status for r in status.collect()}
-    assert st == {"community_engagement": "ok", "missing_file": "failed", "wrong_columns": "failed",
+    assert st == {"outreach_log": "ok", "missing_file": "failed", "wrong_columns": "failed",
                   "grid": "disabled"}
     rows = feed.collect()
     assert len(rows) == 1 and rows[0].duration_hours == 1.5 and rows[0].attendee_count == 3
@@ -168,3 +168,51 @@ def test_production_job_and_gates(spark):
     q = quality.quality_gate(spark.read.parquet(paths["quality"]), "quality_score", 75.0).first()
     assert q.passed is True
     assert quality.event_header_columns(["Date of Event", "Squad", "Attendees"]) == ["Date of Event", "Attendees"]
+
+
+def test_typed_cells_reach_the_feed(spark):
+    """Dates, clocks and elapsed times of a workbook come out right through the recipe."""
+    d = tempfile.mkdtemp(prefix="unifeed-typed-")
+    styles = ('<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts count="2">'
+              '<numFmt numFmtId="164" formatCode="[h]:mm:ss"/><numFmt numFmtId="165" formatCode="yyyy\\-mm\\-dd hh:mm"/>'
+              '</numFmts><cellXfs count="5"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="20"/><xf numFmtId="164"/>'
+              '<xf numFmtId="165"/></cellXfs></styleSheet>')
+    head = ["Date of Event", "Start Time", "End Time", "Event Duration9", "Community Event", "Event Location", "Member Count"]
+    write_xlsx(os.path.join(d, "typed.xlsx"), {"Log": [head, [None] * 7]})
+    cells = [("A", 1, 45931), ("B", 2, 0.4166666667), ("C", 2, 0.5), ("D", 3, 0.0625), ("G", 0, 4)]
+    row = "".join(f'<c r="{c}2" s="{s}"><v>{v}</v></c>' for c, s, v in cells)
+    row += ('<c r="E2" t="inlineStr"><is><t>Fair</t></is></c><c r="F2" t="inlineStr"><is><t>Park</t></is></c>')
+    heads = "".join(f'<c r="{chr(65 + i)}1" t="inlineStr"><is><t>{h}</t></is></c>' for i, h in enumerate(head))
+    path = os.path.join(d, "styled.xlsx")
+    with zipfile.ZipFile(os.path.join(d, "typed.xlsx")) as src, zipfile.ZipFile(path, "w") as z:
+        for n in src.namelist():
+            if "sheet1" not in n:
+                z.writestr(n, src.read(n))
+        z.writestr("xl/styles.xml", styles)
+        z.writestr("xl/worksheets/sheet1.xml", SHEET.format(f'<row r="1">{heads}</row><row r="2">{row}</row>'))
+    cfg = {"sources": {"book": {"format": "xlsx", "path": path, "columns": head, "recipe": "community"}}}
+    feed, status = run_config.run(spark, cfg, dt.date(2025, 11, 1))
+    assert [r.status for r in status.collect()] == ["ok"]
+    r = feed.first()
+    assert (r.date, r.start_time, r.end_time, r.duration_hours, r.attendee_count) == \
+        (dt.date(2025, 10, 1), "10:00", "12:00", 1.5, 4)
+    assert workbook._typed("45931.4375", "dt") == "2025-10-01 10:30:00" and workbook._format_kind('0.00 "days"') == ""
+
+
+def test_unreadable_workbook_fails_its_source(spark):
+    d = tempfile.mkdtemp(prefix="unifeed-broken-")
+    write_xlsx(os.path.join(d, "a.xlsx"), {"Log": [["Date of Event"], ["10/01/2025"]]})
+    with open(os.path.join(d, "bad.xlsx"), "wb") as f:
+        f.write(b"not a zip")
+    cfg = {"sources": {"book": {"format": "xlsx", "path": os.path.join(d, "*.xlsx"), "columns": ["Date of Event"]}}}
+    _, status = run_config.run(spark, cfg, dt.date(2025, 11, 1))
+    r = status.first()
+    assert r.status == "failed" and "bad.xlsx" in r.error
+
+
+def test_quoted_newlines_need_multi_line(spark):
+    d = tempfile.mkdtemp(prefix="unifeed-ml-")
+    p = os.path.join(d, "a.csv")
+    with open(p, "w") as f:
+        f.write('a,b\n1,"x\ny"\n')
+    assert files.read_delimited(spark, p, multi_line=True).first()["b"] == "x\ny"

@@ -86,6 +86,21 @@ def test_group_sequence_busy_group(spark):
     assert w.seq == 2
 
 
+def test_group_sequence_returns_every_row_of_a_large_input(spark, tmp_path):
+    df = spark.range(0, 400_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("busy")).otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
+        (F.col("id") * 7919 % 400_009).alias("k"), F.repeat(F.lit("payload "), 8).alias("payload"), "id")
+    for key in ("k", "text_key"):
+        out = str(tmp_path / key)
+        src = df.withColumn("text_key", F.lpad(F.col("k").cast("string"), 9, "0"))
+        reconcile.group_sequence(src, ["g"], [key], "seq").write.parquet(out)
+        back = spark.read.parquet(out)
+        assert back.count() == 400_000 and back.select("id").distinct().count() == 400_000
+        bad = back.groupBy("g").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count("*").alias("n"),
+                                    F.count_distinct("seq").alias("d")).where("lo != 1 or hi != n or d != n")
+        assert bad.count() == 0
+
+
 def test_quality_sample(spark):
     # the reference's synthetic quality sample (all cells as text)
     df = spark.createDataFrame([

@@ -12,9 +12,13 @@ from .text import col_, digits_to, missing_to_null
 # anchored so a bare clock such as "0900" never parses; two-digit years are 20yy.
 DATE_LAYOUTS = (
     (r"^(\d{4})-(\d{1,2})-(\d{1,2})([ T].*)?$", "$1-$2-$3"),   # ISO date / date-time
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),           # M/d/yyyy
-    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "20$3-$1-$2"),         # M/d/yy
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})( .*)?$", "$3-$1-$2"),      # M/d/yyyy, also with a time
+    (r"^(\d{1,2})/(\d{1,2})/(\d{2})( .*)?$", "20$3-$1-$2"),    # M/d/yy, also with a time
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})( .*)?$", "$1-$2-$3"),      # yyyy/M/d
 )
+# Month names as written in "Oct 1, 2025" and "October 1 2025".
+NAMED_DATE = r"^([A-Za-z]{3})[a-z]{0,6}\.? (\d{1,2}),? (\d{4})( .*)?$"
+MONTH_LETTERS = "janfebmaraprmayjunjulaugsepoctnovdec"
 ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 # Month abbreviations for sheet names like "25_Jan" (SRC8).
@@ -25,11 +29,15 @@ MONTH_ABBR = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN",
 def date_iso(c, normalized: bool = False) -> Column:
     """DAT1 stage 1: rewrite any accepted layout to ``yyyy-M-d`` (other text unchanged)."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    (iso_p, iso_r), (us4_p, us4_r), (us2_p, us2_r) = DATE_LAYOUTS
-    # slash layouts and dash layouts are disjoint: test the cheap character first
-    return F.when(F.instr(t, "/") > 0,
-                  F.regexp_replace(F.regexp_replace(t, us4_p, us4_r), us2_p, us2_r)) \
-        .otherwise(F.regexp_replace(t, iso_p, iso_r))
+    (iso_p, iso_r), (us4_p, us4_r), (us2_p, us2_r), (ymd_p, ymd_r) = DATE_LAYOUTS
+    at = F.instr(F.lit(MONTH_LETTERS), F.lower(F.regexp_extract(t, NAMED_DATE, 1)))
+    named = F.when(at % 3 == 1, F.concat_ws("-", F.regexp_extract(t, NAMED_DATE, 3), ((at + 2) / 3).cast("int").cast("string"),
+                                            F.regexp_extract(t, NAMED_DATE, 2))).otherwise(t)
+    # slash layouts, month names and dash layouts are disjoint: test the cheap character first
+    return (F.when(F.instr(t, "/") > 0, F.regexp_replace(F.regexp_replace(F.regexp_replace(
+                t, us4_p, us4_r), us2_p, us2_r), ymd_p, ymd_r))
+            .when(F.substring(t, 1, 1).between("A", "z") & t.rlike(NAMED_DATE), named)
+            .otherwise(F.regexp_replace(t, iso_p, iso_r)))
 
 
 def date_from_iso(iso) -> Column:

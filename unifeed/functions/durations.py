@@ -73,11 +73,28 @@ def duration_text(c) -> Column:
 CLOCK_STRICT = r"^([01]?\d|2[0-3]):?([0-5]\d)(:([0-5]\d))?$"
 
 
+CLOCK_DATE = r"^\d{4}-\d{1,2}-\d{1,2}[ T]"
+CLOCK_AMPM = r"^(0?[1-9]|1[0-2]):([0-5]\d)(:([0-5]\d))? ?([AaPp])\.?[Mm]\.?$"
+DAY_FRACTION = r"^0?\.\d+$"
+
+
 def clock_digits(c, normalized: bool = False) -> Column:
     """DAT2 stage 1: the digits of a valid clock text (``930``, ``0930``,
-    ``93015``, ``174510``), NULL when the text is not a valid clock."""
+    ``93015``, ``174510``), NULL when the text is not a valid clock.  A date before the
+    clock is dropped (``1899-12-30 10:00:00``), ``2:05 PM`` counts from noon and a fraction of
+    a day below one (``0.4167``, a spreadsheet time) is rounded to the second."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
-    return F.when(t.rlike(CLOCK_STRICT), F.translate(t, ":", ""))
+    after = F.regexp_replace(t, CLOCK_DATE, "")
+    hour = digits_to(F.regexp_extract(t, CLOCK_AMPM, 1), "int") % 12
+    hour = hour + F.when(F.lower(F.regexp_extract(t, CLOCK_AMPM, 5)) == "p", 12).otherwise(0)
+    rest = F.concat(F.regexp_extract(t, CLOCK_AMPM, 2), F.regexp_extract(t, CLOCK_AMPM, 4))
+    # a failing cast is slow: only text of the right shape is cast
+    secs = F.round(F.when(t.rlike(DAY_FRACTION), t.cast("double")) * 86400).cast("int") % 86400
+    digits = (secs / 3600).cast("int") * 10000 + ((secs % 3600) / 60).cast("int") * 100 + secs % 60
+    return (F.when(t.rlike(CLOCK_STRICT), F.translate(t, ":", ""))
+            .when((F.instr(t, "-") > 0) & after.rlike(CLOCK_STRICT) & (after != t), F.translate(after, ":", ""))
+            .when(t.rlike(CLOCK_AMPM), F.concat(hour.cast("string"), rest))
+            .when(t.rlike(DAY_FRACTION), F.lpad(digits.cast("string"), 6, "0")))
 
 
 def clock_from_digits(d) -> Column:
@@ -92,7 +109,7 @@ def clock_from_digits(d) -> Column:
 
 
 def clock_seconds(c, normalized: bool = False) -> Column:
-    """DAT2: clock text (``10:00``, ``9:30``, ``0900``, ``17:45:10``) -> seconds of day.
+    """DAT2: clock text (``10:00``, ``9:30``, ``0900``, ``17:45:10``, ``2:05 PM``) -> seconds of day.
 
     Out-of-range parts (hour > 23, minute/second > 59) give NULL.  Staged
     callers should project :func:`clock_digits` first and decode it with

@@ -30,21 +30,6 @@ CONTAMINATION_EVENT_PATTERNS = (
 )
 CONTAMINATION_REGEX = "(?i)" + "|".join(CONTAMINATION_EVENT_PATTERNS)
 
-# Default bound for broadcasting a lookup side whose size is checked at run time.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned unchanged and the join shuffles (AQE may still demote it to a
-    broadcast from measured shuffle sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def contamination_flag(office: str = "office", event_name: str = "event_name") -> Column:
     """FLT1 predicate; NULLs never match."""
     off = F.lower(ws_trim(F.col(office))).isin(*CONTAMINATION_OFFICES)
@@ -121,13 +106,12 @@ def apply_alias_table(names: DataFrame, alias: DataFrame, id_col: str, names_col
     replaced by its canonical form when ``lower(trim(name))`` equals an alias key.
 
     Names are exploded with their position, joined to the de-duplicated alias
-    table (broadcast only after a size check) and re-assembled per row in the
+    table (the optimizer broadcasts it if it is small) and re-assembled per row in the
     original order; rows with no names keep an empty array.
     """
     a = alias.select(F.lower(ws_trim(F.col(alias_key))).alias("_ak"),
                      F.col(canonical).alias("_canon")) \
         .groupBy("_ak").agg(F.min("_canon").alias("_canon"))
-    a = broadcast_if_small(a)
     ex = names.select(F.col(id_col), F.posexplode_outer(F.col(names_col)).alias("_pos", "_name"))
     j = ex.join(a, F.lower(ws_trim(F.col("_name"))) == F.col("_ak"), "left")
     item = F.struct(F.col("_pos"), F.coalesce(F.col("_canon"), F.col("_name")).alias("n"))

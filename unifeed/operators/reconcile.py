@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..functions import durations, places
@@ -68,7 +69,9 @@ def _jaccard_hits(cad: DataFrame, log: DataFrame, name: str) -> DataFrame:
 
     cp = prefixed(cdist, [])
     lp = prefixed(lset, ["row_idx"]).withColumnRenamed("toks", "ltoks")
-    cand = cp.join(lp, ["date", "tok"]).select("date", "toks", "ltoks", "row_idx").distinct()
+    n, m = F.size("toks"), F.size("ltoks")            # sizes bound the similarity
+    cand = (cp.join(lp, ["date", "tok"]).where(F.least(n, m) >= places.JACCARD_MIN * F.greatest(n, m))
+              .select("date", "toks", "ltoks", "row_idx").distinct())
     inter = F.size(F.array_intersect("toks", "ltoks"))
     union = F.size(F.array_union("toks", "ltoks"))
     ok = cand.where(inter / union >= places.JACCARD_MIN) \
@@ -125,11 +128,13 @@ def _containment_hits(cad: DataFrame, keyed_log: DataFrame, name: str) -> list[D
     before it meets dispatch rows."""
     lk = keyed_log.where(F.col("lkey") != "").groupBy("date", "lkey").agg(F.min("row_idx").alias("row_idx"))
     c = cad.where(F.col("ckey") != "").select("cad_id", "date", "ckey")
+    keys = c.select("date", "ckey").distinct()       # repeats of a key are matched once
     # log key is a substring of the CAD key (includes equality): x = log keys, y = CAD keys
-    h1 = _contained(lk, c, "lkey", "ckey", ["cad_id"]).groupBy("cad_id").agg(F.min("row_idx").alias(name))
+    h1 = _contained(lk, keys, "lkey", "ckey", ["ckey"]).select("date", "ckey", "row_idx")
     # CAD key is a substring of the log key: x = CAD keys, y = distinct log keys
-    h2 = _contained(c, lk, "ckey", "lkey", ["row_idx"]).groupBy("cad_id").agg(F.min("row_idx").alias(name))
-    return [h1, h2]
+    h2 = _contained(keys, lk, "ckey", "lkey", ["row_idx"]).select("date", "ckey", "row_idx")
+    hits = h1.unionByName(h2).groupBy("date", "ckey").agg(F.min("row_idx").alias(name))
+    return [c.join(hits, ["date", "ckey"]).select("cad_id", name)]
 
 
 def _least(frames: list[DataFrame], name: str) -> DataFrame:
@@ -188,7 +193,11 @@ def reconcile(cad: DataFrame, log: DataFrame, cad_id: str = "cad_id", cad_date:
     out = j.select(*[F.col(f"`{x}`") for x in cad.columns], status.alias("status"),
                    matched.alias("matched_row"), n_day.alias("n_same_day"))
     locs = lg.select(F.col("row_idx").alias("matched_row"), F.col("lloc").alias("matched_loc"))
-    return out.join(locs, "matched_row", "left")
+    found = out.where(F.col("matched_row").isNotNull()).join(locs, "matched_row", "left")
+    # CONFLICT and MISSING rows have no log row: they skip the join (and its one NULL key)
+    rest = out.where(F.col("matched_row").isNull()).withColumn("matched_loc", F.lit(None).cast("string"))
+    return found.unionByName(rest).select("matched_row", *[F.col(f"`{x}`") for x in out.columns if x != "matched_row"],
+                                          "matched_loc")
 
 
 def conflict_candidates(result: DataFrame, log: DataFrame, date_col: str = "date",
@@ -207,26 +216,44 @@ def class_counts(result: DataFrame) -> DataFrame:
     return result.agg(*[F.count_if(s == k).alias(k.lower()) for k in CLASSES])
 
 
+SEQUENCE_WIDTH = 4096   # consecutive integer keys of one bucket
+
+
+def _order_bucket(df: DataFrame, name: str) -> Column:
+    """A value that never decreases as the column grows: blocks of integers, days, prefixes of
+    text.  It is a function of the row alone, so every use of it agrees."""
+    dt, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(dt, T.IntegralType):
+        return F.floor(c / F.lit(SEQUENCE_WIDTH))
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("HOUR", c)
+    if isinstance(dt, T.StringType):
+        return F.substring(c, 1, 6)
+    if isinstance(dt, T.DateType):
+        return c
+    return F.floor(c)
+
+
 def group_sequence(df: DataFrame, group_cols: list[str], order_cols: list[str],
                    name: str = "seq") -> DataFrame:
     """WIN2 helper: 1-based sequence within each group under a total order,
     without sending a whole group to one task.
 
-    Rows are range-partitioned on ``group + order``; each partition numbers
-    its own rows, a small ``(partition, group) -> count`` table gives every
-    partition its offset inside the group, and the offset is joined back.
-    """
-    keys = group_cols + order_cols
-    parted = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    w_local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-    local = parted.withColumn("_local", F.row_number().over(w_local))
-    counts = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    on = ["_pid"] + group_cols
-    out = local.join(offsets, [local[c].eqNullSafe(offsets[c]) for c in on], "inner") \
-        .select(local["*"], offsets["_off"])
-    return out.withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
+    Rows are numbered inside (group, bucket of the first order column); counts per bucket --
+    a small table -- are summed up over the earlier buckets of the group and joined back.  The
+    bucket is computed from the row, not from a partition, so both uses of it agree whatever
+    the optimizer makes of the plan.  NULL groups and keys count as values (NULLs first)."""
+    bucketed = df.withColumn("_bucket", _order_bucket(df, order_cols[0]))
+    local = bucketed.withColumn("_local", F.row_number().over(
+        Window.partitionBy(*group_cols, "_bucket").orderBy(*order_cols)))
+    counts = bucketed.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_bucket").alias("_gb"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+    out = local.join(offsets, [*on, F.col("_bucket").eqNullSafe(F.col("_gb"))])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_local")).alias(name))
 
 
 def proposals(result: DataFrame, date_col: str = "date", call_seconds: str | None = "call_s",

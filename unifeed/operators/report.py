@@ -108,53 +108,52 @@ def date_range(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.agg(F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))
 
 
+QUANTILE_ACCURACY = 10_000   # rank error of the brackets: 1/accuracy of the rows
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     tiebreak: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``) of
     several columns at once: one row per column with ``column``, ``n`` and
-    ``q0..qk`` -- without gathering any column in one task.
-
-    The columns are stacked into ``(column, value)`` pairs, range-partitioned
-    and sorted across the cluster in ONE shuffle (``tiebreak`` columns make
-    the order deterministic among equal values).  Each row's rank is its
-    position inside its partition plus the row counts of the earlier
-    partitions of the same column (a table of at most partitions x columns
-    rows); only the ranks ``floor/ceil((n-1)p)`` survive the filter.
-    """
-    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
-                                  for c in cols]))
-    v = df.select(stacked.alias("_s"), *[F.col(t) for t in tiebreak]) \
-        .select("_s._col", "_s._v", *tiebreak).where(F.col("_v").isNotNull())
-    order = ["_col", "_v", *tiebreak]
-    parted = v.repartitionByRange(*order).sortWithinPartitions(*order)
-    x = parted.select("_col", "_v", F.spark_partition_id().alias("_pid"),
-                      F.monotonically_increasing_id().alias("_mid"))
-    # rows of one partition and column are contiguous after the sort
-    x = x.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    counts = x.groupBy("_pid", "_col").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
-    w_all = Window.partitionBy("_col").orderBy("_pid").rowsBetween(Window.unboundedPreceding,
-                                                                   Window.unboundedFollowing)
-    w_before = Window.partitionBy("_col").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_col", "_first",
-                            F.coalesce(F.sum("_c").over(w_before), F.lit(0)).alias("_off"),
-                            F.sum("_c").over(w_all).alias("_n"))
-    ranked = x.join(F.broadcast(offsets), ["_pid", "_col"]).select(
-        "_col", "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_first")).alias("_idx"))
-    pos = [(F.col("_n") - 1) * float(p) for p in probs]
-    keep = None
-    for ps in pos:
-        hit = (F.col("_idx") == F.floor(ps)) | (F.col("_idx") == F.ceil(ps))
-        keep = hit if keep is None else keep | hit
-    few = ranked.where(keep)
-    aggs = [F.max("_n").alias("n")]
-    for i, ps in enumerate(pos):
-        aggs.append(F.max(F.when(F.col("_idx") == F.floor(ps), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(F.col("_idx") == F.ceil(ps), F.col("_v"))).alias(f"_hi{i}"))
-        aggs.append(F.max(ps - F.floor(ps)).alias(f"_fr{i}"))
-    a = few.groupBy("_col").agg(*aggs)
-    return a.select(F.col("_col").alias("column"), "n",
-                    *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}"))
-                      .alias(f"q{i}") for i in range(len(probs))])
+    ``q0..qk`` -- without sorting a column or gathering it in one task.
+
+    One scan brackets every wanted rank with ``percentile_approx`` (whose rank error is
+    bounded); a second one counts the values below each bracket and the distinct values
+    inside it, about 4/accuracy of the rows.  Ranks are prefix sums over those.  Columns with
+    few values are bracketed by their minimum and maximum.  ``tiebreak`` is accepted for
+    compatibility; equal values need none."""
+    eps = 2.0 / QUANTILE_ACCURACY
+    wanted = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-eps, eps)]
+    val = lambda c: F.col(f"`{c}`").cast("double")
+    brackets = []
+    for c in cols:
+        n, a = F.count(val(c)), F.percentile_approx(val(c), wanted, QUANTILE_ACCURACY)
+        few = n <= F.lit(QUANTILE_ACCURACY)
+        brackets.append(F.struct(F.lit(c).alias("_col"), n.alias("_n"), F.array(*[F.struct(
+            F.when(few, F.min(val(c))).otherwise(a[2 * i]).alias("lo"),
+            F.when(few, F.max(val(c))).otherwise(a[2 * i + 1]).alias("hi")) for i in range(len(probs))]).alias("_b")))
+    bounds = df.agg(F.array(*brackets).alias("_all")).scalar()
+    # per row and column: the wanted ranks whose bracket reaches the value or lies above it
+    cells = df.select(F.explode(F.array(*[F.struct(
+        F.lit(k).alias("k"), val(c).alias("v")) for k, c in enumerate(cols)])).alias("x")).select("x.k", "x.v")
+    cells = cells.where(F.col("v").isNotNull()).withColumn("b", F.get(bounds, F.col("k")))
+    near = cells.select("k", "v", F.posexplode("b._b").alias("i", "r")).where(F.col("v") <= F.col("r.hi"))
+    # everything below a bracket is one entry, its values are entries of their own
+    inside = F.when(F.col("v") >= F.col("r.lo"), F.col("v"))
+    steps = near.groupBy("k", "i", inside.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    upto = steps.withColumn("last", F.sum("c").over(
+        Window.partitionBy("k", "i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)))
+    p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("i") + 1)
+    upto = upto.withColumn("n", F.get(bounds, F.col("k"))["_n"]).withColumn("at", (F.col("n") - 1) * p)
+    first = F.col("last") - F.col("c")
+    picks = [F.max(F.when((first <= rank) & (rank < F.col("last")), F.col("v"))).alias(name)
+             for rank, name in ((F.floor("at"), "lo"), (F.ceil("at"), "hi"))]
+    each = upto.groupBy("k", "i").agg(*picks, F.max(F.col("at") - F.floor("at")).alias("fr"), F.max("n").alias("n"))
+    out = each.groupBy("k").agg(F.max("n").alias("n"), *[
+        F.max(F.when(F.col("i") == i, F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fr"))).alias(f"q{i}")
+        for i in range(len(probs))])
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select(F.get(names, F.col("k")).alias("column"), "n", *[f"q{i}" for i in range(len(probs))])
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], scale: int = 4,

@@ -104,7 +104,7 @@ def _parsed(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
         "event_name", "location", *keep)
 
 
-def community_log(raw: DataFrame, data_source: str = "community_engagement",
+def community_log(raw: DataFrame, data_source: str = "outreach_log",
                   processed_date: _dt.date | None = None,
                   office: str = "Community Engagement", division: str = "Outreach",
                   mapping: Mapping[str, str] = COMMUNITY_MAPPING,

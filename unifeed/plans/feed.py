@@ -41,7 +41,7 @@ def driver_sources(spark: SparkSession, sf_dir: str, routed: DataFrame | None =
     pd_ = _as_of()
     routed = routed if routed is not None else dispatch_routed(spark, sf_dir)
     return {
-        "community_engagement": standardize.community_log(dt.community_raw(spark, sf_dir),
+        "outreach_log": standardize.community_log(dt.community_raw(spark, sf_dir),
                                                           processed_date=pd_),
         "stacp": standardize.stacp_log(dt.stacp_raw(spark, sf_dir), processed_date=pd_,
                                        aliases=dt.DEMO_ALIASES),
@@ -56,24 +56,9 @@ def dispatch_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        keep=("event_id",))
 
 
-_PLANS: dict = {}
-
-
 def build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool = True,
                blank_matches: bool = True) -> FeedRun:
-    """§3.1: union -> FLT1 -> JOI1 (order matters: filter before gap-fill).
-
-    The lazy plan (not data) is memoised per session and input, so several
-    reports over the same feed share one plan-construction cost.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, gap_fill_enabled, blank_matches)
-    if key not in _PLANS:
-        _PLANS[key] = _build_feed(spark, sf_dir, gap_fill_enabled, blank_matches)
-    return _PLANS[key]
-
-
-def _build_feed(spark: SparkSession, sf_dir: str, gap_fill_enabled: bool,
-                blank_matches: bool) -> FeedRun:
+    """§3.1: union -> FLT1 -> JOI1 (order matters: filter before gap-fill)."""
     routed = dispatch_routed(spark, sf_dir)
     sources = driver_sources(spark, sf_dir, routed)
     combined = union_sources(sources.values())

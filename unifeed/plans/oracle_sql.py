@@ -21,8 +21,11 @@ DAYS = r"^(\d+)\s*days?\s+(\d+):(\d{1,2})(:(\d{1,2}))?$"
 HMS = r"^(\d+):(\d{1,2})(:(\d{1,2}))?$"
 WORDS = r"^(\d+(\.\d+)?)\s*(h|hr|hrs|hour|hours)\.?(\s*(\d+)\s*(m|min|mins|minute|minutes)\.?)?$"
 ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})([ T].*)?$"
-US4 = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
-US2 = r"^(\d{1,2})/(\d{1,2})/(\d{2})$"
+US4 = r"^(\d{1,2})/(\d{1,2})/(\d{4})( .*)?$"
+US2 = r"^(\d{1,2})/(\d{1,2})/(\d{2})( .*)?$"
+YMD = r"^(\d{4})/(\d{1,2})/(\d{1,2})( .*)?$"
+NAMED = r"^([A-Za-z]{3})[a-z]{0,6}\.? (\d{1,2}),? (\d{4})( .*)?$"
+AMPM = r"^(0?[1-9]|1[0-2]):([0-5]\d)(:([0-5]\d))? ?([AaPp])\.?[Mm]\.?$"
 
 
 def q(s: str) -> str:
@@ -59,16 +62,28 @@ def rx(t: str, pat: str, i: int, typ: str = "DOUBLE") -> str:
 def parse_date(t: str) -> str:
     """DAT1 on an already-normalised text column ``t`` (see :func:`m2n`)."""
     iso = t
-    for pat, rep in ((ISO, r"\1-\2-\3"), (US4, r"\3-\1-\2"), (US2, r"20\3-\1-\2")):
+    for pat, rep in ((ISO, r"\1-\2-\3"), (US4, r"\3-\1-\2"), (US2, r"20\3-\1-\2"), (YMD, r"\1-\2-\3")):
         iso = f"regexp_replace({iso}, {q(pat)}, {q(rep)})"
+    month = (f"list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], "
+             f"lower(regexp_extract({t}, {q(NAMED)}, 1)))")
+    iso = (f"CASE WHEN regexp_matches({t}, {q(NAMED)}) AND {month} IS NOT NULL THEN regexp_extract({t}, {q(NAMED)}, 3) || '-' || "
+           f"{month} || '-' || regexp_extract({t}, {q(NAMED)}, 2) ELSE {iso} END")
     return f"CASE WHEN regexp_matches({iso}, {q(r'^\d{4}-\d{1,2}-\d{1,2}$')}) THEN TRY_CAST({iso} AS DATE) END"
 
 
 def clock_seconds(t: str) -> str:
     h, m = rx(t, CLOCK, 1, "INTEGER"), rx(t, CLOCK, 2, "INTEGER")
     s = f"coalesce({rx(t, CLOCK, 4, 'INTEGER')}, 0)"
+    ah, am = rx(t, AMPM, 1, "INTEGER"), rx(t, AMPM, 2, "INTEGER")
+    as_ = f"coalesce({rx(t, AMPM, 4, 'INTEGER')}, 0)"
+    late = f"CASE WHEN lower(regexp_extract({t}, {q(AMPM)}, 5)) = 'p' THEN 43200 ELSE 0 END"
     return (f"CASE WHEN regexp_matches({t}, {q(CLOCK)}) AND {h} < 24 AND {m} < 60 AND {s} < 60 "
-            f"THEN {h} * 3600 + {m} * 60 + {s} END")
+            f"THEN {h} * 3600 + {m} * 60 + {s} "
+            f"WHEN regexp_matches({t}, {q(AMPM)}) THEN ({ah} % 12) * 3600 + {am} * 60 + {as_} + {late} "
+            f"WHEN regexp_matches({t}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}[ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$') "
+            f"THEN {rx(t, '[ T]([0-9]+):', 1, 'INTEGER')} * 3600 + {rx(t, '[ T][0-9]+:([0-9]+)', 1, 'INTEGER')} * 60 "
+            f"+ coalesce({rx(t, '[ T][0-9]+:[0-9]+:([0-9]+)', 1, 'INTEGER')}, 0) "
+            f"WHEN regexp_matches({t}, '^0?[.][0-9]+$') THEN CAST(round(TRY_CAST({t} AS DOUBLE) * 86400) AS INTEGER) % 86400 END")
 
 
 def duration_hours(t: str) -> str:
@@ -223,7 +238,7 @@ ce AS (SELECT row_id, date, {hhmm('start_s')} AS start_time, {hhmm('end_s')} AS
   round_even(coalesce({positive('given_raw')}, {positive(elapsed('start_s', 'end_s'))}, 0.5), 2) AS duration_hours,
   greatest(coalesce({to_long_trunc('t_cnt')}, 1), 1) AS attendee_count,
   'Community Engagement' AS office, 'Outreach' AS division, '' AS attendee_names,
-  'community_engagement' AS data_source, {PD} AS processed_date FROM ce_p)"""
+  'outreach_log' AS data_source, {PD} AS processed_date FROM ce_p)"""
 
 
 def _alias_lookup(x: str) -> str:

@@ -18,15 +18,16 @@ Q = S.q
 # ------------------------------------------------------------------ JOI1 on events
 
 def _gap_sides(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select(
+    ev = table(spark, sf_dir, "events", spread=False).select(
         "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("date"),
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("location"))
-    return ev.where(F.col("event_type") == "purchase"), ev.where(F.col("event_type") == "click")
+    click = F.col("event_type") == "click"
+    return ev.where(~F.coalesce(click, F.lit(False))), ev.where(click)
 
 
 _GAP_SQL = """WITH ev AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS date,
   regexp_replace(lower('user ' || CAST(user_id AS VARCHAR)), '[^a-z0-9]', '', 'g') AS k_loc FROM events),
-rec AS (SELECT DISTINCT coalesce(strftime(date, '%Y-%m-%d'), '') AS k_date, k_loc FROM ev WHERE event_type = 'purchase'),
+rec AS (SELECT DISTINCT coalesce(strftime(date, '%Y-%m-%d'), '') AS k_date, k_loc FROM ev WHERE event_type IS DISTINCT FROM 'click'),
 gap AS (SELECT *, coalesce(strftime(date, '%Y-%m-%d'), '') AS k_date FROM ev WHERE event_type = 'click')"""
 
 
@@ -34,7 +35,7 @@ gap AS (SELECT *, coalesce(strftime(date, '%Y-%m-%d'), '') AS k_date FROM ev WHE
 SELECT event_id, user_id, date FROM gap g WHERE NOT EXISTS
   (SELECT 1 FROM rec r WHERE r.k_date = g.k_date AND r.k_loc = g.k_loc)""")
 def gapfill(spark, sf_dir):
-    """JOI1: click events kept only where no purchase covers the same (day, user)."""
+    """JOI1: click events kept only where no other event covers the same (day, user)."""
     record, gap = _gap_sides(spark, sf_dir)
     kept, _ = gap_fill(record, gap)
     return kept.select("event_id", "user_id", "date")
@@ -44,7 +45,7 @@ def gapfill(spark, sf_dir):
 SELECT event_id, user_id, date FROM gap g WHERE EXISTS
   (SELECT 1 FROM rec r WHERE r.k_date = g.k_date AND r.k_loc = g.k_loc)""")
 def gapfill_dropped(spark, sf_dir):
-    """JOI1 audit (left semi): click events a purchase already covers."""
+    """JOI1 audit (left semi): click events that another event already covers."""
     record, gap = _gap_sides(spark, sf_dir)
     _, dropped = gap_fill(record, gap)
     return dropped.select("event_id", "user_id", "date")
@@ -128,16 +129,10 @@ res AS (SELECT c.*, CASE WHEN a.present_row IS NOT NULL THEN 'PRESENT' WHEN a.sp
 resl AS (SELECT r.*, l.location AS matched_loc FROM res r LEFT JOIN lg l ON l.row_idx = r.matched_row)"""
 
 
-_PLANS: dict = {}
-
-
 def _reconciled(spark, sf_dir):
-    """The reconciliation plan (lazy, not data), memoised per session and input."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _PLANS:
-        cad, log = recon_sides(spark, sf_dir)
-        _PLANS[key] = (R.reconcile(cad, log), log)
-    return _PLANS[key]
+    """The reconciliation plan and the log it was made against."""
+    cad, log = recon_sides(spark, sf_dir)
+    return R.reconcile(cad, log), log
 
 
 @register("reconcile", f"""{_RECON_SQL}

@@ -68,7 +68,10 @@ def _clock_texts(ev):
                  .otherwise(F.date_format("ts", "H:mm")))
     end_txt = (F.when(e % 4 == 0, F.format_string("%02d:%02d", h, m))
                .when(e % 4 == 1, F.format_string("%02d:%02d:%02d", h, m, s))
-               .when(e % 4 == 2, F.lit("invalid"))
+               .when(e % 8 == 2, F.lit("invalid"))
+               .when(e % 16 == 6, F.concat(F.when(h % 12 == 0, F.lit(12)).otherwise(h % 12).cast("string"),
+                                           F.format_string(":%02d ", m), F.when(h < 12, "AM").otherwise("pm")))
+               .when(e % 16 == 14, F.format_string("1899-12-30 %02d:%02d:%02d", h, m, s))
                .otherwise(F.format_string("%02d%02d", h, m)))
     return start_txt, end_txt
 
@@ -79,7 +82,11 @@ _EH, _EM, _ES = (f"CAST(floor({_END} / 3600) AS BIGINT)", f"CAST(floor(({_END} %
 _CLOCK_SQL = f"""SELECT event_id,
   CASE event_id % 3 WHEN 0 THEN strftime(ts, '%H:%M') WHEN 1 THEN strftime(ts, '%H%M') ELSE strftime(ts, '%-H:%M') END AS start_text,
   CASE event_id % 4 WHEN 0 THEN printf('%02d:%02d', {_EH}, {_EM}) WHEN 1 THEN printf('%02d:%02d:%02d', {_EH}, {_EM}, {_ES})
-    WHEN 2 THEN 'invalid' ELSE printf('%02d%02d', {_EH}, {_EM}) END AS end_text
+    WHEN 2 THEN CASE WHEN event_id % 8 = 2 THEN 'invalid'
+      WHEN event_id % 16 = 6 THEN (CASE WHEN {_EH} % 12 = 0 THEN 12 ELSE {_EH} % 12 END) || printf(':%02d ', {_EM})
+        || (CASE WHEN {_EH} < 12 THEN 'AM' ELSE 'pm' END)
+      ELSE printf('1899-12-30 %02d:%02d:%02d', {_EH}, {_EM}, {_ES}) END
+    ELSE printf('%02d%02d', {_EH}, {_EM}) END AS end_text
 FROM events"""
 
 
@@ -89,7 +96,7 @@ SELECT event_id, start_text, end_text, start_s, end_s,
   round_even({S.elapsed('start_s', 'end_s')}, 4) AS elapsed_hours,
   round_even(coalesce({S.positive(S.elapsed('start_s', 'end_s'))}, 0.5), 2) AS duration_hours FROM s""")
 def elapsed_wrap(spark, sf_dir):
-    """DAT2 clock text in four layouts, DUR2 elapsed with midnight wrap, DUR3 fallback."""
+    """DAT2 clock text in six layouts, DUR2 elapsed with midnight wrap, DUR3 fallback."""
     ev = table(spark, sf_dir, "events")
     st, et = _clock_texts(ev)
     t = ev.select("event_id", st.alias("start_text"), et.alias("end_text"))
@@ -175,7 +182,11 @@ def conservation(spark, sf_dir):
 
 def _date_text(o):
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    return (F.when(k % 5 == 0, F.date_format(d, "MM/dd/yyyy"))
+    return (F.when(k % 15 == 0, F.date_format(d, "MM/dd/yyyy HH:mm:ss"))
+            .when(k % 15 == 5, F.date_format(d, "yyyy/MM/dd"))
+            .when(k % 30 == 17, F.date_format(d, "MMM d, yyyy"))
+            .when(k % 30 == 2, F.date_format(d, "MMMM dd yyyy"))
+            .when(k % 5 == 0, F.date_format(d, "MM/dd/yyyy"))
             .when(k % 5 == 1, F.when(F.year(d) >= 2000, F.date_format(d, "MM/dd/yy"))
                   .otherwise(F.date_format(d, "yyyy-MM-dd")))
             .when(k % 5 == 2, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
@@ -183,12 +194,15 @@ def _date_text(o):
             .otherwise(F.when(k % 2 == 0, F.lit("02/30/2026")).otherwise(F.lit("  "))))
 
 
-_DATE_TEXT_SQL = """CASE o_orderkey % 5
+_DATE_TEXT_SQL = """CASE WHEN o_orderkey % 15 = 0 THEN strftime(o_orderdate, '%m/%d/%Y %H:%M:%S')
+  WHEN o_orderkey % 15 = 5 THEN strftime(o_orderdate, '%Y/%m/%d')
+  WHEN o_orderkey % 30 = 17 THEN strftime(o_orderdate, '%b %-d, %Y')
+  WHEN o_orderkey % 30 = 2 THEN strftime(o_orderdate, '%B %d %Y') ELSE CASE o_orderkey % 5
   WHEN 0 THEN strftime(o_orderdate, '%m/%d/%Y')
   WHEN 1 THEN CASE WHEN year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%m/%d/%y') ELSE strftime(o_orderdate, '%Y-%m-%d') END
   WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
   WHEN 3 THEN printf('%02d%02d', o_orderkey % 24, o_orderkey % 60)
-  ELSE CASE WHEN o_orderkey % 2 = 0 THEN '02/30/2026' ELSE '  ' END END"""
+  ELSE CASE WHEN o_orderkey % 2 = 0 THEN '02/30/2026' ELSE '  ' END END END"""
 _DATES = f"""WITH t AS (SELECT o_orderkey, {_DATE_TEXT_SQL} AS date_text FROM orders),
 n AS (SELECT *, {S.m2n('date_text')} AS t_date FROM t),
 p AS (SELECT *, {S.parse_date('t_date')} AS parsed_date FROM n)"""
@@ -197,7 +211,7 @@ p AS (SELECT *, {S.parse_date('t_date')} AS parsed_date FROM n)"""
 @register("parse_mixed_dates", f"""{_DATES}
 SELECT o_orderkey, date_text, parsed_date, coalesce(strftime(parsed_date, '%Y-%m-%d'), t_date, '') AS date_key FROM p""")
 def parse_mixed_dates(spark, sf_dir):
-    """DAT1 over every order: five text layouts (incl. clock-like junk and impossible days)."""
+    """DAT1 over every order: nine text layouts (incl. clock-like junk and impossible days)."""
     o = table(spark, sf_dir, "orders")
     t = o.select("o_orderkey", _date_text(o).alias("date_text"))
     n = t.select("*", missing_to_null("date_text").alias("t_date"))

@@ -37,6 +37,10 @@ def _read(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
         return read_delimited(spark, path, sep="\t" if kind == "tsv" else spec.get("sep", ","))
     if kind == "xlsx":
         rows = read_workbooks(spark, path, spec.get("sheets"))
+        broken = rows.where(F.col("error").isNotNull()).select("file", "error").orderBy("file")
+        first = broken.first()
+        if first is not None:       # name the first file; all of them are in ``rows``
+            raise ValueError(f"unreadable workbook {first['file']}: {first['error']}")
         return rows_to_frame(rows, spec["columns"])
     return read_parquet(spark, path)
 
@@ -73,7 +77,7 @@ def run(spark: SparkSession, config: Mapping[str, Any], processed_date: _dt.date
             frames[name] = df
             status.append((name, "ok", None))
         except Exception as e:  # one failing source must not stop the run
-            status.append((name, "failed", f"{type(e).__name__}: {str(e)[:500]}"))
+            status.append((name, "failed", f"{type(e).__name__}: {e}"))
     status_df = spark.createDataFrame(status, "source string, status string, error string")
     if not frames:
         return None, status_df

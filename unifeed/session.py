@@ -1,9 +1,8 @@
 """Spark session helpers.
 
-Jobs never create machine-local scratch space on a cluster: the checkpoint
-directory is read from ``spark.checkpoint.dir`` (the shared folder the cluster
-names).  Only when the setting is absent -- local tests, benches -- do we point
-it at a fresh temporary folder.
+Jobs never create machine-local scratch space on a cluster: the checkpoint directory is
+read from ``spark.checkpoint.dir`` (the shared folder the cluster names), and only when a job
+needs one.
 """
 
 from __future__ import annotations
@@ -11,16 +10,17 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-# Settings every job relies on: UTC so timestamp casts agree with the SQL
-# oracle, AQE for runtime coalescing / skew-join splitting.
-BASE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# What results depend on: UTC, so timestamp casts agree with the SQL oracle.
+BASE_CONF = {"spark.sql.session.timeZone": "UTC"}
+# Sizes and features of sessions that this module makes itself (tests, bench); a cluster's
+# own settings are left alone.
+LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewedPartitionThresholdInBytes": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -32,44 +32,34 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "unifeed") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **LOCAL_CONF}.items():
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", os.environ.get("UNIFEED_DRIVER_MEM", "8g")))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_conf(spark)
-    return spark
+    return apply_conf(spark)
 
 
 def apply_conf(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the operators depend on (idempotent)."""
+    """Apply the session settings that results depend on (idempotent)."""
     for k, v in BASE_CONF.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running cluster session
-            pass
-    ensure_checkpoint_dir(spark)
+        spark.conf.set(k, v)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a temp one only if unset."""
-    sc = spark.sparkContext
-    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if cur:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(cur)
-        return cur
-    d = tempfile.mkdtemp(prefix="unifeed-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
-    return d
-
+    """The shared folder of ``spark.checkpoint.dir``.
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    A single-JVM session (tests, bench) without the setting gets a temporary folder the
+    first time one is needed; on a cluster a missing setting is an error."""
+    cur = spark.conf.get("spark.checkpoint.dir", None)
+    if not cur:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        cur = tempfile.mkdtemp(prefix="unifeed-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", cur)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(cur)
+    return cur

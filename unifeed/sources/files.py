@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 from ..functions.dates import period_from_file_name
 
 
+#: A scan of this many splits is never dealt anew, however many cores there are, so what
+#: ``spread`` shuffles is bounded (32 splits of 128 MB).
+MAX_SPREAD = 32
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give a scan at least ``min_partitions`` (default: the cluster's default
     parallelism) partitions before CPU-heavy per-row parsing.
@@ -29,7 +34,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the scan.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
+    target = min_partitions or min(spark.sparkContext.defaultParallelism, MAX_SPREAD)
     try:
         n = df.rdd.getNumPartitions()
     except Exception:  # e.g. a client session without RDD access
@@ -46,12 +51,14 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], spread_scan: bo
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
-                   schema: T.StructType | None = None, header: bool = True) -> DataFrame:
+                   schema: T.StructType | None = None, header: bool = True,
+                   multi_line: bool = False) -> DataFrame:
     """SRC2 / SRC3: delimited text with a header, every cell read as text unless a
     schema is given (no inference pass over the data).  A UTF-8 byte-order
-    mark on the first header is removed; ``multiLine`` keeps quoted newlines."""
+    mark on the first header is removed.  Files are split over tasks by line;
+    ``multi_line`` reads each file whole, for cells with line breaks inside quotes."""
     paths = [path] if isinstance(path, str) else list(path)
-    r = (spark.read.option("header", header).option("sep", sep).option("multiLine", True)
+    r = (spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
          .option("escape", '"').option("encoding", "UTF-8"))
     df = r.schema(schema).csv(paths) if schema is not None else r.option("inferSchema", False).csv(paths)
     first = df.columns[0] if df.columns else None

@@ -4,7 +4,9 @@ Spark has no built-in spreadsheet format, so workbooks are read as a batch
 job over *many* files: ``binaryFile`` lists and loads them (one row per file,
 partitioned by Spark), and ``mapInPandas`` decodes each OOXML package with the
 standard library (``zipfile`` + ``ElementTree``) into long rows
-``(file, sheet, row_no, cells ARRAY<STRING>)``.  Everything after decoding --
+``(file, sheet, row_no, cells ARRAY<STRING>)``.  Numbers whose cell style shows a date, a
+clock or elapsed time come out as ``yyyy-MM-dd[ HH:mm:ss]``, ``HH:mm:ss`` or ``H:mm:ss``.
+Everything after decoding --
 header mapping, positional columns, blank-row filtering, inventories -- is
 ordinary DataFrame work.  A single workbook is necessarily decoded by one
 task (a zip member is read sequentially); many workbooks spread over the
@@ -13,6 +15,7 @@ cluster.
 
 from __future__ import annotations
 
+import datetime as _dt
 import io
 import re
 import zipfile
@@ -51,6 +54,45 @@ def _text(el) -> str:
     return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
 
 
+# Built-in number formats that show dates, clocks and elapsed time.
+_DATE_FORMATS = {14: "d", 15: "d", 16: "d", 17: "d", 18: "t", 19: "t", 20: "t", 21: "t", 22: "dt", 45: "t", 46: "e", 47: "t"}
+
+
+def _format_kind(code: str) -> str:
+    """"d", "t", "dt" or "e" (elapsed) for a custom number format, "" for any other."""
+    if re.search(r"\[h+\]|\[m+\]|\[s+\]", code, re.I):
+        return "e"
+    bare = re.sub(r'"[^"]*"|\\\\.|\[[^\]]*\]', "", code.split(";")[0]).lower()
+    day, clock = bool(re.search(r"[yd]", bare)), bool(re.search(r"[hs]", bare))
+    return ("d" if day or (not clock and re.search(r"m", bare)) else "") + ("t" if clock else "")
+
+
+def _style_kinds(z: zipfile.ZipFile, names: set[str]) -> list[str]:
+    """The kind of each cell style."""
+    if "xl/styles.xml" not in names:
+        return []
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")): _format_kind(f.get("formatCode", "")) for f in root.findall("m:numFmts/m:numFmt", _NS)}
+    ids = [int(x.get("numFmtId", "0")) for x in root.findall("m:cellXfs/m:xf", _NS)]
+    return [custom.get(i, _DATE_FORMATS.get(i, "")) for i in ids]
+
+
+def _typed(value: str, kind: str) -> str:
+    """A serial number shown as a date, a clock or elapsed time, as the text a person reads."""
+    try:
+        serial = float(value)
+    except ValueError:
+        return value
+    seconds = round(serial * 86400)
+    clock = f"{seconds // 3600 % 24:02d}:{seconds // 60 % 60:02d}:{seconds % 60:02d}"
+    if kind == "e":
+        return f"{seconds // 3600}:{seconds // 60 % 60:02d}:{seconds % 60:02d}"
+    if kind == "t" or serial < 1:
+        return clock
+    day = (_dt.date(1899, 12, 30) + _dt.timedelta(days=seconds // 86400)).isoformat()
+    return f"{day} {clock}" if kind == "dt" and seconds % 86400 else day
+
+
 def decode_workbook(path: str, content: bytes, sheets: Sequence[str] | None = None):
     """Yield ``(sheet, row_no, cells)`` for every non-empty row of a workbook."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -64,6 +106,7 @@ def decode_workbook(path: str, content: bytes, sheets: Sequence[str] | None = No
             for rel in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("pr:Relationship", _NS):
                 target = rel.get("Target", "")
                 rels[rel.get("Id")] = target.lstrip("/") if target.startswith("/xl/") else "xl/" + target
+        kinds = _style_kinds(z, names)
         wb = ET.fromstring(z.read("xl/workbook.xml"))
         for sh in wb.findall("m:sheets/m:sheet", _NS):
             name = sh.get("name")
@@ -90,6 +133,9 @@ def decode_workbook(path: str, content: bytes, sheets: Sequence[str] | None = No
                         val = "TRUE" if v.text == "1" else "FALSE"
                     else:
                         val = v.text if v is not None else None
+                        style = int(c.get("s", "0"))
+                        if val is not None and kind in (None, "n") and style < len(kinds) and kinds[style]:
+                            val = _typed(val, kinds[style])
                     if val is not None:
                         cells[idx] = val
                 if cells:
@@ -107,14 +153,14 @@ def read_workbooks(spark: SparkSession, pattern: str, sheets: Sequence[str] | No
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path, content in zip(pdf["path"], pdf["content"]):   # one batch out per file
+                out = []
                 try:
                     for sheet, row_no, cells in decode_workbook(path, bytes(content), wanted):
                         out.append((path, sheet, row_no, cells, None))
-                except Exception as e:  # locked, empty or corrupt package
-                    out.append((path, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["file", "sheet", "row_no", "cells", "error"])
+                except Exception as e:  # locked, empty or corrupt package: its rows are void
+                    out = [(path, None, None, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(out, columns=["file", "sheet", "row_no", "cells", "error"])
 
     return files.mapInPandas(decode, ROW_SCHEMA)
 
