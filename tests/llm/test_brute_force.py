@@ -170,6 +170,19 @@ def test_mix_reaches_targets(spark):
     assert sorted(map(tuple, out)) == sorted(map(tuple, mixing.mix(df.repartition(7), weights=(1, 5)).collect()))
 
 
+def test_mix_with_unequal_inclusion(spark):
+    weight = lambda i: None if i % 7 == 0 else 60.0 if i % 8 == 2 else 1.0 if i % 2 == 0 else 2.0
+    rows = [(i, " ".join(["w"] * 20), f"s{i % 2}", weight(i)) for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    out = mixing.mix(df, weights=(1, 1), weight_col="w").collect()
+    assert all(r.copies == 0 for r in out if r.w is None)
+    mean = lambda s, w: np.mean([r.copies for r in out if r.source == s and r.w == w])
+    assert mean("s0", 60.0) == 3 and 0.3 < mean("s0", 1.0) < 0.6      # the heavy rows are at the limit
+    for s in ("s0", "s1"):
+        mine = [r for r in out if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 20
+
+
 # -- 5: language model --------------------------------------------------------------------
 
 def test_language_model(spark, texts):

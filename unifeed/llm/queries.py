@@ -22,8 +22,8 @@ s1 AS (SELECT *, CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) %
 s2 AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS full_,
               sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wrest,
               sum(source_size) OVER () AS total FROM s1),
-s3 AS (SELECT *, (total - full_) / wrest AS lvl FROM s2),
-s4 AS (SELECT *, (SELECT arg_min(lvl, cap / w) FROM s3 WHERE lvl * w <= cap) AS level FROM s3),
+s3 AS (SELECT *, (total - full_) / wrest AS lvl, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS place FROM s2),
+s4 AS (SELECT *, (SELECT arg_min(lvl, place) FROM s3 WHERE lvl * w <= cap) AS level FROM s3),
 s5 AS (SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * w) END AS target FROM s4),
 s6 AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS r FROM s5),
 j AS (SELECT d.*, s6.source_size, s6.target, floor(r) AS whole, r - floor(r) AS p,
