@@ -74,7 +74,7 @@ CLOCK_STRICT = r"^([01]?\d|2[0-3]):?([0-5]\d)(:([0-5]\d))?$"
 
 
 CLOCK_DATE = r"^\d{4}-\d{1,2}-\d{1,2}[ T]"
-CLOCK_AMPM = r"^(0?[1-9]|1[0-2]):([0-5]\d)(:([0-5]\d))? ?([AaPp])\.?[Mm]\.?$"
+CLOCK_AMPM = r"^((?:0?[1-9]|1[0-2]):[0-5]\d)(:[0-5]\d)? ?([AP])\.?M\.?$"
 DAY_FRACTION = r"^0?\.\d+$"
 
 
@@ -84,17 +84,15 @@ def clock_digits(c, normalized: bool = False) -> Column:
     clock is dropped (``1899-12-30 10:00:00``), ``2:05 PM`` counts from noon and a fraction of
     a day below one (``0.4167``, a spreadsheet time) is rounded to the second."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
+    # few uses of ``t``: optimizer rules copy this expression into filters
     after = F.regexp_replace(t, CLOCK_DATE, "")
-    hour = digits_to(F.regexp_extract(t, CLOCK_AMPM, 1), "int") % 12
-    hour = hour + F.when(F.lower(F.regexp_extract(t, CLOCK_AMPM, 5)) == "p", 12).otherwise(0)
-    rest = F.concat(F.regexp_extract(t, CLOCK_AMPM, 2), F.regexp_extract(t, CLOCK_AMPM, 4))
-    # a failing cast is slow: only text of the right shape is cast
-    secs = F.round(F.when(t.rlike(DAY_FRACTION), t.cast("double")) * 86400).cast("int") % 86400
-    digits = (secs / 3600).cast("int") * 10000 + ((secs % 3600) / 60).cast("int") * 100 + secs % 60
-    return (F.when(t.rlike(CLOCK_STRICT), F.translate(t, ":", ""))
-            .when((F.instr(t, "-") > 0) & after.rlike(CLOCK_STRICT) & (after != t), F.translate(after, ":", ""))
-            .when(t.rlike(CLOCK_AMPM), F.concat(hour.cast("string"), rest))
-            .when(t.rlike(DAY_FRACTION), F.lpad(digits.cast("string"), 6, "0")))
+    half = F.regexp_replace(F.upper(t), CLOCK_AMPM, "$1$2 $3M")
+    # only text of the right shape is parsed or cast (failures are slow); sessions are in UTC
+    noon = F.date_format(F.try_to_timestamp(half, F.lit("h:mm[:ss] a")), "HHmmss")
+    part = F.date_format(F.timestamp_seconds(F.round(t.cast("double") * 86400)), "HHmmss")
+    return (F.when(after.rlike(CLOCK_STRICT), F.translate(after, ":", ""))
+            .when(t.rlike("(?i)" + CLOCK_AMPM), noon)
+            .when(t.rlike(DAY_FRACTION), part))
 
 
 def clock_from_digits(d) -> Column:
@@ -161,19 +159,23 @@ def add_minutes_of_day(seconds, minutes: int = 30) -> Column:
     return F.pmod(col_(seconds) + minutes * 60, F.lit(86400))
 
 
-def memorial_guard(out_s, in_s):
+def memorial_guard(out_s, in_s, on_inversion: str = "impute"):
     """DUR4: returns ``(duration_hours, imputed, end_seconds)`` columns.
 
     The span ``round(in - out, 4)`` in hours below two minutes (including any
     negative span -- no midnight wrap, as in production) is replaced by the
     imputed half hour and the end clock moves to start + 30 min.  A missing
-    side yields NULL duration and no imputation.
+    side yields NULL duration and no imputation.  ``on_inversion="reject"`` leaves spans
+    that end before they start without a duration instead.
     """
+    if on_inversion not in ("impute", "reject"):
+        raise ValueError(f"on_inversion: {on_inversion!r}")
     o, i = col_(out_s), col_(in_s)
     span = round_half_even((i - o) / 3600.0, 4)
     both = o.isNotNull() & i.isNotNull()
-    imputed = both & (span < F.lit(MEMORIAL_MAX_HOURS))
-    dur = F.when(imputed, F.lit(IMPUTED_HOURS)).when(both, span)
+    rejected = (both & (i < o)) if on_inversion == "reject" else F.lit(False)
+    imputed = both & (span < F.lit(MEMORIAL_MAX_HOURS)) & ~rejected
+    dur = F.when(imputed, F.lit(IMPUTED_HOURS)).when(both & ~rejected, span)
     end = F.when(imputed, add_minutes_of_day(o, int(IMPUTED_HOURS * 60))).otherwise(i)
     return dur, imputed, end
 

@@ -95,6 +95,23 @@ def crosstab_margins(df: DataFrame, row_key: str, col_key: str, all_label: str =
         "n")
 
 
+def crosstab_full(df: DataFrame, row_key: str, col_key: str, all_label: str = "All") -> DataFrame:
+    """AGG4 as a whole table: :func:`crosstab_margins` plus a zero cell for every pair of a row
+    value and a column value that never meet.  Column values are one array (a crosstab's
+    columns are few); each row value is expanded by it, so nothing is joined crosswise."""
+    sparse = crosstab_margins(df, row_key, col_key, all_label)
+    rows = sparse.where(F.col(col_key) == all_label).select(row_key)
+    values = sparse.where(F.col(row_key) == all_label).agg(F.collect_set(col_key)).scalar()
+    cells = rows.select(row_key, F.explode(values).alias(col_key))
+    return cells.join(sparse, [row_key, col_key], "left").select(
+        row_key, col_key, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def distinct_listing(df: DataFrame, key: str) -> DataFrame:
+    """AGG6: every distinct value of a column with its rows, as a table (sorted on writing)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def distinct_values(df: DataFrame, key: str) -> DataFrame:
     """AGG6: distinct count of a column plus its min/max (a sorted distinct
     listing is ``df.select(key).distinct().orderBy(key)``, never collected)."""

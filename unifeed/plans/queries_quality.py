@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, numbers
 from ..functions.text import blank_to_null
 from ..operators import quality, report
+from ..sources.files import count_tokens
 from . import oracle_sql as S
 from .catalog import register
 from .driver_tables import PROCESSED_DATE, table
@@ -225,24 +226,41 @@ def export_check(spark, sf_dir):
 
 # ------------------------------------------------------------------ QLT11
 
-_TOKENS = "[^A-Za-z0-9_]+"
+@register("log_error_count", """SELECT CAST(coalesce(sum((length(text) - length(replace(text, 'the', ''))) / 3), 0) AS BIGINT) AS token_hits,
+  count(*) AS lines, coalesce(sum((length(text) - length(replace(text, 'the', ''))) / 3), 0) > 10 AS alert FROM conversations""")
+def log_error_count(spark, sf_dir):
+    """QLT11: occurrences of a token over every conversation line, with the alert flag."""
+    return count_tokens(table(spark, sf_dir, "conversations"), "text", "the")
 
 
-@register("log_error_count", f"""WITH t AS (SELECT len(list_filter(string_split_regex(text, {Q(_TOKENS)}),
-  lambda x: x = 'the')) AS hits FROM conversations)
-SELECT CAST(coalesce(sum(hits), 0) AS BIGINT) AS token_hits, count_if(hits > 0) AS lines_with_hits,
-  coalesce(sum(hits), 0) > 10 AS alert FROM t""")
-def log_error_count(spark, sf_dir):
-    """QLT11: count of a token (here ``the``) over every text line, with the >10 alert."""
-    c = table(spark, sf_dir, "conversations")
-    hits = F.size(F.filter(F.split(F.col("text"), _TOKENS), lambda x: x == F.lit("the")))
-    t = c.select(hits.alias("hits"))
-    return t.agg(F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("token_hits"),
-                 F.count_if(F.col("hits") > 0).alias("lines_with_hits"),
-                 (F.coalesce(F.sum("hits"), F.lit(0)) > 10).alias("alert"))
+@register("quality_gate", f"SELECT q.*, overall >= 75.0 AS passed FROM ({_QS_SQL}) q")
+def quality_gate(spark, sf_dir):
+    """QLT10: the run's scores with the gate at 75."""
+    return quality.quality_gate(quality.quality_scores(qa_frame(spark, sf_dir), AS_OF_YEAR))
+
+
+@register("distinct_listing", "SELECT source, count(*) AS n FROM documents GROUP BY source")
+def distinct_listing(spark, sf_dir):
+    """AGG6: every source of ``documents`` with its rows."""
+    return report.distinct_listing(table(spark, sf_dir, "documents"), "source")
 
 
-# ------------------------------------------------------------------ AGG3/AGG4/AGG6/AGG7/AGG8/AGG9/WIN1
+@register("crosstab_full", """WITH g AS (SELECT CASE WHEN grouping(conv_id) = 1 THEN 'All' ELSE CAST(conv_id AS VARCHAR) END AS conv_id,
+  CASE WHEN grouping(role) = 1 THEN 'All' ELSE role END AS role, count(*) AS k FROM conversations GROUP BY CUBE (conv_id, role))
+SELECT r.conv_id, s.role, coalesce(g.k, 0) AS n FROM (SELECT DISTINCT conv_id FROM g) r
+  CROSS JOIN (SELECT DISTINCT role FROM g) s LEFT JOIN g ON g.conv_id = r.conv_id AND g.role = s.role""")
+def crosstab_full(spark, sf_dir):
+    """AGG4 with zero cells: turns of every conversation by role (most have no system turn)."""
+    return report.crosstab_full(table(spark, sf_dir, "conversations"), "conv_id", "role")
+
+
+@register("office_substring_rows", f"""{_F}
+SELECT date, event_name, location, office, data_source FROM feed WHERE contains(office, 'Engagement')""")
+def office_substring_rows(spark, sf_dir):
+    """FLT7: the rows whose office contains a substring."""
+    f = build_feed(spark, sf_dir).feed
+    return f.where(F.col("office").contains("Engagement")).select("date", "event_name", "location", "office", "data_source")
+
 
 @register("value_share", """SELECT event_type, count(*) AS n,
   round_even(count(*) * 100.0 / (SELECT count(*) FROM events), 2) AS pct FROM events GROUP BY event_type""")

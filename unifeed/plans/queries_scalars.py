@@ -264,9 +264,7 @@ def rolling_window(spark, sf_dir):
     o = table(spark, sf_dir, "orders", spread=False)
     as_of = F.lit("2000-06-15").cast("date")
     d = F.col("o_orderdate")
-    start = F.add_months(F.trunc(as_of, "MM"), -12).cast("timestamp_ntz")
-    end = F.add_months(F.trunc(as_of, "MM"), 1).cast("timestamp_ntz")
-    return o.where((d >= start) & (d < end)).groupBy(F.year(d).alias("year"), F.month(d).alias("month")) \
+    return o.where(dates.rolling_months(d.cast("date"), as_of, 13)).groupBy(F.year(d).alias("year"), F.month(d).alias("month")) \
         .agg(F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -465,3 +463,30 @@ def grid_unpivot(spark, sf_dir):
     events, _rejects = reshape.grid_to_events(grid)
     return events.select("date", "start_time", "end_time", "event_name", "location", "duration_hours",
                          "attendee_count", "sheet")
+
+
+@register("grid_rejects", """SELECT DISTINCT strftime(ts, '%y_%m') AS sheet, event_type AS activity, '31' AS day_label, 'n/a' AS cell
+FROM events WHERE event_type = 'click'""")
+def grid_rejects(spark, sf_dir):
+    """REL4: cells of the count grid that are no number are listed, not dropped."""
+    ev = table(spark, sf_dir, "events")
+    src = ev.select(F.date_format("ts", "yy_MM").alias("sheet"), F.col("event_type").alias("activity"),
+                    F.dayofmonth("ts").alias("day"))
+    grid = reshape.counts_to_grid(src, "sheet", "activity", "day")
+    junk = grid.withColumn("31", F.when(F.col("activity") == "click", F.lit("n/a")).otherwise(F.col("31").cast("string")))
+    _, rejects = reshape.grid_to_events(junk)
+    return rejects
+
+
+@register("inverted_spans", f"""WITH t AS ({_CLOCK_SQL}),
+s AS (SELECT *, {S.clock_seconds(S.m2n('start_text'))} AS start_s, {S.clock_seconds(S.m2n('end_text'))} AS end_s FROM t),
+d AS (SELECT *, round_even((end_s - start_s) / 3600.0, 4) AS span FROM s)
+SELECT event_id, CASE WHEN span >= 0 AND end_s >= start_s THEN CASE WHEN span < 2 / 60.0 THEN 0.5 ELSE span END END AS duration_hours,
+  coalesce(end_s >= start_s AND span < 2 / 60.0, false) AS imputed FROM d""")
+def inverted_spans(spark, sf_dir):
+    """DUR4 with ``on_inversion='reject'``: spans that end before they start have no duration."""
+    ev = table(spark, sf_dir, "events")
+    st, et = _clock_texts(ev)
+    s = ev.select("event_id", durations.clock_seconds(st).alias("start_s"), durations.clock_seconds(et).alias("end_s"))
+    dur, imputed, _ = durations.memorial_guard("start_s", "end_s", on_inversion="reject")
+    return s.select("event_id", dur.alias("duration_hours"), F.coalesce(imputed, F.lit(False)).alias("imputed"))

@@ -102,8 +102,12 @@ def count_tokens_in_logs(spark: SparkSession, pattern: str, token: str = "ERROR"
     r = spark.read.format("text")
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
-    lines = r.load(pattern)
-    hits = F.regexp_count(F.col("value"), F.lit("\\Q" + token + "\\E"))
+    return count_tokens(r.load(pattern), "value", token, alert_above)
+
+
+def count_tokens(lines: DataFrame, text_col: str, token: str, alert_above: int = 10) -> DataFrame:
+    """QLT11 on any frame of lines: occurrences of ``token``, lines, alert flag; one row."""
+    hits = F.regexp_count(F.col(text_col), F.lit("\\Q" + token + "\\E"))
     agg = lines.agg(F.coalesce(F.sum(hits), F.lit(0)).cast("long").alias("token_hits"),
                     F.count(F.lit(1)).alias("lines"))
     return agg.withColumn("alert", F.col("token_hits") > alert_above)
