@@ -64,12 +64,12 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int)
     right = _repeats(full.join(marks, "mark", "left_semi"), "next", "next")
     left = _repeats(full, "prev", "prev")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "h", "i")
-    hit = (full.join(right, F.col("next") == F.col("k_next"), "left")
-               .join(left, F.col("prev") == F.col("k_prev"), "left"))
-    hit = hit.select("k", "h", "i",
-                     F.when(F.col("first_next") != place, F.col("next_end")).alias("to"),
-                     F.when(F.col("first_prev") != place, F.col("prev_start")).alias("from"))
-    hit = hit.where(F.col("to").isNotNull() | F.col("from").isNotNull())
+    # inner joins: lines without a full window have no key and stay out
+    to = full.join(right, F.col("next") == F.col("k_next")).where(F.col("first_next") != place).select(
+        "k", "h", "i", F.col("next_end").alias("to"), F.lit(None).cast("int").alias("from"))
+    back_to = full.join(left, F.col("prev") == F.col("k_prev")).where(F.col("first_prev") != place).select(
+        "k", "h", "i", F.lit(None).cast("int").alias("to"), F.col("prev_start").alias("from"))
+    hit = to.unionByName(back_to).groupBy("k", "h", "i").agg(F.max("to").alias("to"), F.min("from").alias("from"))
     found = lines.select("k", "h", "i", "w").join(hit, ["k", "h", "i"], "left")
     run = doc.orderBy("i")
     covered = (F.coalesce(F.max("to").over(run.rowsBetween(W.unboundedPreceding, 0)) >= F.col("i"), F.lit(False))
