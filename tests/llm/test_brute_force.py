@@ -122,6 +122,35 @@ def test_decontamination_of_edited_copies(spark):
     assert sorted(r.doc_id for r in out) == list(range(20))
 
 
+@pytest.mark.parametrize("edits", [0.1, 0.2, 0.25])
+def test_decontamination_of_short_hot_items(spark, edits):
+    rnd = random.Random(int(edits * 100))
+    vocab = [f"v{i}" for i in range(3000)]
+    items = {k: [rnd.choice(vocab) for _ in range(15 + k)] for k in range(6)}         # 15 to 20 words
+    docs, want = {}, set()
+    for d in range(3600):
+        noise = [rnd.choice(vocab) for _ in range(24)]
+        if d % 3 == 0:                      # a third of the documents, so every 3-gram is common
+            k = d // 3 % 6
+            copy = [rnd.choice(vocab) if rnd.random() < edits else w for w in items[k]]
+            grams = {tuple(items[k][j:j + 3]) for j in range(len(items[k]) - 2)}
+            docs[d] = noise[:12] + copy + noise[12:]
+            if grams & {tuple(copy[j:j + 3]) for j in range(len(copy) - 2)} and slow_alignment(items[k], docs[d]) >= len(items[k]):
+                want.add((d, k))
+        else:
+            docs[d] = noise
+    out = decontam.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string"),
+                        spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in out.collect()}
+    assert want and not want - got and all(d % 3 == 0 for d, _ in got)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 8), min_size=1, max_size=12), st.lists(st.integers(0, 8), min_size=1, max_size=25))
+def test_bound_of_an_alignment(a, b):
+    assert decontam.highest(np.array(a), np.array(b)) >= slow_alignment(a, b)
+
+
 # -- 3: fingerprints ----------------------------------------------------------------------
 
 def test_fingerprints(spark, texts):

@@ -1,19 +1,19 @@
-"""Operator 1: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 1: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 The test items (a stated query set) are laid out in blocks of bounded size; each block is
 sent to all tasks and the documents are scanned once per block:
 
-1. count, over all documents, how many contain each word n-gram of the items;
-2. seeds: in every window of ``window`` consecutive n-grams of an item the rarest one, so a
-   copy that keeps ``window + n - 1`` words in a row has a seed however common the item
-   became, plus every n-gram rarer than ``rare`` of the documents (rounded up), for edited
-   copies;
-3. scan again: seed hits of one document and item on neighbouring diagonals name a passage,
-   which Smith-Waterman aligns to the item word by word (match 2, mismatch and gap -1).
+1. seeds: every word n-gram of an item, however common, so an edited copy is looked at if
+   any ``n`` words in a row are left of it;
+2. hits of one document and item on neighbouring diagonals name a passage, wide enough for
+   any alignment through them that can reach ``min_score``;
+3. a passage that holds too few of the item's words to reach ``min_score`` in any order goes
+   (an upper bound of the score, so nothing is lost; stray hits of common n-grams end here);
+4. Smith-Waterman aligns the rest to the item word by word (match 2, mismatch and gap -1).
    A pair is reported if its score reaches ``min_score`` of the best possible.
 
-Everything happens inside the scan, so texts are never shuffled; what is shuffled are
-n-gram counts and found pairs.
+Everything happens inside the scan, so texts are never shuffled; found pairs are all that
+leaves it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import table
 from .words import chunks, split, windows, word_hashes
 
-NGRAM, WINDOW, RARE, MIN_SCORE = 3, 6, 1e-3, 0.5
+NGRAM, MIN_SCORE = 3, 0.5
 BLOCK_WORDS = 1_000_000
 HIT, MISS, GAP = 2, 1, 1
 _BITS = 22
@@ -120,15 +120,22 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(best >> 32), int(best & 0xFFFFFFFF), end
 
 
-def passages(at: np.ndarray, pos: np.ndarray, length: int, n: int) -> list[tuple[int, int]]:
+def passages(at: np.ndarray, pos: np.ndarray, length: int, margin: int) -> list[tuple[int, int]]:
     """Word ranges of a document to align: seed hits whose diagonals (place in document minus
-    place in item) lie within an item's length of each other form one passage."""
+    place in item) lie within an item's length of each other form one passage; ``margin`` is
+    the number of words that may be inserted."""
     diagonal = np.sort(at - pos)
     cuts = np.flatnonzero(np.diff(diagonal) > max(4, length // 2)) + 1
-    margin = max(4, length // 4)
     return [(int(g[0]) - margin, int(g[-1]) + length + margin) for g in np.split(diagonal, cuts)]
 
 
+def highest(item: np.ndarray, text: np.ndarray) -> int:
+    """No alignment of ``item`` within ``text`` scores more: a word of the item that the text
+    lacks costs a mismatch or a gap, any other is a match at best (best run of the item)."""
+    total = np.cumsum(np.where(np.isin(item, text), HIT, -min(MISS, GAP)))
+    return max(0, int((total - np.minimum.accumulate(np.append(0, total[:-1]))).max()))
+
+
 def _load(block: DataFrame, id_col: str, text_col: str, n: int) -> Items:
     t = block.select(id_col, text_col).toArrow()        # bounded by BLOCK_WORDS
     return Items(t.column(0).to_pylist(), item_words(t.column(1)), n)
@@ -143,41 +150,9 @@ def _blocks(items: DataFrame, text_col: str, block_words: int) -> list[DataFrame
     return [items.where(F.pmod(F.xxhash64(text_col), F.lit(count)) == i) for i in range(count)]
 
 
-def _seeds(items: Items, df: dict[int, int], docs: int, n: int, window: int, rare: float) -> np.ndarray:
-    """Sorted hashes of the n-grams that seed an alignment."""
-    seeds, few = set(), max(1, math.ceil(docs * rare))
-    per = defaultdict(list)
-    for g, i, a in zip(items.gram.tolist(), items.item.tolist(), items.at.tolist()):
-        per[i].append((a, df.get(g, 0), g))
-    for grams in per.values():
-        grams.sort()
-        seeds.update(g for _, f, g in grams if f <= few)
-        for k in range(max(1, len(grams) - window + 1)):
-            seeds.add(min(grams[k:k + window], key=lambda x: (x[1], x[2]))[2])
-    return np.array(sorted(seeds), dtype=np.uint64)
-
-
-def _counts(docs: DataFrame, text_col: str, n: int, keys: np.ndarray) -> dict[int, int]:
-    """In how many documents each key occurs: summed per task, then over tasks (one row per key)."""
-    send = docs.sparkSession.sparkContext.broadcast(keys)
-
-    def run(batches):
-        keys = send.value
-        total = np.zeros(len(keys), dtype=np.int64)
-        for b in batches:
-            for _, _, _, grams in hits_in(b.column(0), n, keys):
-                total[np.searchsorted(keys, np.unique(grams))] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(total[at])], names=["gram", "df"])
-    counted = docs.select(text_col).mapInArrow(run, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-    t = counted.toArrow()                               # one row per n-gram of a bounded block
-    grams = t.column(0).to_numpy().view(np.uint64).tolist()
-    return dict(zip(grams, t.column(1).to_pylist()))
-
-
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_id: str = "item_id", item_text: str = "text", n: int = NGRAM, window: int = WINDOW,
-         rare: float = RARE, min_score: float = MIN_SCORE, block_words: int = BLOCK_WORDS) -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text", n: int = NGRAM,
+         min_score: float = MIN_SCORE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word, item_words): one row per document row and
     item whose best passage scores at least ``min_score`` of a perfect copy.
 
@@ -190,18 +165,16 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     item_kind = items.schema[item_id].dataType.simpleString()
     schema = (f"doc_id {kind}, item_id {item_kind}, score double, start_word long, end_word long, item_words long")
     texts = docs.select(id_col, text_col).where(F.col(text_col).isNotNull())
-    count = texts.count()
     found = []
     for block in _blocks(items.where(F.col(item_text).isNotNull()), item_text, block_words):
         index = _load(block, item_id, item_text, n)
-        seeds = _seeds(index, _counts(texts, text_col, n, index.unique), count, n, window, rare)
-        send = spark.sparkContext.broadcast((index, seeds))
+        send = spark.sparkContext.broadcast(index)
 
         def run(batches, send=send):
-            index, seeds = send.value
+            index = send.value
             for b in batches:
                 ids, out = b.column(0), []
-                for row, words, at, gram in hits_in(b.column(1), n, seeds):
+                for row, words, at, gram in hits_in(b.column(1), n, index.unique):
                     lo, hi = np.searchsorted(index.gram, gram, "left"), np.searchsorted(index.gram, gram, "right")
                     by_item = defaultdict(list)
                     for a, x, y in zip(at.tolist(), lo.tolist(), hi.tolist()):
@@ -210,13 +183,16 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                     for item, places in by_item.items():
                         target = index.words[item]
                         spots = np.array(places)
-                        best = (0, 0, 0)
-                        for s, e in passages(spots[:, 0], spots[:, 1], len(target), n):
+                        least, best = min_score * HIT * len(target), (0, 0, 0)
+                        margin = max(4, math.ceil((HIT * len(target) - least) / GAP))
+                        for s, e in passages(spots[:, 0], spots[:, 1], len(target), margin):
                             s, e = max(0, s), min(len(words), e)
+                            if highest(target, words[s:e]) < least:
+                                continue
                             score, i, j = smith_waterman(target, words[s:e])
                             if score > best[0]:
                                 best = (score, s + i, s + j)
-                        if best[0] >= min_score * HIT * len(target):
+                        if best[0] >= least:
                             out.append((ids[row], item, best[0] / (HIT * len(target)), best[1], best[2], len(target)))
                 if out:
                     yield pa.RecordBatch.from_arrays([
