@@ -9,7 +9,7 @@ but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unifeed.llm import decontam, linededup, mixing, neardup, quality
@@ -35,12 +35,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                .select(*COLUMNS))
 
 
+def _row_key() -> Column:
+    """What tells rows apart whose ids are null or repeated: id and text hash."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+
+
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the least id (null last),
     then least text hash; of rows equal in id and text, one.  Documents without words are no
     duplicates and all stay."""
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
-    keyed = docs.withColumn("row_key", key)
+    keyed = docs.withColumn("row_key", _row_key())
     links = table(neardup.link(keyed, id_col="row_key"))
     gone = links.where(~F.col("kept")).select(F.col("doc_id").alias("gone_key")).distinct()
     stay = keyed.join(gone, F.col("row_key").eqNullSafe(F.col("gone_key")), "left_anti")
@@ -54,10 +58,12 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage that copies a benchmark item go."""
+    """Documents with a passage that copies a benchmark item go; other rows that share their id,
+    or also have none, stay."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontam.find(docs, items).select(F.col("doc_id").alias("c_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("c_id")), "left_anti").select(*COLUMNS)
+    keyed = docs.withColumn("row_key", _row_key())
+    hit = decontam.find(keyed, items, id_col="row_key").select(F.col("doc_id").alias("hit_key")).distinct()
+    return keyed.join(hit, F.col("row_key").eqNullSafe(F.col("hit_key")), "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,5 +95,15 @@ def test_near_stage_of_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), str(r.text)[:3]) for r in out) == [("2", "one"), ("None", "Non"), ("None", "ano")]
 
 
+def test_decontamination_of_null_and_repeated_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    copied = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    clean = "a text that stands by itself and copies nothing of what is tested"
+    rows_ = [(d, t, "en", "s", len(t)) for d in (None, 5) for t in (copied, clean, clean)] + [(None, None, None, None, None)]
+    out = P.decontaminate(spark, spark.createDataFrame(rows_, schema), SF).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == [
+        ("5", clean), ("5", clean), ("None", "None"), ("None", clean), ("None", clean)]
+
+
 def test_run_is_the_stages(spark, steps):
     assert set(map(tuple, P.run(spark, SF).collect())) == set(map(tuple, steps[5].collect()))
