@@ -299,6 +299,29 @@ def test_licenses(spark):
         (1, "cc-by-nc-4.0"), (2, "mit"), (3, ""), (4, "all-rights-reserved"), (4, "gpl-3.0"), (5, "")]
 
 
+def test_licenses_carried_more_than_once(spark):
+    rnd = random.Random(2)
+    prose = [w for n in range(80) for w in (f"p{n}", "of", "the", f"q{n}", "to", "the")]
+    short, mit = licenses.TEMPLATES["mit-notice"], licenses.TEMPLATES["mit"]
+    edited = " ".join(w for w in mit.split() if rnd.random() > 0.06)
+    rows, want = [], {}
+    for name, copy in [("mit-notice", short), ("all-rights-reserved", "All rights reserved"), ("mit", mit), ("mit", edited),
+                       ("apache-2.0-header", licenses.TEMPLATES["apache-2.0-header"])]:
+        for n in (2, 3, 40):
+            for gap in ("", "one two three", " ".join(prose)):
+                want[len(rows)] = [name] * n
+                rows.append((len(rows), "foo " + f" {gap} ".join([copy] * n) + " bar"))
+    want[len(rows)] = ["isc", "mit", "mit", "mit-notice"]
+    rows.append((len(rows), " ".join([mit, short, edited, licenses.TEMPLATES["isc"]])))
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.start_word, r.end_word))
+    assert {d: sorted(x[0] or "" for x in found) for d, found in got.items()} == want
+    for found in got.values():
+        found.sort(key=lambda x: x[1])
+        assert all(x[2] <= y[1] for x, y in zip(found, found[1:]))
+
+
 # -- 9: near-duplicates -------------------------------------------------------------------
 
 def test_near_duplicate_families(spark):

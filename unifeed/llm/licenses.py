@@ -1,16 +1,17 @@
 """Operator 7: license scans by patience alignment.
 
-Documents that contain word pairs which are rare among the templates are aligned with the
-templates they point to: words that occur once in the text and once in the template are
+A document that has words enough of a template is looked through for its word pairs; where
+they agree on where a copy would start, a window of bounded length around that copy is
+aligned with the template: words that occur once in the window and once in the template are
 anchors, their longest increasing subsequence is kept, and the gaps between anchors are
 aligned the same way (common ends first).  Coverage is the share of a template's words found
-in order.  Everything runs inside the scan of the documents; templates are a bounded
-parameter.
+in order; every copy is told.  Everything runs inside the scan of the documents; templates
+are a bounded parameter.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -122,62 +123,139 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 class Templates:
-    """Word hashes of the templates and the word pairs that point to few of them."""
+    """Word hashes of the templates, where their word pairs stand, and which words they need."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        self.words = [h.tolist() for n in self.names for _, _, h, _ in _split(pa.array([templates[n]]))]
-        points: dict[int, set[int]] = {}
+    def __init__(self, templates: list[tuple[str, str]]):
+        templates = sorted(templates)
+        self.names = [n for n, _ in templates]
+        self.words = [np.concatenate([np.zeros(0, np.uint64)] + [h for _, _, h, _ in _split(pa.array([x]))])
+                      for _, x in templates]
+        self.lists = [w.tolist() for w in self.words]
+        self.signs = []                                  # per template: sorted pair hashes, their places
+        for w in self.words:
+            h, _, at = wd.windows(w, np.zeros(len(w), dtype=np.int64), 2)
+            order = np.argsort(h, kind="stable")
+            self.signs.append((h[order], at[order]))
+        self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [h for h, _ in self.signs]))
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64)] + self.words))
+        self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.uses = np.zeros((len(self.words), len(self.vocabulary)), dtype=np.int32)
         for t, w in enumerate(self.words):
-            for h in wd.windows(np.array(w, dtype=np.uint64), np.zeros(len(w), dtype=np.int64), 2)[0].tolist():
-                points.setdefault(h, set()).add(t)
-        self.points = points
-        self.pairs = np.array(sorted(points), dtype=np.uint64)
+            np.add.at(self.uses[t], np.searchsorted(self.vocabulary, w), 1)
+
+    def possible(self, words: np.ndarray, min_coverage: float) -> list[int]:
+        """The templates of which a text has words enough, in any order, to cover them."""
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        has = np.unique(at[self.vocabulary[at] == words])
+        most = np.minimum(self.uses[:, has].sum(axis=1), len(words))
+        return np.flatnonzero((most >= min_coverage * self.sizes) & (self.sizes > 1)).tolist()
+
+
+def _places(words: np.ndarray, at: np.ndarray, start: np.ndarray, own: np.ndarray, known: list[int],
+            min_coverage: float) -> list[tuple[int, int, int]]:
+    """(words in place, first word, word after last) of every copy of one template; ``at`` are
+    the places of its signs in the text, ``start`` where copies that hold them would begin.
+
+    Each start with signs enough is aligned in its own window of bounded length, those with
+    most signs first; no place reaches into another.  What is left of a region of signs is
+    aligned as a whole, so a copy too torn for any one start is met too."""
+    size, least = len(known), min_coverage * len(known)
+    band = size // 8
+    slacks = (0, max(2, band), max(MARGIN, size // 4), max(MARGIN, size // 2))
+    first, after, found = [], [], []
+
+    def free(middle: int) -> tuple[int, int]:
+        """The range around a word that no place has; empty if one has the word."""
+        k = bisect_right(first, middle)
+        lo, hi = after[k - 1] if k else 0, first[k] if k < len(first) else len(words)
+        return (lo, hi) if lo <= middle else (lo, lo)
+
+    def aligned(lo: int, hi: int) -> tuple[int, int, int] | None:
+        if hi - lo < least or np.isin(own, words[lo:hi]).sum() < least:
+            return None
+        matched = align(known, words[lo:hi].tolist())
+        return (len(matched), lo + matched[0][1], lo + matched[-1][1] + 1) if len(matched) >= max(1, least) else None
+
+    def take(place: tuple[int, int, int]) -> None:
+        k = bisect_left(first, place[1])
+        first.insert(k, place[1])
+        after.insert(k, place[2])
+        found.append(place)
+
+    begin, votes = np.unique(start, return_counts=True)
+    total = np.append(0, np.cumsum(votes))
+    near = total[np.searchsorted(begin, begin + band, "right")] - total[np.searchsorted(begin, begin - band, "left")]
+    enough = np.flatnonzero(near >= max(1, (size - 1) / 4))
+    failed = set()
+    for k in enough[np.lexsort((begin[enough], -near[enough], -votes[enough]))].tolist():
+        d = int(begin[k])
+        lo, hi = free(max(0, min(len(words) - 1, d + size // 2)))
+        step = d // max(1, size // 16)
+        if hi - lo < least or step in failed:
+            continue
+        best = None
+        for slack in slacks:
+            place = aligned(max(lo, d - slack), min(hi, d + size + slack))
+            if place and (best is None or place[0] ** 2 * (best[2] - best[1]) > best[0] ** 2 * (place[2] - place[1])):
+                best = place
+            if best and best[0] == size == best[2] - best[1]:
+                break
+        if best:
+            take(best)
+        else:
+            failed.add(step)
+    lo = at[0]
+    for x, y in zip(at, at[1:] + [None]):
+        if y is not None and y - x <= size + MARGIN:
+            continue
+        s, e = max(0, lo - size - MARGIN), min(len(words), x + size + MARGIN)
+        lo = y
+        k = bisect_right(after, s)
+        taken = list(zip(first[k:bisect_left(first, e)], after[k:]))
+        for a, b in zip([s] + [z for _, z in taken], [z for z, _ in taken] + [e]):
+            if bisect_left(at, b - 1) - bisect_left(at, a) >= min(2, size - 1):
+                place = aligned(a, b)
+                if place:
+                    take(place)
+    return found
 
 
 def _scan_text(words: np.ndarray, places: np.ndarray, pairs: np.ndarray, known: Templates,
                min_coverage: float):
-    """(template, coverage, first word, word after last) of the templates a text carries: the
-    region around a template's signs is aligned, the best of several regions counts; of
-    templates found at overlapping places the one with most words in place is told."""
-    per: dict[int, list[int]] = {}
-    for p, h in zip(places.tolist(), pairs.tolist()):
-        for t in known.points[h]:
-            per.setdefault(t, []).append(p)
+    """(template, coverage, first word, word after last) of every place where a text carries a
+    template; of templates found at overlapping places the one with most words in place is
+    told, and of those the best covered."""
     out = []
-    for t, at in per.items():
-        size = len(known.words[t])
-        if len(at) < min(2, size - 1):
+    for t in known.possible(words, min_coverage):
+        hashes, spots = known.signs[t]
+        lo, hi = np.searchsorted(hashes, pairs, "left"), np.searchsorted(hashes, pairs, "right")
+        count = hi - lo
+        at = places[count > 0]
+        if len(at) < min(2, len(hashes)):
             continue
-        regions, lo = [], at[0]
-        for x, y in zip(at, at[1:] + [None]):
-            if y is None or y - x > size + MARGIN:
-                regions.append((max(0, lo - size - MARGIN), min(len(words), x + size + MARGIN)))
-                lo = y
-        best = (0.0, 0, 0)
-        for s, e in regions:
-            matched = align(known.words[t], words[s:e].tolist())
-            share = len(matched) / size
-            if matched and share > best[0]:
-                best = (share, s + matched[0][1], s + matched[-1][1] + 1)
-        out.append((t, *best))
-    out.sort(key=lambda x: (-len(known.words[x[0]]) * x[1] ** 2 * (len(known.words[x[0]]) / max(1, x[3] - x[2])), x[0]))
-    kept: list[tuple] = []
+        each = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = np.repeat(places, count) - spots[each]
+        for n, s, e in _places(words, at.tolist(), start, known.words[t], known.lists[t], min_coverage):
+            out.append((t, n / len(known.lists[t]), s, e, n * n / (e - s)))
+    out.sort(key=lambda x: (-x[4], -x[1], x[0], x[2]))
+    first, kept = [], []
     for x in out:
-        if x[1] >= min_coverage and all(x[3] <= y[2] or y[3] <= x[2] for y in kept):
-            kept.append(x)
+        k = bisect_left(first, (x[2],))
+        if (k == 0 or first[k - 1][1] <= x[2]) and (k == len(first) or x[3] <= first[k][0]):
+            first.insert(k, (x[2], x[3]))
+            kept.append(x[:4])
     return sorted(kept)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """(doc_id, license, coverage, start_word, end_word): one row per document row and
-    template covered to ``min_coverage`` or more (one per place), and one with null license for
-    a document without any.
+    """(doc_id, license, coverage, start_word, end_word): one row per document row and place
+    that covers a template to ``min_coverage`` or more, and one with null license for a
+    document without any.
 
-    Null and empty texts have no license.  Repeated rows give repeated answers; of equally good
-    places the first counts.  An empty table gives an empty result; other columns are ignored."""
-    known = Templates(TEMPLATES if templates is None else templates)
+    Null and empty texts have no license.  Repeated rows give repeated answers.  An empty table
+    gives an empty result; other columns are ignored."""
+    known = Templates(list((TEMPLATES if templates is None else templates).items()))
     kind = docs.schema[id_col].dataType.simpleString()
     send = docs.sparkSession.sparkContext.broadcast(known)
 
