@@ -322,6 +322,21 @@ def test_licenses_carried_more_than_once(spark):
         assert all(x[2] <= y[1] for x, y in zip(found, found[1:]))
 
 
+def test_licenses_of_whole_texts_and_headers(spark):
+    known = licenses.covered()
+    names = {n for n, _ in known}
+    assert {"apache-2.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mpl-2.0", "bsd-2-clause", "bsd-3-clause", "unlicense",
+            "cc0-1.0", "cc-by-sa-4.0", "gpl-2.0-header", "agpl-3.0-header", "epl-2.0-header"} <= names
+    rnd = random.Random(6)
+    rows = [(i, text) for i, (_, text) in enumerate(known)]
+    rows += [(len(known) + i, " ".join("edited" if len(text.split()) > 60 and rnd.random() < 0.05 else w for w in text.split()))
+             for i, (_, text) in enumerate(known)]
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert got == {i: [known[i % len(known)][0]] for i in range(len(rows))}
+
+
 # -- 9: near-duplicates -------------------------------------------------------------------
 
 def test_near_duplicate_families(spark):

@@ -12,6 +12,7 @@ are a bounded parameter.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,41 @@ TEMPLATES = {
         "(at your option) any later version."),
 }
 
+_GNU = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as "
+        "published by the Free Software Foundation; either version {} of the License, or (at your option) any later "
+        "version.")
+_CC = "This work is licensed under a Creative Commons {} International License"
+
+# More notices; a license may have several templates, its whole text among them (``license_texts``).
+NOTICES = [
+    ("gpl-2.0-header", _GNU.format("program", "General Public License", "2")),
+    ("lgpl-2.0-header", _GNU.format("library", "Library General Public License", "2")),
+    ("lgpl-2.1-header", _GNU.format("library", "Lesser General Public License", "2.1")),
+    ("lgpl-3.0-header", _GNU.format("program", "Lesser General Public License", "3")),
+    ("agpl-3.0-header", _GNU.format("program", "Affero General Public License", "3")),
+    ("mpl-2.0-header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+                       "the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("epl-1.0-header", "This program and the accompanying materials are made available under the terms of the Eclipse "
+                       "Public License v1.0 which accompanies this distribution, and is available at "
+                       "http://www.eclipse.org/legal/epl-v10.html"),
+    ("epl-2.0-header", "This program and the accompanying materials are made available under the terms of the Eclipse "
+                       "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("cc-by-4.0", _CC.format("Attribution 4.0")),
+    ("cc-by-sa-4.0", _CC.format("Attribution-ShareAlike 4.0")),
+    ("cc-by-nd-4.0", _CC.format("Attribution-NoDerivatives 4.0")),
+    ("cc-by-nc-4.0", _CC.format("Attribution-NonCommercial 4.0")),
+    ("cc-by-nc-sa-4.0", _CC.format("Attribution-NonCommercial-ShareAlike 4.0")),
+    ("cc-by-nc-nd-4.0", _CC.format("Attribution-NonCommercial-NoDerivatives 4.0")),
+]
+
+
+def covered() -> list[tuple[str, str]]:
+    """(license, template) of all notices and whole texts that a scan knows unless told others;
+    read on the driver."""
+    whole = sorted((f for f in files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")),
+                   key=lambda f: f.name)
+    return [*TEMPLATES.items(), *NOTICES, *((f.name[:-4], f.read_text("utf-8")) for f in whole)]
+
 
 def _split(column: pa.Array):
     """(row, word hashes) of every text."""
@@ -139,15 +175,15 @@ class Templates:
         self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [h for h, _ in self.signs]))
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64)] + self.words))
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
-        self.uses = np.zeros((len(self.words), len(self.vocabulary)), dtype=np.int32)
+        self.uses = np.zeros((len(self.vocabulary), len(self.words)), dtype=np.int32)
         for t, w in enumerate(self.words):
-            np.add.at(self.uses[t], np.searchsorted(self.vocabulary, w), 1)
+            np.add.at(self.uses[:, t], np.searchsorted(self.vocabulary, w), 1)
 
     def possible(self, words: np.ndarray, min_coverage: float) -> list[int]:
         """The templates of which a text has words enough, in any order, to cover them."""
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         has = np.unique(at[self.vocabulary[at] == words])
-        most = np.minimum(self.uses[:, has].sum(axis=1), len(words))
+        most = np.minimum(self.uses[has].sum(axis=0), len(words))
         return np.flatnonzero((most >= min_coverage * self.sizes) & (self.sizes > 1)).tolist()
 
 
@@ -255,7 +291,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null and empty texts have no license.  Repeated rows give repeated answers.  An empty table
     gives an empty result; other columns are ignored."""
-    known = Templates(list((TEMPLATES if templates is None else templates).items()))
+    known = Templates(covered() if templates is None else list(templates.items()))
     kind = docs.schema[id_col].dataType.simpleString()
     send = docs.sparkSession.sparkContext.broadcast(known)
 
