@@ -339,6 +339,12 @@ def test_licenses_of_whole_texts_and_headers(spark):
 
 # -- 9: near-duplicates -------------------------------------------------------------------
 
+def test_pairs_at_the_least_similarity_are_rarely_missed():
+    n, p = neardup.COORDS, neardup.SIMILARITY / 100
+    missed = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(neardup.MATCH))
+    assert missed == pytest.approx(2.9e-6, rel=0.02) and missed < 1e-5
+
+
 def test_near_duplicate_families(spark):
     """Families of edited copies of one text, some just above and some just below the bar."""
     rnd = random.Random(9)

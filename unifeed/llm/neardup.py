@@ -14,8 +14,8 @@
    links only.  So each pair that could change the result is tested, while a list of n
    copies of one thing costs n pairs.
 
-With 96 coordinates and 54 matches a pair at similarity 0.75 is missed with probability
-below 1e-5 (binomial tail); anything found is confirmed exactly.
+With 96 coordinates and 52 matches a pair at similarity 0.75 is missed with probability
+2.9e-6 (binomial tail up to 51); anything found is confirmed exactly.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from .graph import components
 from .shared import table
 from .words import chunks, mix64, randoms, shingles, split, word_hashes
 
-COORDS, MATCH, SHINGLE, SIMILARITY = 96, 54, 5, 75
+COORDS, MATCH, SHINGLE, SIMILARITY = 96, 52, 5, 75
 ROUNDS, TRIES = 3, 4    # rounds and pivots per member before the remaining pairs are met
 BLOCK = 512             # rows of a block in which remaining pairs meet
 BUCKETS = 1 << 19
