@@ -54,7 +54,6 @@ class Items:
         flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
         row = np.repeat(np.arange(len(words)), [len(w) for w in words])
         first = np.cumsum([0] + [len(w) for w in words])
-        # an item shorter than n has no n-gram: its words are its seeds at length 1
         gram, item, at = windows(flat, row, n)
         order = np.argsort(gram, kind="stable")
         self.gram, self.item, self.at = gram[order], item[order], (at - first[item])[order]
