@@ -20,4 +20,4 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import queries  # noqa: F401
+    from . import queries, queries_scans  # noqa: F401
