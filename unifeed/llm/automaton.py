@@ -92,6 +92,8 @@ class _Pattern:
             self.take()
         while self.peek() != "]":
             c = self.take()
+            if not c.isascii():
+                raise ValueError(f"classes hold single bytes: {self.s!r}")
             lo = self.escape() if c == "\\" else ord(c)
             if self.peek() == "-" and self.s[self.i + 1] != "]":
                 self.take()
@@ -100,8 +102,6 @@ class _Pattern:
             else:
                 out.add(lo)
         self.take()
-        if max(out) > 255:
-            raise ValueError(f"classes hold single bytes: {self.s!r}")
         out = set(self.cased(out))
         return frozenset(set(range(256)) - out if inverse else out)
 
