@@ -105,18 +105,19 @@ def apply_alias_table(names: DataFrame, alias: DataFrame, id_col: str, names_col
     """JOI3 with an alias *table*: every name in ``names_col`` (ARRAY<STRING>) is
     replaced by its canonical form when ``lower(trim(name))`` equals an alias key.
 
-    Names are exploded with their position, joined to the de-duplicated alias
-    table (the optimizer broadcasts it if it is small) and re-assembled per row in the
-    original order; rows with no names keep an empty array.
-    """
+    Each *distinct list* of names is resolved once (exploded with positions, joined to the
+    de-duplicated alias table, put together in order) and joined back to the rows by the list, so
+    rows are never told apart by an id: repeated ids and repeated rows stay as they are, with all
+    their columns.  A NULL list becomes an empty one.  ``id_col`` names a column to keep first."""
     a = alias.select(F.lower(ws_trim(F.col(alias_key))).alias("_ak"),
                      F.col(canonical).alias("_canon")) \
         .groupBy("_ak").agg(F.min("_canon").alias("_canon"))
-    ex = names.select(F.col(id_col), F.posexplode_outer(F.col(names_col)).alias("_pos", "_name"))
+    lists = names.select(F.col(names_col).alias("_list")).where(F.size("_list") > 0).distinct()
+    ex = lists.select("_list", F.posexplode("_list").alias("_pos", "_name"))
     j = ex.join(a, F.lower(ws_trim(F.col("_name"))) == F.col("_ak"), "left")
     item = F.struct(F.col("_pos"), F.coalesce(F.col("_canon"), F.col("_name")).alias("n"))
-    grouped = j.groupBy(id_col).agg(
-        F.array_sort(F.filter(F.collect_list(F.when(F.col("_pos").isNotNull(), item)),
-                              lambda x: x.isNotNull())).alias("_items"))
-    return grouped.select(id_col, F.transform("_items", lambda x: x["n"]).alias(names_col))
-
+    resolved = j.groupBy("_list").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["n"]).alias("_new"))
+    out = names.join(resolved, F.col(names_col) == F.col("_list"), "left")
+    rest = [F.col(f"`{c}`") for c in names.columns if c not in (id_col, names_col)]
+    empty = F.array().cast("array<string>")
+    return out.select(id_col, F.coalesce("_new", names_col, empty).alias(names_col), *rest)

@@ -77,34 +77,42 @@ def value_share(df: DataFrame, key: str, scale: int = 2) -> DataFrame:
     return counts.select(key, "n", numbers.pct(F.col("n"), total, scale).alias("pct"))
 
 
+def _cube(df: DataFrame, row_key: str, col_key: str) -> DataFrame:
+    """(_r, _c, margin, n): margin is 0 for a cell, 1 for a row's total over all columns, 2 for a
+    column's total, 3 for the grand total.  NULL keys are groups of their own."""
+    keyed = df.select(F.col(row_key).cast("string").alias("_r"), F.col(col_key).cast("string").alias("_c"))
+    return keyed.cube("_r", "_c").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("margin"))
+
+
+def _labelled(cells: DataFrame, row_key: str, col_key: str, all_label: str) -> DataFrame:
+    over = lambda bit: F.col("margin").bitwiseAND(F.lit(bit)) != 0
+    return cells.select(F.when(over(2), F.lit(all_label)).otherwise(F.col("_r")).alias(row_key),
+                        F.when(over(1), F.lit(all_label)).otherwise(F.col("_c")).alias(col_key), "margin", "n")
+
+
 def crosstab_margins(df: DataFrame, row_key: str, col_key: str, all_label: str = "All") -> DataFrame:
-    """AGG4: counts of ``row_key x col_key`` with ``All`` margins, long form.
+    """AGG4: counts of ``row_key x col_key`` with margins, long form (cells with no rows are absent).
 
-    One ``cube`` pass; the grand total is the (All, All) cell.  Cells with no
-    rows are absent (zero cells are not materialised -- the long form is the
-    sparse crosstab).
-    """
-    keyed = df.select(F.coalesce(F.col(row_key).cast("string"), F.lit("<null>")).alias(row_key),
-                      F.coalesce(F.col(col_key).cast("string"), F.lit("<null>")).alias(col_key))
-    c = keyed.cube(row_key, col_key).agg(F.count(F.lit(1)).alias("n"),
-                                         F.grouping(row_key).alias("_gr"),
-                                         F.grouping(col_key).alias("_gc"))
-    return c.select(
-        F.when(F.col("_gr") == 1, F.lit(all_label)).otherwise(F.col(row_key)).alias(row_key),
-        F.when(F.col("_gc") == 1, F.lit(all_label)).otherwise(F.col(col_key)).alias(col_key),
-        "n")
+    One ``cube`` pass.  ``margin`` (0 cell, 1 row total, 2 column total, 3 grand total) tells a margin
+    from a value that happens to be called like ``all_label``; a NULL key stays NULL."""
+    return _labelled(_cube(df, row_key, col_key), row_key, col_key, all_label)
 
 
 def crosstab_full(df: DataFrame, row_key: str, col_key: str, all_label: str = "All") -> DataFrame:
     """AGG4 as a whole table: :func:`crosstab_margins` plus a zero cell for every pair of a row
     value and a column value that never meet.  Column values are one array (a crosstab's
-    columns are few); each row value is expanded by it, so nothing is joined crosswise."""
-    sparse = crosstab_margins(df, row_key, col_key, all_label)
-    rows = sparse.where(F.col(col_key) == all_label).select(row_key)
-    values = sparse.where(F.col(row_key) == all_label).agg(F.collect_set(col_key)).scalar()
-    cells = rows.select(row_key, F.explode(values).alias(col_key))
-    return cells.join(sparse, [row_key, col_key], "left").select(
-        row_key, col_key, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    columns are few); each row value is expanded by it, so nothing is joined crosswise.  Cells
+    are matched by key and margin, and margins are named last."""
+    sparse = _cube(df, row_key, col_key)
+    over = lambda bit: F.col("margin").bitwiseAND(F.lit(bit))
+    rows = sparse.where(over(1) != 0).select("_r", over(2).alias("_m"))
+    values = sparse.where(over(2) != 0).agg(F.collect_set(F.struct("_c", over(1).alias("m")))).scalar()
+    cells = rows.select(F.col("_r").alias("_cr"), "_m", F.explode(values).alias("_v")).select(
+        "_cr", F.col("_v._c").alias("_cc"), F.col("_m").bitwiseOR(F.col("_v.m")).alias("_cm"))
+    on = (F.col("_cr").eqNullSafe(F.col("_r")) & F.col("_cc").eqNullSafe(F.col("_c")) & (F.col("_cm") == F.col("margin")))
+    full = cells.join(sparse, on, "left").select(F.col("_cr").alias("_r"), F.col("_cc").alias("_c"), F.col("_cm").alias("margin"),
+                                                 F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return _labelled(full, row_key, col_key, all_label)
 
 
 def distinct_listing(df: DataFrame, key: str) -> DataFrame:
@@ -276,3 +284,42 @@ def run_delta(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataF
                     F.coalesce(F.col("rows_before"), F.lit(0)).alias("rows_before"),
                     F.coalesce(F.col("rows_after"), F.lit(0)).alias("rows_after")) \
         .withColumn("delta", F.col("rows_after") - F.col("rows_before"))
+
+
+def change_set(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """JOI4 by row: the multiset difference of two runs, one row per distinct row that differs.
+
+    Columns: ``keys``, ``row`` (the whole row as JSON, NULLs included), ``n_before``, ``n_after``,
+    ``delta`` and ``change``: ``changed`` where rows of the same key differ on both sides (the old
+    rows have a negative delta, the new ones a positive), else ``inserted`` or ``removed``.
+    Repeated rows count; NULL keys are values.  Columns that only one run has are NULL in the
+    other.
+
+    Two aggregations: rows are counted by content first (repeats collapse map-side), then only
+    what differs is summed by key, so a key that holds a third of all rows costs no more."""
+    cols = [*before.columns, *[c for c in after.columns if c not in before.columns]]
+
+    def side(df: DataFrame, n_before: int, n_after: int) -> DataFrame:
+        have = [F.col(f"`{c}`") if c in df.columns else F.lit(None).alias(c) for c in cols]
+        whole = F.to_json(F.struct(*have), {"ignoreNullFields": "false"})
+        return df.select(*[F.col(f"`{k}`") for k in keys], whole.alias("row"),
+                         F.lit(n_before).alias("_b"), F.lit(n_after).alias("_a"))
+    k = [F.col(f"`{x}`") for x in keys]
+    counted = (side(before, 1, 0).unionByName(side(after, 0, 1)).groupBy(*k, "row")
+               .agg(F.sum("_b").alias("n_before"), F.sum("_a").alias("n_after"))
+               .withColumn("delta", F.col("n_after") - F.col("n_before")).where(F.col("delta") != 0))
+    both = counted.groupBy(*[c.alias(f"_k{i}") for i, c in enumerate(k)]).agg(
+        ((F.min("delta") < 0) & (F.max("delta") > 0)).alias("_both"))
+    on = [c.eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(k)]
+    change = (F.when(F.col("_both"), "changed").when(F.col("delta") > 0, "inserted").otherwise("removed"))
+    return counted.join(both, on).select(*k, "row", "n_before", "n_after", "delta", change.alias("change"))
+
+
+def change_counts(changes: DataFrame) -> DataFrame:
+    """JOI4: one row of totals over a :func:`change_set`: rows inserted, removed, and changed (new
+    rows of keys that differ on both sides), and the change in the number of rows."""
+    n = lambda cond, v: F.coalesce(F.sum(F.when(cond, v)), F.lit(0)).cast("long")
+    d, what = F.col("delta"), F.col("change")
+    return changes.agg(n(what == "inserted", d).alias("inserted"), n(what == "removed", -d).alias("removed"),
+                       n((what == "changed") & (d > 0), d).alias("changed"),
+                       F.coalesce(F.sum(d), F.lit(0)).cast("long").alias("rows_delta"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import places
 from ..operators import reconcile as R
+from ..operators import report
 from ..operators.combine import gap_fill
 from . import oracle_sql as S
 from .catalog import register
@@ -181,3 +182,40 @@ def proposals(spark, sf_dir):
     """OUT1 + WIN2: paste-ready log rows for MISSING / SPLIT rows, ids numbered per date."""
     res, _ = _reconciled(spark, sf_dir)
     return R.proposals(res)
+
+
+# ------------------------------------------------------------------ JOI4 by row
+
+_RUNS_SQL = """b AS (SELECT CAST(ts AS DATE) AS date, 'user ' || CAST(user_id AS VARCHAR) AS location, event_type, CAST(floor(value) AS BIGINT) AS v FROM events),
+a AS (SELECT CAST(ts AS DATE) AS date, 'user ' || CAST(user_id AS VARCHAR) AS location,
+  CASE WHEN event_id % 17 = 0 THEN upper(event_type) ELSE event_type END AS event_type, CAST(floor(value) AS BIGINT) AS v
+  FROM events WHERE event_id % 11 <> 0
+  UNION ALL SELECT CAST(ts AS DATE), 'user ' || CAST(user_id AS VARCHAR), event_type, CAST(floor(value) AS BIGINT) FROM events WHERE event_id % 23 = 0)"""
+
+
+def _two_runs(spark, sf_dir):
+    """An earlier and a later run derived from every event: rows gone, rewritten and doubled."""
+    ev = table(spark, sf_dir, "events", spread=False)
+    cols = [F.col("ts").cast("date").alias("date"), F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("location")]
+    v = F.floor("value").cast("long").alias("v")
+    before = ev.select(*cols, "event_type", v)
+    rewritten = F.when(F.col("event_id") % 17 == 0, F.upper("event_type")).otherwise(F.col("event_type")).alias("event_type")
+    after = (ev.where(F.col("event_id") % 11 != 0).select(*cols, rewritten, v)
+               .unionByName(ev.where(F.col("event_id") % 23 == 0).select(*cols, "event_type", v)))
+    return before, after
+
+
+@register("run_change_set", f"""WITH {_RUNS_SQL},
+d AS (SELECT date, location, event_type, v, CAST(sum(nb) AS BIGINT) AS n_before, CAST(sum(na) AS BIGINT) AS n_after FROM
+  (SELECT *, 1 AS nb, 0 AS na FROM b UNION ALL SELECT *, 0, 1 FROM a) GROUP BY date, location, event_type, v HAVING sum(nb) <> sum(na)),
+k AS (SELECT date, location, min(n_after - n_before) < 0 AND max(n_after - n_before) > 0 AS mixed FROM d GROUP BY date, location)
+SELECT d.date, d.location, event_type, v, n_before, n_after, n_after - n_before AS delta,
+  CASE WHEN mixed THEN 'changed' WHEN n_after > n_before THEN 'inserted' ELSE 'removed' END AS change
+FROM d JOIN k ON d.date IS NOT DISTINCT FROM k.date AND d.location IS NOT DISTINCT FROM k.location""")
+def run_change_set(spark, sf_dir):
+    """JOI4: rows inserted, removed and changed between two runs, by the (date, place) key."""
+    before, after = _two_runs(spark, sf_dir)
+    out = report.change_set(before, after, ["date", "location"])
+    row = F.from_json("row", "event_type string, v long")
+    return out.select("date", "location", row["event_type"].alias("event_type"), row["v"].alias("v"),
+                      "n_before", "n_after", "delta", "change")

@@ -245,10 +245,12 @@ def distinct_listing(spark, sf_dir):
     return report.distinct_listing(table(spark, sf_dir, "documents"), "source")
 
 
-@register("crosstab_full", """WITH g AS (SELECT CASE WHEN grouping(conv_id) = 1 THEN 'All' ELSE CAST(conv_id AS VARCHAR) END AS conv_id,
-  CASE WHEN grouping(role) = 1 THEN 'All' ELSE role END AS role, count(*) AS k FROM conversations GROUP BY CUBE (conv_id, role))
-SELECT r.conv_id, s.role, coalesce(g.k, 0) AS n FROM (SELECT DISTINCT conv_id FROM g) r
-  CROSS JOIN (SELECT DISTINCT role FROM g) s LEFT JOIN g ON g.conv_id = r.conv_id AND g.role = s.role""")
+@register("crosstab_full", """WITH g AS (SELECT conv_id, role, grouping(conv_id) AS gr, grouping(role) AS gc, count(*) AS k
+  FROM conversations GROUP BY CUBE (conv_id, role))
+SELECT CASE WHEN r.gr = 1 THEN 'All' ELSE CAST(r.conv_id AS VARCHAR) END AS conv_id, CASE WHEN s.gc = 1 THEN 'All' ELSE s.role END AS role,
+  CAST(2 * r.gr + s.gc AS INTEGER) AS margin, coalesce(g.k, 0) AS n
+FROM (SELECT DISTINCT conv_id, gr FROM g) r CROSS JOIN (SELECT DISTINCT role, gc FROM g) s
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM r.conv_id AND g.role IS NOT DISTINCT FROM s.role AND g.gr = r.gr AND g.gc = s.gc""")
 def crosstab_full(spark, sf_dir):
     """AGG4 with zero cells: turns of every conversation by role (most have no system turn)."""
     return report.crosstab_full(table(spark, sf_dir, "conversations"), "conv_id", "role")
@@ -271,7 +273,8 @@ def value_share(spark, sf_dir):
 
 @register("crosstab_margins", """WITH t AS (SELECT event_type, 'seg' || CAST(user_id % 4 AS VARCHAR) AS segment FROM events)
 SELECT CASE WHEN grouping(event_type) = 1 THEN 'All' ELSE event_type END AS event_type,
-  CASE WHEN grouping(segment) = 1 THEN 'All' ELSE segment END AS segment, count(*) AS n
+  CASE WHEN grouping(segment) = 1 THEN 'All' ELSE segment END AS segment,
+  CAST(2 * grouping(event_type) + grouping(segment) AS INTEGER) AS margin, count(*) AS n
 FROM t GROUP BY CUBE (event_type, segment)""")
 def crosstab_margins(spark, sf_dir):
     """AGG4: event type x user segment counts with ``All`` margins (one cube pass)."""
