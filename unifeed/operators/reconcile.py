@@ -256,21 +256,62 @@ def group_sequence(df: DataFrame, group_cols: list[str], order_cols: list[str],
     return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_local")).alias(name))
 
 
+FREE_WIDTH = 64          # consecutive free numbers of one bucket
+
+
+def taken_numbers(ids: DataFrame, id_col: str = "event_id") -> DataFrame:
+    """(date, number): the distinct ids ``YYYYMMDD-NNN`` in use; other texts are no ids."""
+    t = F.trim(F.col(id_col))
+    fits = ids.where(t.rlike(r"^\d{8}-\d{3,9}$"))
+    return fits.select(F.try_to_date(F.substring(t, 1, 8), "yyyyMMdd").alias("date"),
+                       F.substring(t, 10, 9).cast("long").alias("number")) \
+        .where(F.col("date").isNotNull() & (F.col("number") > 0)).distinct()
+
+
+def free_numbers(seq: DataFrame, date_col: str, seq_col: str, taken: DataFrame, name: str) -> DataFrame:
+    """WIN2 beside ids in use: the ``seq_col``-th number of the date (from 1) that is not taken.
+
+    With the taken numbers t1 < t2 < ... of a date, t_j - j numbers are free below t_j, so the k-th
+    free number is k + j for the last j with t_j - j < k: free numbers come in ranges that
+    share a shift j.  Ranges are cut at buckets of ``FREE_WIDTH`` free numbers and meet the rows by
+    (date, bucket), so a date with a third of all rows is spread over its buckets and a row meets
+    ``FREE_WIDTH`` ranges at most.  Rows before the first taken number, and dates without any, keep
+    their number."""
+    last = seq.where(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("_d")).agg(F.max(seq_col).alias("_max"))
+    t = group_sequence(taken.select(F.col("date").alias("_d"), "number"), ["_d"], ["number"], "_j")
+    # the last j of each count of free numbers below: the ones before it have empty ranges
+    starts = t.groupBy("_d", (F.col("number") - F.col("_j")).alias("_lo")).agg(F.max("_j").alias("_shift"))
+    numbered = group_sequence(starts, ["_d"], ["_lo"], "_i")
+    nxt = numbered.select("_d", (F.col("_i") - 1).alias("_i"), F.col("_lo").alias("_hi"))
+    ranges = (numbered.join(nxt, ["_d", "_i"], "left").join(last, "_d")
+              .withColumn("_hi", F.least(F.coalesce("_hi", F.col("_max")), F.col("_max"))).where("_lo < _hi"))
+    bucket = lambda c: F.floor((c - 1) / FREE_WIDTH)
+    cells = ranges.select(F.col("_d"), "_lo", "_hi", "_shift",
+                          F.explode(F.sequence(bucket(F.col("_lo") + 1), bucket(F.col("_hi")))).alias("_cell"))
+    on = ((F.col(date_col) == F.col("_d")) & (bucket(F.col(seq_col)) == F.col("_cell"))
+          & (F.col(seq_col) > F.col("_lo")) & (F.col(seq_col) <= F.col("_hi")))
+    return seq.join(cells, on, "left").select(
+        *[F.col(f"`{c}`") for c in seq.columns], (F.col(seq_col) + F.coalesce("_shift", F.lit(0))).alias(name))
+
+
 def proposals(result: DataFrame, date_col: str = "date", call_seconds: str | None = "call_s",
               start_col: str = "start_time", case_col: str = "case_no", event_col: str = "event_name",
               loc_col: str = "location", officer_col: str = "attendee_names",
-              id_col: str = "cad_id") -> DataFrame:
+              id_col: str = "cad_id", taken: DataFrame | None = None) -> DataFrame:
     """OUT1: paste-ready log rows for MISSING and SPLIT_SUGGESTED dispatch rows.
 
     Start = time of call (else the out time); end = start + 30 min; 0.5 h; the
     event id is ``YYYYMMDD-NNN`` numbered within the date (the reference
-    always writes ``-001``, which collides on a busy date).
+    always writes ``-001``, which collides on a busy date).  ``taken``: a frame of the log's own ids
+    (``event_id``); proposals get the free numbers of their date, the same ones in every run.
     """
     r = result.where(F.col("status").isin(MISSING, SPLIT))
     start_s = (F.coalesce(F.col(call_seconds), durations.clock_seconds(F.col(start_col)))
                if call_seconds else durations.clock_seconds(F.col(start_col)))
     r = r.withColumn("_start_s", start_s)
     seq = group_sequence(r, [date_col], [id_col], "_seq")
+    if taken is not None:
+        seq = free_numbers(seq, date_col, "_seq", taken_numbers(taken), "_free").drop("_seq").withColumnRenamed("_free", "_seq")
     reason = F.when(F.col("status") == MISSING, F.lit("MISSING -> new row")).otherwise(
         F.format_string("SPLIT row %s (%s) -> this half", F.col("matched_row").cast("string"),
                         F.col("matched_loc")))

@@ -219,3 +219,41 @@ def run_change_set(spark, sf_dir):
     row = F.from_json("row", "event_type string, v long")
     return out.select("date", "location", row["event_type"].alias("event_type"), row["v"].alias("v"),
                       "n_before", "n_after", "delta", "change")
+
+
+# ------------------------------------------------------------------ WIN2 beside ids in use
+
+_TAKEN_SQL = """taken AS (SELECT DISTINCT date, 1 + (row_idx * 7) % 60 AS number FROM lg WHERE date IS NOT NULL AND row_idx % 3 <> 1)"""
+
+
+@register("proposal_ids_beside_log", f"""{_RECON_SQL}, {_TAKEN_SQL},
+prop AS (SELECT cad_id, date, row_number() OVER (PARTITION BY date ORDER BY cad_id) AS seq FROM resl
+  WHERE status IN ('MISSING', 'SPLIT_SUGGESTED')),
+days AS (SELECT date, count(*) AS n FROM prop WHERE date IS NOT NULL GROUP BY date),
+free AS (SELECT date, number, row_number() OVER (PARTITION BY date ORDER BY number) AS seq FROM
+  (SELECT date, unnest(range(1, n + 62)) AS number FROM days) ANTI JOIN taken USING (date, number))
+SELECT cad_id, prop.date, CASE WHEN prop.date IS NULL THEN '' ELSE strftime(prop.date, '%Y%m%d') || '-' || printf('%03d', number) END AS event_id
+FROM prop LEFT JOIN free ON prop.date = free.date AND prop.seq = free.seq""")
+def proposal_ids_beside_log(spark, sf_dir):
+    """WIN2 / OUT1: proposal ids take the free numbers of a date in which the log uses up to 60."""
+    res, log = _reconciled(spark, sf_dir)
+    number = 1 + (F.col("row_idx") * 7) % 60
+    ids = log.where("date IS NOT NULL AND row_idx % 3 <> 1").select(
+        F.format_string("%s-%03d", F.date_format("date", "yyyyMMdd"), number).alias("event_id"))
+    return R.proposals(res, taken=ids).select("cad_id", "date", "event_id")
+
+
+# ------------------------------------------------------------------ SRC5 / VAL1 contract
+
+@register("dispatch_contract", """SELECT event_id, concat_ws(',', CASE WHEN event_id % 7 = 6 THEN 'blank:Squad' END,
+  CASE WHEN event_id % 10 = 0 THEN 'blank:Time In Display' END, CASE WHEN user_id % 3 = 2 THEN 'number:St Number' END) AS reasons
+FROM events WHERE event_id % 7 = 6 OR event_id % 10 = 0 OR user_id % 3 = 2""")
+def dispatch_contract(spark, sf_dir):
+    """SRC5 / VAL1: rows of the dispatch export that a contract rejects, with the reasons."""
+    from ..operators import contract as C
+    from .driver_tables import cad_raw
+    from ..operators.standardize import DISPATCH_COLUMNS
+    rules = C.Contract(required=DISPATCH_COLUMNS, not_blank=("Squad", "Time In Display"),
+                       kinds={"Time In Display": "clock", "Time of Call": "date", "St Number": "number"})
+    marked = C.with_reasons(cad_raw(spark, sf_dir), rules, "dispatch")
+    return marked.where(F.size(C.REASONS) > 0).select("event_id", F.concat_ws(",", C.REASONS).alias("reasons"))

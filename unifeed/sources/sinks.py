@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.schema import order_columns
@@ -63,6 +63,62 @@ def write_tables(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet
     return paths
 
 
+def write_sorted(df: DataFrame, path: str, *cols: str) -> str:
+    """SRT1: one global order over the files (ranges of the sort key, files in name order)."""
+    df.orderBy(*cols).write.mode("overwrite").parquet(path)
+    return path
+
+
+def update_months(df: DataFrame, path: str, date_col: str = "date") -> str:
+    """SNK1: replace the months that ``df`` has rows of in a feed partitioned by ``year_month``; files
+    of all other months are not touched.  Rows are dealt by month and ranges of the date, so a busy
+    month is written by several tasks and each file holds a range of days."""
+    out = order_columns(df).withColumn("year_month", F.date_format(date_col, "yyyy-MM"))
+    (out.repartitionByRange("year_month", date_col).sortWithinPartitions("year_month", date_col)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_month").parquet(path))
+    return path
+
+
+def digest_columns(df: DataFrame) -> list:
+    """Aggregates that tell multisets of rows apart in any order: the count and sums of two row
+    hashes (NULL is told from blank, cells from their neighbours).  Rows changed, doubled, lost or
+    with cells swapped change them, but for a chance of about 2^-100."""
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    if not cells:
+        return [F.count(F.lit(1)).alias("rows"), F.lit(None).cast("decimal(38,0)").alias("sum1"),
+                F.lit(None).cast("decimal(38,0)").alias("sum2"), F.array().cast("array<bigint>").alias("nulls")]
+    nulls = [c.isNull() for c in cells]
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *cells, *nulls).cast("decimal(20,0)"))
+    return [F.count(F.lit(1)).alias("rows"), total(1).alias("sum1"), total(2).alias("sum2"),
+            F.array(*[F.count_if(x) for x in nulls]).alias("nulls")]
+
+
+def digest(df: DataFrame) -> DataFrame:
+    """One row: the multiset digest of a frame (:func:`digest_columns`)."""
+    return df.agg(*digest_columns(df))
+
+
+def checked_write(df: DataFrame, path: str, fmt: str = "parquet") -> dict:
+    """SNK6 with one pass a side: write ``df``, digesting it while it is written, read it back and
+    digest what was read.  Returns rows out and in, whether columns, NULL counts and contents are
+    the same, and ``ok``.  Floats are compared bit by bit (a lossy text format shows)."""
+    seen = Observation()
+    first, *rest = digest_columns(df)
+    w = df.observe(seen, first, *rest).write.mode("overwrite")
+    if fmt == "csv":
+        w.options(**CSV_WRITE).csv(path)
+        back = df.sparkSession.read.schema(df.schema).options(**CSV_READ).csv(path)
+    else:
+        w.format(fmt).save(path)
+        back = df.sparkSession.read.format(fmt).load(path)
+    out, same = seen.get, [c for c in back.columns if c in df.columns] == list(df.columns) == back.columns
+    got = digest(back).first().asDict()
+    return {"rows_out": out["rows"], "rows_in": got["rows"], "same_columns": same,
+            "same_nulls": list(out["nulls"]) == list(got["nulls"]),
+            "same_content": (out["sum1"], out["sum2"]) == (got["sum1"], got["sum2"]),
+            "ok": same and out == got}
+
+
 def run_summary(spark: SparkSession, feed: DataFrame, sources: list[str], errors: list[str],
                 started: _dt.datetime) -> DataFrame:
     """SNK4: one-row run summary (start, sources, records, quality score, errors).

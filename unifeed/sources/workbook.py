@@ -198,6 +198,68 @@ def rows_to_frame(rows: DataFrame, columns: Sequence[str], header_row: int = 1)
                        *[F.try_element_at("cells", F.lit(i + 1)).alias(c) for i, c in enumerate(columns)])
 
 
+def _trimmed(cells) -> F.Column:
+    """Header texts, right-trimmed; repeats after the first get ``.1``, ``.2`` ... appended."""
+    names = F.transform(cells, lambda c: F.rtrim(F.regexp_replace(F.coalesce(c, F.lit("")), "\\s+$", "")))
+    before = lambda i: F.size(F.filter(F.slice(names, 1, i), lambda x: x == F.get(names, i)))
+    return F.transform(names, lambda n, i: F.when((n == "") | (before(i) == 0), n).otherwise(
+        F.concat(n, F.lit("."), before(i).cast("string"))))
+
+
+def header_index(rows: DataFrame, expected: Sequence[str], header_row: int | None = None) -> DataFrame:
+    """(file, sheet, header_row, header, place map<name, position>): one row per sheet.
+
+    ``header_row=None`` looks for it: the first row that holds at least half of the ``expected`` names
+    (sheets have titles and blank rows above it, not always as many).  A sheet without such a row
+    has none and gives no row here."""
+    data = rows.where(F.col("error").isNull())
+    wanted = F.array(*[F.lit(c.rstrip()) for c in expected])
+    names = data.select("file", "sheet", "row_no", _trimmed(F.col("cells")).alias("header"))
+    if header_row is not None:
+        found = names.where(F.col("row_no") == header_row)
+    else:
+        hits = F.size(F.array_intersect("header", wanted))
+        found = names.where(hits * 2 >= len(set(c.rstrip() for c in expected)))
+        found = found.groupBy("file", "sheet").agg(F.min(F.struct("row_no", "header")).alias("h")).select("file", "sheet", "h.*")
+    named = F.filter(F.transform("header", lambda n, i: F.struct(n.alias("n"), i.alias("i"))), lambda x: x.n != "")
+    return found.select("file", "sheet", F.col("row_no").alias("header_row"), "header",
+                        F.map_from_entries(named).alias("place"))
+
+
+def by_header(rows: DataFrame, columns: Sequence[str], header_row: int | None = None) -> DataFrame:
+    """SRC1 by the sheet's own header: data rows as named text columns, each cell taken from where
+    *its* sheet has the column (columns may stand elsewhere in every file); NULL where a sheet lacks
+    it.  Blank rows, and header rows that repeat further down, are skipped.
+
+    The index of headers has one row per sheet and is joined to the rows by (file, sheet)."""
+    index = header_index(rows, columns, header_row)
+    nonblank = F.exists("cells", lambda x: blank_to_null(x).isNotNull())
+    data = rows.where(F.col("error").isNull() & nonblank)
+    both = data.join(index, ["file", "sheet"]).where(
+        (F.col("row_no") > F.col("header_row")) & (_trimmed(F.col("cells")) != F.col("header")))
+    return both.select("file", "sheet", "row_no", *[
+        F.get("cells", F.try_element_at("place", F.lit(c.rstrip()))).alias(c) for c in columns])
+
+
+def header_drift(rows: DataFrame, columns: Sequence[str], header_row: int | None = None) -> DataFrame:
+    """(file, sheet, header_row, missing, unknown, moved): how each sheet differs from ``columns``;
+    ``moved`` names columns that stand in another place than in most sheets.  Sheets without a
+    header row are listed with all columns missing."""
+    wanted = F.array(*[F.lit(c.rstrip()) for c in columns])
+    index = header_index(rows, columns, header_row)
+    spots = index.select("file", "sheet", F.explode("place").alias("name", "at")).where(F.array_contains(wanted, F.col("name")))
+    usual = spots.groupBy("name", "at").agg(F.count(F.lit(1)).alias("k")).groupBy("name").agg(
+        F.max(F.struct("k", (-F.col("at")).alias("neg"))).alias("m")).select("name", (-F.col("m.neg")).alias("usual"))
+    moved = (spots.join(usual, "name").where(F.col("at") != F.col("usual")).groupBy("file", "sheet")
+             .agg(F.sort_array(F.collect_list("name")).alias("moved")))
+    sheets = rows.where(F.col("error").isNull()).select("file", "sheet").distinct()
+    names = F.coalesce(F.map_keys("place"), F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return sheets.join(index, ["file", "sheet"], "left").join(moved, ["file", "sheet"], "left").select(
+        "file", "sheet", "header_row", F.sort_array(F.array_except(wanted, names)).alias("missing"),
+        F.sort_array(F.array_except(names, wanted)).alias("unknown"), F.coalesce("moved", none).alias("moved"))
+
+
 def positional(rows: DataFrame, positions: dict[str, int], header_rows: int = 1) -> DataFrame:
     """SRC4: fixed columns by position (0-based: B=1, G=6, H=7, I=8), the sheet
     row number kept, header and completely blank rows skipped (FLT8)."""
