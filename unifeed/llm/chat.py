@@ -35,11 +35,21 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+def one_per_node(msgs: DataFrame, tree: str, node: str, parent: str, role: str, text: str, score: str | None) -> DataFrame:
+    """(t, n, p, role, text, score): of several rows for one node the least by (parent, role, text,
+    score), NULLs first, is the message; repeated rows are one."""
+    sc = F.coalesce(F.col(score), F.lit(0.0)).cast("double") if score else F.lit(0.0)
+    rows = msgs.select(F.col(tree).alias("t"), F.col(node).alias("n"), F.struct(
+        F.col(parent).alias("p"), text_or_empty(role).alias("role"), text_or_empty(text).alias("text"), sc.alias("score")).alias("m"))
+    return rows.groupBy("t", "n").agg(F.min("m").alias("m")).select("t", "n", "m.*")
+
+
 def reply_paths(msgs: DataFrame, tree: str, node: str, parent: str) -> DataFrame:
     """(tree, leaf, node, dist) for every node of every root-to-leaf path; dist 0 is the leaf.
 
     A message whose parent is null or missing is a root.  Messages on a cycle belong to no
-    path (they are never reached from a root).  Nodes are unique within a tree."""
+    path (they are never reached from a root), nor do messages without a node id.  Rows must be
+    unique by (tree, node): :func:`one_per_node`."""
     t, n = F.col(tree), F.col(node)
     ids = msgs.select(t.alias("t"), n.alias("n"), F.col(parent).alias("p"))
     known = ids.select(F.col("t").alias("kt"), F.col("n").alias("kn"))
@@ -81,12 +91,14 @@ def format_trees(msgs: DataFrame, tree: str = "tree", node: str = "node", parent
 
     Branches of a tree rank by mean message score (null scores count 0), ties by leaf;
     ``branches`` keeps that many per tree, None all.  Null texts and roles are empty.
-    Repeated messages are separate nodes only if their node ids differ.  An empty table
-    gives an empty result; other columns are ignored."""
-    sc = F.coalesce(F.col(score), F.lit(0.0)).cast("double") if score else F.lit(0.0)
-    body = msgs.select(F.col(tree).alias("bt"), F.col(node).alias("bn"),
-                       text_or_empty(role).alias("role"), text_or_empty(text).alias("text"), sc.alias("score"))
-    rows = reply_paths(msgs, tree, node, parent).join(
+    Repeated rows are one message; of different rows for one node the least by (parent, role,
+    text, score) is taken.  Messages without a node id, or on a cycle, are on no path.  An
+    empty table gives an empty result; other columns are ignored.  Time grows with the length of
+    the formatted text: places are running sums, not counted anew for every turn."""
+    msgs_ = table(one_per_node(msgs, tree, node, parent, role, text, score))
+    links = msgs_.select(F.col("t").alias(tree), F.col("n").alias(node), F.col("p").alias(parent))
+    body = msgs_.select(F.col("t").alias("bt"), F.col("n").alias("bn"), "role", "text", "score")
+    rows = reply_paths(links, tree, node, parent).join(
         body, F.col(tree).eqNullSafe(F.col("bt")) & (F.col(node) == F.col("bn")))
     if branches is not None:
         rank = (rows.groupBy(tree, "leaf").agg(F.avg("score").alias("s"))
@@ -94,25 +106,19 @@ def format_trees(msgs: DataFrame, tree: str = "tree", node: str = "node", parent
                     .where(F.col("r") <= branches).select(F.col(tree).alias("kt"), F.col("leaf").alias("kl")))
         rows = rows.join(rank, F.col(tree).eqNullSafe(F.col("kt")) & (F.col("leaf") == F.col("kl")), "left_semi")
     open_tag = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    turn = rows.select(tree, "leaf", "score", (-F.col("dist")).alias("o"), F.struct(
-        (-F.col("dist")).alias("o"), open_tag.alias("open"), escape(F.col("text")).alias("body"),
-        (F.col("role") == "assistant").alias("train")).alias("turn"))
+    turn = rows.select(tree, "leaf", "score", (-F.col("dist")).alias("o"), open_tag.alias("open"),
+                       escape(F.col("text")).alias("body"), (F.col("role") == "assistant").alias("train"))
+    size = F.char_length("open") + F.char_length("body")
+    upto = W.partitionBy(tree, "leaf").orderBy("o").rowsBetween(W.unboundedPreceding, W.currentRow)
+    turn = turn.withColumn("end", F.sum((size + len(END)).cast("long")).over(upto) - len(END))
+    span = F.struct((F.col("end") - F.char_length("body")).alias("start"), F.col("end"))
+    turn = turn.select(tree, "leaf", "score", F.struct("o", F.concat("open", "body", F.lit(END)).alias("said"),
+                                                       F.when(F.col("train"), span).alias("span")).alias("turn"))
     path = (turn.groupBy(tree, "leaf").agg(F.avg("score").alias("branch_score"),
                                            F.array_sort(F.collect_list("turn")).alias("turns")))
-    formatted = F.concat_ws("", F.transform("turns", lambda x: F.concat(x.open, x.body, F.lit(END))))
-    # (position so far, spans) folded over the turns of the path
-    spans = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).cast("long").alias("at"),
-                 F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-        lambda a, x: F.struct(
-            (a.at + F.char_length(x.open) + F.char_length(x.body) + F.lit(len(END))).cast("long").alias("at"),
-            F.when(x.train, F.concat(a.spans, F.array(F.struct(
-                (a.at + F.char_length(x.open)).cast("long").alias("start"),
-                (a.at + F.char_length(x.open) + F.char_length(x.body)).cast("long").alias("end")))))
-             .otherwise(a.spans).alias("spans"))).spans
-    path = path.select(tree, "leaf", "branch_score", F.size("turns").cast("long").alias("n_turns"),
-                       formatted.alias("formatted"), spans.alias("loss_spans"))
+    formatted = F.concat_ws("", F.transform("turns", lambda x: x.said))
+    path = path.select(tree, "leaf", "branch_score", F.size("turns").cast("long").alias("n_turns"), formatted.alias("formatted"),
+                       F.array_compact(F.transform("turns", lambda x: x.span)).alias("loss_spans"))
     order = W.partitionBy(tree).orderBy(F.desc("branch_score"), "leaf")
     return path.withColumn("branch_rank", F.row_number().over(order))
 
@@ -131,6 +137,8 @@ def read_back(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order, nothing between."""
-    return F.concat_ws("", F.transform(spans, lambda s: unescape(
-        F.substr(formatted, (s.start + 1).cast("int"), (s.end - s.start).cast("int")))))
+    """All text under the loss mask, unescaped, in order, nothing between.  Spans are cut from a
+    code of four bytes a code point, where a place is found without counting from the start."""
+    cut = lambda code, s: F.decode(F.substr(code, (4 * s.start + 1).cast("int"), (4 * (s.end - s.start)).cast("int")), "UTF-32")
+    whole = F.array(F.encode(formatted, "UTF-32"))                    # a lambda variable: encoded once
+    return F.transform(whole, lambda code: F.concat_ws("", F.transform(spans, lambda s: unescape(cut(code, s)))))[0]

@@ -97,22 +97,34 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(number(a), number(b))).cast("double")
 
 
-def _bucket(ids: DataFrame, id_col: str) -> Column:
-    """A range bucket of the id: quantile bounds computed once and written into the plan (two
-    steps of square-root size).  Null ids share the lowest bucket."""
-    n = ids.count()
+def _bucket(ids: DataFrame, id_col: str, hash_col: str) -> Column:
+    """A range bucket of (id, text hash), higher for what comes first: quantile bounds of the id,
+    computed once and written into the plan (two steps of square-root size).  An id that holds
+    more than a bucket's rows stands at several bounds: it gets a bucket of its own, cut by the
+    hash into as many parts; so do null ids, in the lowest bucket."""
+    n, nulls = ids.agg(F.count(id_col), F.count_if(F.col(id_col).isNull())).first()
     p = max(1, min(MAX_BUCKETS, n // BUCKET_ROWS))
     step = max(1, math.isqrt(p - 1) + 1)
-    cuts = ids.agg(F.percentile_approx(F.col(id_col), [i / p for i in range(1, p)] or [0.5], 50_000)).first()[0] or []
-    cuts = sorted(set(cuts))
+    found = ids.agg(F.percentile_approx(F.col(id_col), [i / p for i in range(1, p)] or [0.5], 50_000)).first()[0] or []
+    often = {c: found.count(c) for c in {a for a, b in zip(sorted(found), sorted(found)[1:]) if a == b}} if p > 1 else {}
+    cuts = sorted({*found, *[c + 1 for c in often]})
     listed = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+    # part of a bucket by hash: 0 to parts - 1, rising with the (signed) hash
+    part = lambda parts: F.least(F.floor((F.col(hash_col).cast("double") / 2.0 ** 64 + 0.5) * parts), parts - 1).cast("long")
+    null_parts = F.lit(max(1, min(MAX_BUCKETS, -(-(nulls or 0) // BUCKET_ROWS))))
+    lowest = part(null_parts) - MAX_BUCKETS
     if not cuts:
-        return F.lit(0)
+        return F.coalesce(F.when(F.col(id_col).isNull(), lowest), F.lit(0).cast("long"))
     upto = lambda xs: F.size(F.filter(xs, lambda c: c <= F.col(id_col)))
     coarse = upto(listed(cuts[::step])) - 1
     fine = F.when(coarse < 0, F.lit(0)).otherwise(coarse * step + upto(
         F.slice(listed(cuts), F.greatest(coarse, F.lit(0)) * step + 1, step)))
-    return F.coalesce(fine, F.lit(-1))
+    place = fine.cast("long") * F.lit(2 * MAX_BUCKETS).cast("long")
+    if often:
+        ids_, parts = listed(sorted(often)), listed([often[c] for c in sorted(often)])
+        at = F.array_position(ids_, F.col(id_col).cast("long"))
+        place = F.when(at > 0, place + part(F.get(parts, (at - 1).cast("int")))).otherwise(place)
+    return F.when(F.col(id_col).isNull(), lowest).otherwise(place)
 
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,11 +134,13 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first follows the last).  The edited text has the last floor(n/2) code points replaced by
     as many of the next document's first (or all).  Null texts are empty.  Equal texts have
     equal fingerprints; a text of fewer than ``K`` words is one k-mer, an empty one too.
-    Repeated rows are neighbours of each other.  A single document is its own next.  Places
+    Repeated rows are neighbours of each other; rows alike in id *and*
+    text share a bucket, all others are cut apart however many share an id or have none.  A single document is its own next.  Places
     beyond 2^24 words wrap, which can only swap the order within a tuple.  An empty table
     gives an empty result; other columns are ignored."""
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.withColumn("bucket", _bucket(rows.select("id"), "id").cast("int")).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("bucket", _bucket(rows.select("id"), "id", "h"))
     first = F.struct(F.col("id").isNotNull().alias("has"), "id", "h")
     tops = table(rows.groupBy("bucket").agg(F.max(first).alias("top")))       # at most MAX_BUCKETS rows
     order = W.orderBy(F.desc("bucket"))

@@ -65,20 +65,28 @@ def _logit(p: Column) -> Column:
     return F.log(q / (1 - q))
 
 
+def bounded(sample: DataFrame, names: list[str], label: str, most: int) -> DataFrame:
+    """(label, __q_w, names): one row per id and features with the number of rows that it stands for,
+    ``most`` rows at most (those of the least hash); a labelled id may be on any number of rows."""
+    rows = sample.groupBy("__q_doc", label, *names).agg(F.count(F.lit(1)).cast("double").alias("__q_w"))
+    return rows.orderBy(F.xxhash64("__q_doc", *names)).limit(most).select(label, "__q_w", *names)
+
+
 def fit(sample: DataFrame, names: list[str], label: str) -> tuple[list[float], float]:
-    """Coefficients of a ridge logistic regression by Newton steps; the sample is bounded."""
-    t = sample.select(label, *names).toPandas()
-    y = t[label].to_numpy(float)
+    """Coefficients of a weighted ridge logistic regression by Newton steps; the sample is bounded."""
+    t = sample.toPandas()
+    y, n = t[label].to_numpy(float), t["__q_w"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         return [0.0] * len(names), 0.0 if len(y) == 0 else (4.0 if y[0] > 0.5 else -4.0)
     x = t[names].to_numpy(float)
-    mean, std = x.mean(0), x.std(0) + 1e-9
+    mean = np.average(x, axis=0, weights=n)
+    std = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=n)) + 1e-9
     z = np.hstack([(x - mean) / std, np.ones((len(x), 1))])
     w, ridge = np.zeros(z.shape[1]), np.append(np.full(len(names), 1.0), 1e-6)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge * w
-        hess = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(ridge)
+        grad = z.T @ (n * (p - y)) + ridge * w
+        hess = (z * (n * (p * (1 - p) + 1e-9))[:, None]).T @ z + np.diag(ridge)
         step = np.linalg.solve(hess, grad)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
@@ -107,8 +115,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``site_rate`` (its path's rate without the document), ``posterior`` and ``keep``.
 
     Null texts count as empty; null level values are sites of their own.  Labels that are
-    null or of unknown ids are ignored, several of one id are averaged; at most about
-    ``max_labelled`` labelled rows (by hash of the id) fit the classifier.  Without labels the
+    null or of unknown ids are ignored, several of one id are averaged; at most
+    ``max_labelled`` rows (by hash; rows alike in id and features are one with a weight) fit the
+    classifier.  Without labels the
     evidence is 0.5 and everything is kept (``posterior >= threshold`` with threshold 0.5).
     Repeated rows get equal scores.  Columns named like a result are replaced, others kept;
     an empty table gives an empty result."""
@@ -124,7 +133,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     given = given.where(F.pmod(F.xxhash64("__q_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     light = table(base.select(F.col(id_col).alias("__q_doc"), *[F.col(c).alias(f"__q_l{i}") for i, c in enumerate(levels)], *cols))
     sample = light.join(given, F.col("__q_doc") == F.col("__q_id"))
-    coef, bias = fit(sample, names, "__q_y")
+    coef, bias = fit(bounded(sample, names, "__q_y", max_labelled), names, "__q_y")
 
     def evidence(exprs: list[Column]) -> Column:
         z = F.lit(bias)

@@ -75,10 +75,16 @@ def _member(sorted_keys: np.ndarray, terms: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, terms), len(sorted_keys) - 1)] == terms
 
 
-def _sample_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, y, text) of the sampled rows; the sample is bounded by ``max_labelled``, hence small."""
-    return docs.select(id_col, text_col).join(
-        F.broadcast(sample), F.col(id_col) == F.col("t_id")).select("t_id", "y", text_col)
+def _sample_texts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """(t_id, y, text) of the sampled ids: rows alike in id and text once, and ``most`` rows at most
+    (those of the least hash), since a labelled id may be on any number of rows."""
+    rows = docs.select(id_col, text_col).join(F.broadcast(sample), F.col(id_col) == F.col("t_id")).select(
+        "t_id", "y", text_col, F.xxhash64(text_col).alias("t_h")).dropDuplicates(["t_id", "t_h"])
+    rows = table(rows)
+    if rows.count() > most:
+        least = rows.select("t_id", "t_h").orderBy(F.xxhash64("t_id", "t_h"), "t_id", "t_h").limit(most)
+        rows = rows.join(least, (rows["t_id"] == least["t_id"]) & rows["t_h"].eqNullSafe(least["t_h"]), "left_semi")
+    return rows.select("t_id", "y", text_col)
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
@@ -241,7 +247,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Labels are learned only from rows whose crc32 of the id is not ``held`` modulo ``folds``.
     Null texts count as empty and score like any text without a term; null ids are not held
     out.  Null labels and labels of unknown ids are ignored, several of one id are averaged.
-    At most about ``max_labelled`` labelled rows (by hash of the id) are used.  Without labels
+    At most ``max_labelled`` labelled rows (by hash; rows alike in id and text once) are used.  Without labels
     the fixed lists and patterns alone decide.  Repeated rows get equal scores; an empty table
     gives an empty result; other columns are ignored."""
     spark = docs.sparkSession
@@ -251,7 +257,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                    .groupBy(F.col(label_id).alias("t_id")).agg((F.avg(label_col) >= 0.5).cast("double").alias("y")))
     share = min(1.0, max_labelled / max(1, given.count()))
     sample = table(given.where(F.pmod(F.xxhash64("t_id"), F.lit(1_000_000)) < int(share * 1_000_000)))
-    texts = table(_sample_texts(docs, sample, id_col, text_col))
+    texts = table(_sample_texts(docs, sample, id_col, text_col, max_labelled))
     base = sample.agg(F.sum("y"), F.count(F.lit(1))).first()
     # likelihood ratio of a term's labels against the base rate; above twice the log of the
     # number of terms it is no accident of having looked at so many
