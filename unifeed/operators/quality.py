@@ -208,6 +208,46 @@ def column_profile(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
 
 
+DISTINCT_ERROR = 0.02     # relative standard deviation of the distinct estimate
+SAMPLES = 3
+
+
+def column_sketch(df: DataFrame, top: int = 5) -> DataFrame:
+    """QLT7 for tables of any size, in one pass and without an expansion per column: per column the
+    non-null count and %, type class, distinct estimate (relative standard deviation
+    ``DISTINCT_ERROR``), text values that parse as numbers or as dates, whether the column holds
+    numbers in text, shortest and longest text, ``SAMPLES`` sample values (of least hash, so
+    the same in every run) and the ``top`` most frequent values (estimated).
+
+    Every figure is a mergeable state of bounded size: tasks send one row each."""
+    fields = df.schema.fields
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, f in enumerate(fields):
+        c, quoted = F.col(f"`{f.name}`"), f"`{f.name}`"
+        text = c.cast("string")
+        aggs += [F.count(c).alias(f"nn{i}"), F.approx_count_distinct(text, DISTINCT_ERROR).alias(f"nd{i}"),
+                 F.array(*[F.min_by(text, F.when(c.isNotNull(), F.xxhash64(F.lit(k), text))) for k in range(SAMPLES)]).alias(f"sm{i}"),
+                 F.expr(f"approx_top_k(cast({quoted} as string), {top})").alias(f"tk{i}")]
+        if isinstance(f.dataType, T.StringType):
+            shown = blank_to_null(c)
+            aggs += [F.count_if(to_double(shown).isNotNull()).alias(f"nl{i}"), F.count_if(dates.parse_date(c).isNotNull()).alias(f"dl{i}"),
+                     F.count(shown).alias(f"nb{i}"), F.min(F.length(c)).alias(f"lo{i}"), F.max(F.length(c)).alias(f"hi{i}")]
+    one, rows = df.agg(*aggs), []
+    for i, f in enumerate(fields):
+        is_text = isinstance(f.dataType, T.StringType)
+        n = lambda k: F.col(f"{k}{i}") if is_text else F.lit(0)  # noqa: B023, E731
+        rows.append(F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(dtype_class(f.dataType)).alias("dtype"),
+            F.col(f"nn{i}").alias("non_null"), pct(F.col(f"nn{i}"), F.col("_rows")).alias("pct_non_null"),
+            F.col(f"nd{i}").alias("distinct_estimate"), n("nl").cast("long").alias("numeric_like"), n("dl").cast("long").alias("date_like"),
+            ((n("nb") > 0) & (n("nl") == n("nb"))).alias("numeric_text"),
+            (F.col(f"lo{i}") if is_text else F.lit(None)).cast("int").alias("shortest"),
+            (F.col(f"hi{i}") if is_text else F.lit(None)).cast("int").alias("longest"),
+            F.array_distinct(F.array_compact(f"sm{i}")).alias("samples"),
+            F.transform(F.filter(f"tk{i}", lambda t: t["item"].isNotNull()), lambda t: t["item"]).alias("top_values")))
+    return one.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+
+
 def frame_summary(df: DataFrame) -> DataFrame:
     """QLT8: rows, columns, all-NULL rows, duplicate rows (whole row, NULL = NULL).
 
@@ -234,6 +274,26 @@ SUPPORTED_EXPORT_TYPES = (T.StringType, T.IntegerType, T.LongType, T.DoubleType,
                           T.ShortType, T.ByteType)
 
 
+def export_validated(df: DataFrame, path: str) -> DataFrame:
+    """QLT9 with the reference's four checks: names, types, the write to CSV and back (shape, names,
+    NULL counts and content by digest, :func:`unifeed.sources.sinks.checked_write`) and the limits
+    of a sheet (rows, columns, text length); score = passed checks / 4 * 100 and a label.  The
+    table is written to ``path`` when this is called."""
+    from ..sources.sinks import checked_write
+    trip = checked_write(df, path, "csv")
+    size_ok = (F.col("over_limit_cells") == 0) & (F.col("rows") <= MAX_ROWS) & F.lit(len(df.columns) <= MAX_COLUMNS)
+    passed = ((F.col("bad_column_names") == 0).cast("int") + (F.col("type_score") >= 95).cast("int")
+              + F.lit(int(trip["ok"])) + size_ok.cast("int"))
+    score = passed * 25.0
+    return export_check(df).select("rows", "columns", "bad_column_names", "type_score", F.lit(trip["ok"]).alias("round_trip"),
+                                   size_ok.alias("fits_a_sheet"), score.alias("score"), _export_label(score).alias("label"))
+
+
+def _export_label(score: Column) -> Column:
+    return (F.when(score >= 95, F.lit("compatible")).when(score >= 85, F.lit("mostly compatible"))
+            .when(score >= 70, F.lit("needs work")).otherwise(F.lit("incompatible")))
+
+
 def export_check(df: DataFrame) -> DataFrame:
     """QLT9: export compatibility in one pass -- column-name rules (STR15), share of columns
     of a supported type without over-long text (32,767 characters), over-long cells, row and
@@ -253,8 +313,7 @@ def export_check(df: DataFrame) -> DataFrame:
     size_ok = (F.col("rows") <= MAX_ROWS) & F.lit(len(df.columns) <= MAX_COLUMNS)
     passed = (F.lit(int(not names_bad)) + (F.col("type_score") >= 95).cast("int") + text_ok.cast("int") + size_ok.cast("int"))
     score = passed * 25.0
-    label = (F.when(score >= 95, F.lit("compatible")).when(score >= 85, F.lit("mostly compatible"))
-             .when(score >= 70, F.lit("needs work")).otherwise(F.lit("incompatible")))
+    label = _export_label(score)
     return a.select("rows", F.lit(len(df.columns)).alias("columns"), "max_text_length", "over_limit_cells",
                     F.lit(len(names_bad)).alias("bad_column_names"), "type_score", score.alias("score"), label.alias("label"))
 

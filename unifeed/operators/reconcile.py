@@ -35,6 +35,7 @@ from pyspark.sql import Window
 
 from ..functions import durations, places
 from ..functions.people import officer_initial_form
+from ..session import scratch_table
 
 PRESENT, SPLIT, CONFLICT, MISSING = "PRESENT", "SPLIT_SUGGESTED", "CONFLICT", "MISSING"
 CLASSES = (PRESENT, SPLIT, CONFLICT, MISSING)
@@ -103,13 +104,19 @@ def short_substrings(key: Column, max_len: int = PREFIX_LEN - 1) -> Column:
     return F.array_distinct(F.flatten(F.array(*parts)))
 
 
-def _contained(x: DataFrame, y_values: DataFrame, x_col: str, y_col: str, keep: list[str]) -> DataFrame:
+BLOCK_MAX = 1000         # keys of one block that are still tested with ``startswith``
+
+
+def _contained(x: DataFrame, y_values: DataFrame, x_col: str, y_col: str, keep: list[str], block_max: int = BLOCK_MAX) -> DataFrame:
     """Rows of ``x`` joined to rows of ``y_values`` whose text contains ``x[x_col]``
     on the same date -- exact, with O(L) expansion per key:
 
     * keys shorter than the prefix: equi-join against ``y``'s short substrings;
     * longer keys: equi-join on (date, first ``PREFIX_LEN`` characters) against
-      ``y``'s suffixes, then ``startswith(suffix, key)``.
+      ``y``'s suffixes, then ``startswith(suffix, key)``;
+    * keys of a block that holds more than ``block_max`` of them (a date whose places begin alike,
+      counted from the data): the suffixes of the block are cut to each length its keys have and
+      joined on the whole key, so only true matches come out, however many keys share a beginning.
     """
     short = x.where(F.length(x_col) < PREFIX_LEN)
     long_ = x.where(F.length(x_col) >= PREFIX_LEN).withColumn("_pre", F.substring(x_col, 1, PREFIX_LEN))
@@ -117,8 +124,16 @@ def _contained(x: DataFrame, y_values: DataFrame, x_col: str, y_col: str, keep:
     ysuf = y_values.select("date", F.explode(suffixes(F.col(y_col), PREFIX_LEN)).alias("_suf"), *keep) \
         .withColumn("_pre", F.substring("_suf", 1, PREFIX_LEN))
     a = short.join(ys, ["date", x_col])
-    b = long_.join(ysuf, ["date", "_pre"]).where(F.col("_suf").startswith(F.col(x_col))).drop("_pre", "_suf")
-    return a.unionByName(b)
+    blocks = long_.groupBy("date", "_pre").agg(F.count(F.lit(1)).alias("_n"), F.collect_set(F.length(x_col)).alias("_lens"))
+    large = blocks.where(F.col("_n") > block_max).select("date", "_pre", "_lens")
+    # the block's size goes with its keys, so every key takes exactly one of the two ways
+    b = (long_.join(blocks.where(F.col("_n") <= block_max).select("date", "_pre"), ["date", "_pre"], "left_semi")
+         .join(ysuf, ["date", "_pre"]).where(F.col("_suf").startswith(F.col(x_col))).drop("_pre", "_suf"))
+    fits = F.filter("_lens", lambda n: n <= F.length("_suf"))
+    cut = F.transform(fits, lambda n: F.substring(F.col("_suf"), F.lit(1), n))
+    whole = ysuf.join(large, ["date", "_pre"]).select("date", F.explode(cut).alias(x_col), *keep).distinct()
+    c = long_.drop("_pre").join(whole, ["date", x_col])
+    return a.unionByName(b).unionByName(c)
 
 
 def _containment_hits(cad: DataFrame, keyed_log: DataFrame, name: str) -> list[DataFrame]:
@@ -151,17 +166,19 @@ def reconcile(cad: DataFrame, log: DataFrame, cad_id: str = "cad_id", cad_date:
 
     Returns the dispatch rows (all input columns) plus ``status``,
     ``matched_row`` (PRESENT / SPLIT), ``matched_loc`` and ``n_same_day``.
-    Log row indices must be unique; a NULL date is MISSING.
+    Ids and log row indices must be unique; a NULL date is MISSING.  The keyed sides are written once to
+    the shared scratch folder, so each input is read twice at most, whatever its size.
     """
     c = cad.select(F.col(cad_id).alias("cad_id"), F.col(cad_date).alias("date"),
                    places.location_key(F.col(cad_loc)).alias("ckey"),
                    places.location_tokens(F.col(cad_loc)).alias("ctok"))
-    c = c.where(F.col("date").isNotNull())
+    c = scratch_table(c.where(F.col("date").isNotNull()))           # keys and tokens once, for every signal
     lg = log.select(F.col(log_idx).alias("row_idx"), F.col(log_date).alias("date"),
                     F.col(log_loc).alias("lloc")).where(F.col("date").isNotNull())
-    keyed = lg.select("row_idx", "date", "lloc", places.location_key("lloc").alias("lkey"),
-                      places.location_tokens("lloc").alias("ltok"),
-                      places.is_combined("lloc").alias("combined"))
+    keyed = scratch_table(lg.select("row_idx", "date", "lloc", places.location_key("lloc").alias("lkey"),
+                                    places.location_tokens("lloc").alias("ltok"),
+                                    places.is_combined("lloc").alias("combined")))
+    lg = keyed.select("row_idx", "date", "lloc")
 
     # ---- PRESENT: full location match, first row
     present = _least(_containment_hits(c, keyed, "present_row")
@@ -180,24 +197,27 @@ def reconcile(cad: DataFrame, log: DataFrame, cad_id: str = "cad_id", cad_date:
 
     # ---- same-day log rows (CONFLICT evidence): one row per date
     per_day = lg.groupBy("date").agg(F.count(F.lit(1)).alias("n_same_day"))
-
-    base = cad.withColumn("_cid", F.col(cad_id)).withColumn("_cdate", F.col(cad_date))
-    j = (base.join(present.withColumnRenamed("cad_id", "_cid"), "_cid", "left")
-             .join(split.withColumnRenamed("cad_id", "_cid"), "_cid", "left")
-             .join(per_day.withColumnRenamed("date", "_cdate"), "_cdate", "left"))
+    days = c.select("cad_id", "date").join(per_day, "date").select("cad_id", "n_same_day")
+
+    # ---- what was found of each dispatch row, one row per id; it meets the rows by id alone, so
+    # rows without a date or a match share no key
+    row_type = log.schema[log_idx].dataType
+    signals = (("present_row", present, row_type), ("split_row", split, row_type), ("n_same_day", days, T.LongType()))
+    found = None
+    for name, frame, _ in signals:
+        part = frame.select("cad_id", *[F.col(n).alias(n) if n == name else F.lit(None).cast(t).alias(n) for n, _, t in signals])
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy(F.col("cad_id").alias("_cid")).agg(*[F.max(n).alias(n) for n, _, _ in signals])
+    found = found.withColumn("_row", F.coalesce("present_row", "split_row"))
+    locs = lg.select(F.col("row_idx").alias("_row"), F.col("lloc").alias("matched_loc"))
+    seen = found.where(F.col("_row").isNotNull()).join(locs, "_row").select(F.col("_cid").alias("_sid"), "matched_loc")
+    j = cad.join(found, F.col(cad_id) == F.col("_cid"), "left").join(seen, F.col(cad_id) == F.col("_sid"), "left")
     n_day = F.coalesce(F.col("n_same_day"), F.lit(0)).cast("long")
     status = (F.when(F.col("present_row").isNotNull(), F.lit(PRESENT))
               .when(F.col("split_row").isNotNull(), F.lit(SPLIT))
               .when(n_day > 0, F.lit(CONFLICT)).otherwise(F.lit(MISSING)))
-    matched = F.when(F.col("present_row").isNotNull(), F.col("present_row")).otherwise(F.col("split_row"))
-    out = j.select(*[F.col(f"`{x}`") for x in cad.columns], status.alias("status"),
-                   matched.alias("matched_row"), n_day.alias("n_same_day"))
-    locs = lg.select(F.col("row_idx").alias("matched_row"), F.col("lloc").alias("matched_loc"))
-    found = out.where(F.col("matched_row").isNotNull()).join(locs, "matched_row", "left")
-    # CONFLICT and MISSING rows have no log row: they skip the join (and its one NULL key)
-    rest = out.where(F.col("matched_row").isNull()).withColumn("matched_loc", F.lit(None).cast("string"))
-    return found.unionByName(rest).select("matched_row", *[F.col(f"`{x}`") for x in out.columns if x != "matched_row"],
-                                          "matched_loc")
+    return j.select(F.col("_row").alias("matched_row"), *[F.col(f"`{x}`") for x in cad.columns], status.alias("status"),
+                    n_day.alias("n_same_day"), "matched_loc")
 
 
 def conflict_candidates(result: DataFrame, log: DataFrame, date_col: str = "date",

@@ -373,3 +373,76 @@ def export_roundtrip(spark, sf_dir):
     from ..sources.sinks import roundtrip_check
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip/documents-{uuid.uuid4().hex}"
     return roundtrip_check(table(spark, sf_dir, "documents"), path, fmt="csv")
+
+
+@register("export_validated", """WITH a AS (SELECT count(*) AS rows, count_if(length(text) > 32767) + count_if(length(lang) > 32767)
+  + count_if(length(source) > 32767) AS over_cells, CAST(coalesce(max(length(text)), 0) > 32767 AS INT)
+  + CAST(coalesce(max(length(lang)), 0) > 32767 AS INT) + CAST(coalesce(max(length(source)), 0) > 32767 AS INT) AS over_columns FROM documents),
+s AS (SELECT rows, 100.0 * (5 - over_columns) / 5 AS type_score, over_cells = 0 AND rows <= 1000000 AS fits FROM a),
+r AS (SELECT *, 25.0 * (1 + CAST(type_score >= 95 AS INT) + 1 + CAST(fits AS INT)) AS score FROM s)
+SELECT rows, 5 AS columns, CAST(0 AS INTEGER) AS bad_column_names, type_score, true AS round_trip, fits AS fits_a_sheet, score,
+  CASE WHEN score >= 95 THEN 'compatible' WHEN score >= 85 THEN 'mostly compatible' WHEN score >= 70 THEN 'needs work'
+    ELSE 'incompatible' END AS label FROM r""")
+def export_validated(spark, sf_dir):
+    """QLT9 with SNK6: ``documents`` through the four export checks, one of them the round trip by
+    digest (the oracle is the lossless outcome)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip/validated-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return quality.export_validated(docs, path)
+
+
+@register("column_sketch", """WITH l AS (SELECT * FROM customer)
+SELECT * FROM (
+  SELECT 0 AS position, 'c_custkey' AS "column", count(c_custkey) AS non_null, CAST(0 AS BIGINT) AS numeric_like, CAST(0 AS BIGINT) AS date_like, false AS numeric_text, CAST(NULL AS INTEGER) AS longest FROM l
+  UNION ALL SELECT 1, 'nation', count(c_nationkey), count(c_nationkey), 0, count(c_nationkey) > 0, CAST(max(length(CAST(c_nationkey AS VARCHAR))) AS INTEGER) FROM l
+  UNION ALL SELECT 2, 'mixed', count(*), count_if(c_custkey % 2 = 0), count_if(c_custkey % 2 = 1), false,
+    CAST(max(CASE WHEN c_custkey % 2 = 0 THEN length(CAST(c_custkey AS VARCHAR)) ELSE 10 END) AS INTEGER) FROM l)""")
+def column_sketch(spark, sf_dir):
+    """QLT7 by sketches: types, numbers and dates found in the text of ``customer`` (exact figures; the
+    estimates are tested against exact counts)."""
+    c = F.col("c_custkey")
+    cu = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("nation"),
+        F.when(c % 2 == 0, c.cast("string")).otherwise(F.lit("2024-05-17")).alias("mixed"))
+    return quality.column_sketch(cu).select("position", "column", "non_null", "numeric_like", "date_like", "numeric_text", "longest")
+
+
+_LAYOUT_SQL = """WITH o AS (SELECT o_orderkey, o_custkey % 12 AS file, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT o_orderkey, file, CASE file % 3 WHEN 0 THEN 'day first' WHEN 1 THEN 'month first' ELSE 'tied' END AS layout,
+  CASE WHEN file % 3 = 2 AND day(d) <= 12 AND day(d) <> month(d) THEN NULL ELSE d END AS parsed_date FROM o"""
+
+
+@register("date_layouts", _LAYOUT_SQL)
+def date_layouts(spark, sf_dir):
+    """DAT1: order dates as twelve files write them (day first, month first, or never telling which)."""
+    from ..operators import layouts
+    file, d = F.col("o_custkey") % 12, F.col("o_orderdate").cast("date")
+    cell = (F.when(file % 3 == 0, F.date_format(d, "dd/MM/yyyy")).when(file % 3 == 1, F.date_format(d, "M/d/yyyy"))
+            .when(F.dayofmonth(d) <= 12, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd")))
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", file.alias("file"), cell.alias("Date"))
+    return layouts.parse_by_layout(raw, ["file"], "Date").select("o_orderkey", "file", "layout", "parsed_date")
+
+
+@register("sheet_by_header", """SELECT c_custkey, c_name AS "Name", CASE WHEN c_nationkey % 5 <> 4 THEN c_mktsegment END AS "Segment"
+FROM customer""")
+def sheet_by_header(spark, sf_dir):
+    """SRC1: decoded sheet rows of ``customer``, one sheet a nation, columns in other places in every
+    sheet, read by each sheet's own header."""
+    from ..sources import workbook
+    n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+
+    def laid(a, b, c):
+        blank = F.lit(None).cast("string")
+        return (F.when(n % 5 == 0, F.array(a, b, c)).when(n % 5 == 1, F.array(c, blank, b, a)).when(n % 5 == 2, F.array(b, a, c))
+                .when(n % 5 == 3, F.array(F.lit("x"), c, a, b)).otherwise(F.array(b, a)))
+    cu = table(spark, sf_dir, "customer")
+    sheet = [F.lit("book").alias("file"), n.cast("string").alias("sheet")]
+    body = cu.select(*sheet, (F.col("c_custkey") + 10).cast("int").alias("row_no"), laid(key, F.col("c_name"), F.col("c_mktsegment")).alias("cells"))
+    heads = cu.groupBy("c_nationkey").count().select(*sheet, (1 + n % 3).cast("int").alias("row_no"),
+                                                     laid(F.lit("Key "), F.lit("Name"), F.lit("Segment")).alias("cells"))
+    rows = body.unionByName(heads).withColumn("error", F.lit(None).cast("string"))
+    out = workbook.by_header(rows, ["Key", "Name", "Segment"])
+    return out.select(F.col("Key").cast("long").alias("c_custkey"), "Name", "Segment")

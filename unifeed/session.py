@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What results depend on: UTC, so timestamp casts agree with the SQL oracle.
 BASE_CONF = {"spark.sql.session.timeZone": "UTC"}
@@ -63,3 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(cur)
     return cur
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared scratch folder and read back: what many branches of a
+    plan read is computed once, and a lost executor re-reads files."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/unifeed-scratch/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
