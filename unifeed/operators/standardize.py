@@ -228,11 +228,12 @@ def patrol_log(raw: DataFrame, data_source: str = "patrol",
 
 def dispatch_export(raw: DataFrame, routes: DataFrame, data_source: str = "cad_ce",
                     processed_date: _dt.date | None = None,
-                    keep: Sequence[str] = ()) -> DataFrame:
+                    keep: Sequence[str] = (), on_inversion: str = "impute") -> DataFrame:
     """Dispatch export -> routed rows with ``include``, ``imputed`` flags (NUM5, DUR4,
     STR7, TIM1/TIM2).  The route table is a fixed, tiny lookup: broadcast it.
 
-    Returns every input row; callers split on ``include`` (FLT2/OUT2/OUT4).
+    Returns every input row; callers split on ``include`` (FLT2/OUT2/OUT4).  ``on_inversion``: what
+    becomes of a call that ends before it begins (:func:`durations.memorial_guard`).
     """
     look = header_lookup(raw)
     g = lambda n: _present(raw, n)
@@ -259,7 +260,7 @@ def dispatch_export(raw: DataFrame, routes: DataFrame, data_source: str = "cad_c
         durations.clock_from_digits("_od").alias("out_s"),
         durations.clock_from_digits("_id").alias("in_s"),
         "event_name", "location", "squad", "attendee_names", *kept)
-    dur, imputed, end_s = durations.memorial_guard("out_s", "in_s")
+    dur, imputed, end_s = durations.memorial_guard("out_s", "in_s", on_inversion)
     base = s2.select(
         "case_no", "date",
         durations.hhmm(F.col("out_s")).alias("start_time"),

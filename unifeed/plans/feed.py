@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import route_table
 from ..operators import standardize
-from ..operators.combine import gap_fill, remove_contamination
+from ..operators.combine import contamination_flag, gap_fill, remove_contamination
 from ..operators.schema import CANONICAL_COLUMNS, union_sources
+from ..session import scratch_table
 from . import driver_tables as dt
 
 GAP_SOURCE = "cad_ce"
@@ -86,16 +87,21 @@ def run_production(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str,
     from ..sources import sinks
 
     started = _dt2.datetime.now(_dt2.timezone.utc).replace(tzinfo=None)
-    run = build_feed(spark, sf_dir)
-    feed_path = sinks.write_feed(run.feed, f"{out_dir.rstrip('/')}/combined")
+    sources = driver_sources(spark, sf_dir)
+    # every source is parsed once; feed, removed and dropped rows are told apart in what was written
+    tagged = scratch_table(union_sources(sources.values()).withColumn("_removed", contamination_flag()))
+    kept, removed = tagged.where(~F.col("_removed")).drop("_removed"), tagged.where("_removed").drop("_removed")
+    record, gap = kept.where(F.col("data_source") != GAP_SOURCE), kept.where(F.col("data_source") == GAP_SOURCE)
+    gap_kept, gap_dropped = gap_fill(record, gap)
+    feed_path = sinks.write_feed(record.unionByName(gap_kept), f"{out_dir.rstrip('/')}/combined")
     feed = spark.read.parquet(feed_path).drop("year_month")
     tables = {
         "office_summary": report.office_summary(feed),
         "bureau_rollup": report.bureau_rollup(feed),
-        "presentation": report.presentation(feed),
-        "removed_rows": run.removed,
-        "gap_dropped": run.gap_dropped,
-        "run_summary": sinks.run_summary(spark, feed, list(run.sources), [], started),
+        "presentation": report.presentation(feed).orderBy("Date"),
+        "removed_rows": removed,
+        "gap_dropped": gap_dropped,
+        "run_summary": sinks.run_summary(spark, feed, list(sources), [], started),
         "quality": quality.combined_score(feed),
     }
     paths = sinks.write_tables(tables, out_dir)
