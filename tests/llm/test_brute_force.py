@@ -90,19 +90,96 @@ def test_smith_waterman(a, b):
         assert slow_alignment(a, b[start:end]) == score
 
 
+def tokens(text):
+    return [w.translate(FOLD) for w in WORD.findall(text)]
+
+
+def all_alignments(docs, items, bar=0.5):
+    """Every (document, item) whose alignment reaches the bar: all pairs, no seeds."""
+    ids = collections.defaultdict(lambda: len(ids))
+    code = lambda ws: np.array([ids[w] for w in ws], dtype=np.int64)
+    docs, items = {d: code(w) for d, w in docs.items()}, {i: code(w) for i, w in items.items()}
+    return {(d, i): decontam.smith_waterman(a, b)[0] / (2 * len(a)) for i, a in items.items() for d, b in docs.items()
+            if len(a) >= 3 and len(b) and decontam.smith_waterman(a, b)[0] >= bar * 2 * len(a)}
+
+
+def found(spark, docs, items, **options):
+    out = decontam.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string"),
+                        spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"), **options)
+    rows = out.collect()
+    assert len(rows) == len({(r.doc_id, r.item_id) for r in rows})
+    return {(r.doc_id, r.item_id): r.score for r in rows}
+
+
 def test_decontamination_finds_all_alignments(spark, con, texts):
     items = dict(con.execute("SELECT item_id, text FROM benchmark").fetchall())
-    want = set()
-    toks = {d: [w.translate(FOLD) for w in WORD.findall(t)] for d, t in texts.items()}
-    for i, t in items.items():
-        a = [w.translate(FOLD) for w in WORD.findall(t)]
-        grams = {tuple(a[k:k + 3]) for k in range(len(a) - 2)}
-        for d, b in toks.items():           # any shared trigram makes a candidate here
-            if grams & {tuple(b[k:k + 3]) for k in range(len(b) - 2)} and len(b) < 3000:
-                if slow_alignment(a, b) >= len(a):
-                    want.add((d, i))
-    got = {(r.doc_id, r.item_id) for r in E.queries()["op1_decontaminate"](spark, SF).collect()}
-    assert {x for x in got if len(toks[x[0]]) < 3000} == want and want
+    want = all_alignments({d: tokens(t) for d, t in texts.items()}, {i: tokens(t) for i, t in items.items()})
+    got = {(r.doc_id, r.item_id): r.score for r in E.queries()["op1_decontaminate"](spark, SF).collect()}
+    assert got == pytest.approx(want) and want
+
+
+def edited(rnd, words, kind, share):
+    """``words`` with a share of them substituted, deleted or followed by another word."""
+    out = []
+    for w in words:
+        hit = rnd.random() < share
+        other = f"z{rnd.randint(0, 10 ** 6)}"
+        out += {"substitute": [other] if hit else [w], "delete": [] if hit else [w], "insert": [w, other] if hit else [w]}[kind]
+    return out
+
+
+@pytest.mark.parametrize("vocabulary", [30, 3000])
+def test_decontamination_loses_no_edited_copy(spark, vocabulary):
+    """All pairs above the bar, whatever the edits leave of them; a small vocabulary makes
+    every seed common and most alignments stray."""
+    rnd = random.Random(vocabulary)
+    vocab = [f"v{i}" for i in range(vocabulary)]
+    items = {k: [rnd.choice(vocab) for _ in range(rnd.choice([3, 4, 7, 15, 20, 40, 90]))] for k in range(30)}
+    docs = {}
+    for kind in ("substitute", "delete", "insert"):
+        for share in (0.1, 0.25, 0.33):
+            for k, words in items.items():
+                noise = [rnd.choice(vocab) for _ in range(40)]
+                docs[len(docs)] = noise[:20] + edited(rnd, words, kind, share) + noise[20:]
+    want = all_alignments(docs, items)
+    got = found(spark, docs, items)
+    assert len(want) > 150 and got == pytest.approx(want)
+
+
+def test_decontamination_without_three_words_in_a_row(spark):
+    rnd = random.Random(5)
+    item = [f"q{i}" for i in range(20)]
+    inserted = [x for i, w in enumerate(item) for x in ([w] if i % 2 == 0 else [w, f"n{i}"])]
+    replaced = [w if i % 3 else f"r{i}" for i, w in enumerate(item)]
+    docs = {1: inserted, 2: replaced, 3: [x for w in item for x in (w, f"m{rnd.random()}")]}
+    assert found(spark, docs, {1: item}) == pytest.approx(all_alignments(docs, {1: item}))
+    assert {d for d, _ in found(spark, docs, {1: item})} >= {1, 2}
+
+
+def test_decontamination_of_repeated_words_items_and_blocks(spark):
+    rnd = random.Random(8)
+    items = {1: ["a"] * 30, 2: ["a", "b"] * 12, 3: [f"c{i}" for i in range(12)], 4: [f"c{i}" for i in range(12)], 5: ["a", "b"]}
+    items.update({10 + k: [f"t{j}" for j in range(10)] + [f"u{k}x{j}" for j in range(12)] for k in range(60)})   # one beginning
+    docs = {1: ["a"] * 4000, 2: ["b", "a"] * 2000, 3: ["x"] + items[3] + ["a"] * 40, 4: items[15], 5: items[20][:10] * 300,
+            6: edited(rnd, items[33], "substitute", 0.25), 7: ["a"], 8: ["b"]}
+    want = all_alignments(docs, items)
+    assert found(spark, docs, items) == pytest.approx(want) and len(want) > 6
+    assert found(spark, docs, items, block_words=200) == pytest.approx(want)
+    assert found(spark, docs, items, min_score=0.8) == pytest.approx(all_alignments(docs, items, 0.8))
+
+
+def test_hits_laid_out_in_slices(spark, monkeypatch):
+    rnd = random.Random(11)
+    words = [np.array([rnd.randint(0, 3) for _ in range(n)], dtype=np.uint64) for n in (12, 30, 5)]
+    index = decontam.Items([0, 1, 2], words, 0.5)
+    text = np.array([rnd.randint(0, 3) for _ in range(400)], dtype=np.uint64)
+    row = np.repeat(np.arange(4), 100)
+    hashes, at = decontam.pairs(text, row)
+    hit, seed = index.find(hashes)
+    at = at[hit]
+    whole = list(decontam.passages(index, row[at], at - row[at] * 100, seed))
+    monkeypatch.setattr(decontam, "SLICE", 50)
+    assert whole and list(decontam.passages(index, row[at], at - row[at] * 100, seed)) == whole
 
 
 def test_decontamination_of_edited_copies(spark):
@@ -122,27 +199,20 @@ def test_decontamination_of_edited_copies(spark):
     assert sorted(r.doc_id for r in out) == list(range(20))
 
 
-@pytest.mark.parametrize("edits", [0.1, 0.2, 0.25])
+@pytest.mark.parametrize("edits", [0.1, 0.25, 0.33])
 def test_decontamination_of_short_hot_items(spark, edits):
     rnd = random.Random(int(edits * 100))
     vocab = [f"v{i}" for i in range(3000)]
     items = {k: [rnd.choice(vocab) for _ in range(15 + k)] for k in range(6)}         # 15 to 20 words
-    docs, want = {}, set()
+    docs, copies = {}, {}
     for d in range(3600):
         noise = [rnd.choice(vocab) for _ in range(24)]
-        if d % 3 == 0:                      # a third of the documents, so every 3-gram is common
-            k = d // 3 % 6
-            copy = [rnd.choice(vocab) if rnd.random() < edits else w for w in items[k]]
-            grams = {tuple(items[k][j:j + 3]) for j in range(len(items[k]) - 2)}
-            docs[d] = noise[:12] + copy + noise[12:]
-            if grams & {tuple(copy[j:j + 3]) for j in range(len(copy) - 2)} and slow_alignment(items[k], docs[d]) >= len(items[k]):
-                want.add((d, k))
-        else:
-            docs[d] = noise
-    out = decontam.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string"),
-                        spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string"))
-    got = {(r.doc_id, r.item_id) for r in out.collect()}
-    assert want and not want - got and all(d % 3 == 0 for d, _ in got)
+        docs[d] = noise
+        if d % 3 == 0:                      # a third of the documents, so every seed is common
+            copy = [rnd.choice(vocab) if rnd.random() < edits else w for w in items[d // 3 % 6]]
+            copies[d] = docs[d] = noise[:12] + copy + noise[12:]
+    want = all_alignments(copies, items)
+    assert want and found(spark, docs, items) == pytest.approx(want)
 
 
 @settings(max_examples=100, deadline=None)
