@@ -1,18 +1,24 @@
 """Operator 2 [native]: line dedup by winnowing over line hashes.
 
-Lines are hashed.  A window is the shortest stretch of lines from a line on that reaches
-``min_words`` words; the least line hash in it is its fingerprint.  Any run of at least
-``min_words`` words that occurs twice contains the same windows, hence the same fingerprints
-(the guarantee of winnowing).  Positions are joined on the fingerprint; windows whose
-fingerprint occurs once are done.
-
-A match is extended to the right by the windows that start at the following lines and to
-the left by the mirrored windows that end at the preceding ones, each compared by its
-content with the first place of that content.  A line belongs to a repeated run of
-``min_words`` words or more exactly if such a window covers it: up to the end of the run's
-first window it is covered by that one, beyond it by the mirrored window that ends at the
-line.  So extension needs no pairs of places, and a passage that a third of all documents
-share costs one row per place.
+Lines are hashed (twice, 64 bits each).  A window is the shortest stretch of lines from a line
+on that reaches ``min_words`` words; the place of its least line hash is selected, and that
+hash is the fingerprint of the place.  Any run of at least ``min_words`` words that occurs
+twice contains the same windows, hence selects the same places (the guarantee of winnowing).
+
+1. Selected places are joined on their fingerprint; windows whose selected place has a
+   fingerprint of its own are done.
+2. Around a joined place the match is extended to the right: its window and those of the
+   following lines are compared by content (128 bits) with the first place of that content.
+3. From the windows that match, it is extended to the left by mirrored windows, the shortest
+   stretch that ends at a line: a mirrored window holds the window that begins at its first
+   line, so only those are looked at whose first line begins a match.
+
+A line belongs to a repeated run of ``min_words`` words or more exactly if such a window covers
+it: up to the end of the run's first window it is covered by that one, beyond it by the mirrored
+window that ends at the line.  So extension needs no pairs of places, and a passage that a third
+of all documents share costs one row per place.  Places that share a fingerprint or a content are
+split by their document over ``SPLITS`` groups, each reduced to its first and last place before
+these meet, so no key gathers its places in one task.
 
 The first place (by id, text hash, line) stays; all later repeats are deleted.
 Blank lines count no words and go with the line before them.
@@ -20,28 +26,30 @@ Blank lines count no words and go with the line before them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .shared import WORD, table
 
 MIN_WORDS = 50
+SPLITS = 64              # groups that the places of one fingerprint or content are dealt to
 
 
-def _repeats(lines: DataFrame, key: str, mark: str) -> DataFrame:
-    """(content, first place) of window contents that occur more than once."""
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "h", "i")
-    return (lines.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"k_{mark}"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias(f"first_{mark}"))
-                 .where("n > 1").drop("n"))
+def _repeated(rows: DataFrame, keys: list[str], place: Column) -> DataFrame:
+    """The rows whose key stands at more than one place, with the key's ``first`` place."""
+    split = rows.withColumn("split", F.pmod(F.xxhash64("k", "h"), F.lit(SPLITS)).cast("int"))
+    ends = split.groupBy(*keys, "split").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    of_key = W.partitionBy(*keys)                            # SPLITS rows at most
+    ends = (ends.select(*keys, "split", F.min("lo").over(of_key).alias("first"), F.max("hi").over(of_key).alias("last"))
+                .where(F.col("first") != F.col("last")).drop("last"))
+    return split.join(ends, [*keys, "split"]).drop("split")
 
 
-def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(k, h, i, w, repeated) for every line i of every distinct (id, text); k and h hash the id
-    (null too) and the text, so plain equality joins and one partitioning serve throughout."""
+def _windows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """(all lines, lines with words and their windows) as written tables."""
     parts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k"), F.xxhash64(text_col).alias("h"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("i", "line"))
-    lines = parts.select("id", "k", "h", "i", F.xxhash64("line").alias("lh"),
+    lines = parts.select("id", "k", "h", "i", F.xxhash64("line").alias("lh"), F.xxhash64(F.lit(1), "line").alias("lh2"),
                          F.regexp_count("line", F.lit(WORD)).cast("long").alias("w"))
     doc = W.partitionBy("k", "h")
     # equal rows give equal lines: one set of them is enough
@@ -50,28 +58,38 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int)
     full = full.withColumn("before", F.col("upto") - F.col("w"))
     ahead = doc.orderBy("before").rangeBetween(0, min_words - 1)
     back = doc.orderBy("upto").rangeBetween(-(min_words - 1), 0)
+
+    def content(column: str, over, seed: int) -> Column:
+        return F.when(F.sum("w").over(over) >= min_words, F.xxhash64(F.lit(seed), F.collect_list(column).over(over)))
+
     full = full.select(
-        "id", "k", "h", "i", "w",
-        F.min("lh").over(ahead).alias("mark"),                         # fingerprint
-        F.when(F.sum("w").over(ahead) >= min_words, F.xxhash64(F.collect_list("lh").over(ahead))).alias("next"),
+        "id", "k", "h", "i",
+        F.min(F.struct("lh", "i")).over(ahead).alias("least"),         # the selected place
+        content("lh", ahead, 0).alias("next"), content("lh2", ahead, 1).alias("next2"),
         F.max("i").over(ahead).alias("next_end"),
-        F.when(F.sum("w").over(back) >= min_words, F.xxhash64(F.collect_list("lh").over(back))).alias("prev"),
+        content("lh", back, 0).alias("prev"), content("lh2", back, 1).alias("prev2"),
         F.min("i").over(back).alias("prev_start"))
-    full = table(full)
-    # fingerprints that mark windows at more than one place
-    marks = (full.where(F.col("next").isNotNull()).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select("mark"))
-    right = _repeats(full.join(marks, "mark", "left_semi"), "next", "next")
-    left = _repeats(full, "prev", "prev")
+    return lines, table(full.select("*", F.col("least.lh").alias("mark"), F.col("least.i").alias("at")).drop("least"))
+
+
+def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(k, h, i, w, repeated) for every line i of every distinct (id, text); k and h hash the id
+    (null too) and the text, so plain equality joins and one partitioning serve throughout."""
+    lines, full = _windows(docs, id_col, text_col, min_words)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "h", "i")
-    # inner joins: lines without a full window have no key and stay out
-    to = full.join(right, F.col("next") == F.col("k_next")).where(F.col("first_next") != place).select(
-        "k", "h", "i", F.col("next_end").alias("to"), F.lit(None).cast("int").alias("from"))
-    back_to = full.join(left, F.col("prev") == F.col("k_prev")).where(F.col("first_prev") != place).select(
-        "k", "h", "i", F.lit(None).cast("int").alias("to"), F.col("prev_start").alias("from"))
+    marked = _repeated(full.where(F.col("next").isNotNull()).select("id", "k", "h", "i", "next", "next2", "next_end", "mark", "at"),
+                       ["mark"], F.struct("k", "h", "at"))
+    right = table(_repeated(marked.drop("mark", "at", "first"), ["next", "next2"], place).select(
+        "k", "h", "i", "next_end", (F.col("first") != place).alias("later")))
+    begins = right.select("k", "h", F.col("i").alias("prev_start"))
+    mirrored = (full.where(F.col("prev").isNotNull()).select("id", "k", "h", "i", "prev", "prev2", "prev_start")
+                    .join(begins, ["k", "h", "prev_start"], "left_semi"))
+    left = _repeated(mirrored, ["prev", "prev2"], place).where(F.col("first") != place)
+    to = right.where("later").select("k", "h", "i", F.col("next_end").alias("to"), F.lit(None).cast("int").alias("from"))
+    back_to = left.select("k", "h", "i", F.lit(None).cast("int").alias("to"), F.col("prev_start").alias("from"))
     hit = to.unionByName(back_to).groupBy("k", "h", "i").agg(F.max("to").alias("to"), F.min("from").alias("from"))
     found = lines.select("k", "h", "i", "w").join(hit, ["k", "h", "i"], "left")
-    run = doc.orderBy("i")
+    run = W.partitionBy("k", "h").orderBy("i")
     covered = (F.coalesce(F.max("to").over(run.rowsBetween(W.unboundedPreceding, 0)) >= F.col("i"), F.lit(False))
                | F.coalesce(F.min("from").over(run.rowsBetween(0, W.unboundedFollowing)) <= F.col("i"), F.lit(False)))
     flagged = found.withColumn("covered", F.when(F.col("w") > 0, covered))
