@@ -1,11 +1,12 @@
 """Bounds that must hold whatever the rows: samples, buckets, long and repeated conversations."""
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from unifeed.llm import chat, fingerprints, quality, toxicity
+from unifeed.llm import chat, fingerprints, neardup, quality, toxicity
 
 
 def test_collected_samples_are_bounded_by_rows_not_ids(spark, monkeypatch):
@@ -83,3 +84,63 @@ def test_long_conversations_take_time_in_proportion(spark):
     seconds(1000)
     short, long_ = seconds(8000), seconds(32_000)
     assert long_ < 4.5 * short
+
+
+def _families(bars, size, seed):
+    """Families of edited copies, each word changed with the family's probability."""
+    rnd, rows = random.Random(seed), []
+    for f, p in enumerate(bars):
+        base = [f"f{f}w{k}" for k in range(100)]
+        rows += [(1000 * f + d, " ".join(f"e{rnd.randint(0, 10 ** 9)}" if rnd.random() < p else w for w in base))
+                 for d in range(size)]
+    return rows
+
+
+def _least(rows):
+    """The least id reachable, over all pairs."""
+    sets = {d: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for d, t in rows}
+    least = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    while True:
+        new = dict(least)
+        for a, b in links:
+            new[a] = new[b] = min(new[a], new[b])
+        if new == least:
+            return least
+        least = new
+
+
+@pytest.mark.parametrize("blocks", [(1024, 512), (16, 7)])
+def test_remaining_pairs_alone_find_every_link(spark, monkeypatch, blocks):
+    """Without a round of pivots all links come from the blocks, whatever their size."""
+    monkeypatch.setattr(neardup, "SIG_BLOCK", blocks[0])
+    monkeypatch.setattr(neardup, "BLOCK", blocks[1])
+    rows = _families([0.0, 0.01, 0.02, 0.03, 0.05], 25, 3) + [(-1, ""), (-2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.link(docs, rounds=0).collect()}
+    assert got == _least([(d, t or "") for d, t in rows[:-2]]) | {-1: -1, -2: -2}
+    alone = neardup.link(docs.where("doc_id < 0 or doc_id = 3001"), rounds=0).collect()
+    assert {r.doc_id: r.component_id for r in alone} == {-1: -1, -2: -2, 3001: 3001}
+
+
+def test_lists_that_chain_up_meet_one_by_one(spark):
+    """One family of lists that share one member each is met list by list; lists of the same
+    members are met once."""
+    chain = [(k, n) for k in range(30) for n in (3 * k, 3 * k + 1, 3 * k + 2, 3 * k + 3)]
+    same = [(100 + k, 1000 + n) for k in range(30) for n in range(4)]
+    posted = spark.createDataFrame([(k, n, n) for k, n in chain + same], "key long, node long, comp long")
+    groups = neardup._torn_groups(posted)
+    sizes = {(r.kind, r.node >= 1000): (r.groups, r.n) for r in groups.withColumn("hi", F.col("node") >= 1000).groupBy(
+        "kind", "hi").agg(F.countDistinct("grp").alias("groups"), F.count(F.lit(1)).alias("n"), F.max("node").alias("node")).collect()}
+    assert sizes == {(1, False): (30, 120), (0, True): (1, 4)}
+    assert groups.where("not outer").count() == 31
+
+
+def test_torn_members_without_a_partner_fetch_no_sets(spark, monkeypatch):
+    """Lists that tear but whose members collide too little cost signatures only."""
+    rnd = random.Random(5)
+    classes = spark.createDataFrame([(n, [7] * 20 + [rnd.randint(0, 1 << 30) for _ in range(76)], 100) for n in range(300)],
+                                    "node long, sig array<int>, n_shingles long")
+    posted = spark.createDataFrame([(k, n, n) for k in range(3) for n in range(300)], "key long, node long, comp long")
+    monkeypatch.setattr(neardup, "_sets_of", None)
+    assert neardup._rest_links(posted, classes, None, "doc_id", "text", 5, neardup.MATCH, neardup.SIMILARITY) is None

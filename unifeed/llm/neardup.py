@@ -10,9 +10,10 @@
 3. Lists are not expanded into pairs.  In each round every member outside the largest
    component of a list is paired with one pivot from it; pairs with enough collisions are
    confirmed on the full sets and joined into components.  Members of one list that are
-   still in different components then meet block by block inside tasks, which give out
-   links only.  So each pair that could change the result is tested, while a list of n
-   copies of one thing costs n pairs.
+   still in different components then meet block by block inside tasks, by signature and,
+   where a partner was seen, by full set; these give out members and links only.  So each
+   pair that could change the result is tested, while a list of n copies of one thing
+   costs n pairs.
 
 With 96 coordinates and 52 matches a pair at similarity 0.75 is missed with probability
 2.9e-6 (binomial tail up to 51); anything found is confirmed exactly.
@@ -33,7 +34,7 @@ from .words import chunks, mix64, randoms, shingles, split, word_hashes
 
 COORDS, MATCH, SHINGLE, SIMILARITY = 96, 52, 5, 75
 ROUNDS, TRIES = 3, 4    # rounds and pivots per member before the remaining pairs are met
-BLOCK = 512             # rows of a block in which remaining pairs meet
+SIG_BLOCK, BLOCK = 1024, 512    # rows of a block in which remaining pairs meet by signature, by set
 BUCKETS = 1 << 19
 
 
@@ -133,33 +134,94 @@ def _cross_links(left: list, right: list, match: int, percent: int) -> list[tupl
     return out
 
 
-def _rest_links(posted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int,
-                match: int, percent: int) -> DataFrame | None:
-    """Links between members of one list that are still in different components.
+def _torn_groups(posted: DataFrame) -> DataFrame | None:
+    """(kind, grp, node, comp, outer): groups of members that may still link, None if there are none.
 
-    Lists that share members form a family.  Members outside its largest component meet all
-    its members in blocks of ``BLOCK`` by ``BLOCK`` rows inside one task each, so pairs are
-    compared in place and only links come out; no task holds more than two blocks."""
+    Lists that are still in more than one component and share members form a family.  A family
+    meets as one group (kind 0), or list by list (kind 1) where that compares fewer pairs, as it
+    does once lists chain up without having much in common.  ``outer`` members are those outside
+    the group's largest component: two members of different components are never both inside."""
     torn = (posted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("node").alias("a"))
                   .where("x <> y").select("key", "a"))
-    spread = table(posted.join(torn, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    lists = table(posted.join(torn, "key").select("key", "a", "node", "comp"))
+    spread = table(lists.where("node <> a").select("a", F.col("node").alias("b")).distinct())
     if spread.isEmpty():
         return None
     family = components(spread).select("node", F.col("label").alias("family"))
-    comps = posted.select("node", "comp").distinct()
-    rows = table(family.join(comps, "node"))
-    per = rows.groupBy("family", "comp").count()
-    per = per.groupBy("family").agg(F.max(F.struct("count", "comp")).alias("top"), F.sum("count").alias("n"))
-    per = per.select("family", F.col("top.comp").alias("top"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
-                     F.ceil((F.col("n") - F.col("top.count")) / BLOCK).cast("int").alias("outer_blocks")).where("outer_blocks > 0")
-    rows = rows.join(per, "family")
-    sets = _sets_of(rows.select("node"), classes, docs, id_col, text_col, k)
-    rows = table(rows.join(classes.select("node", "sig"), "node").join(sets, "node"))
-    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    lists = table(lists.join(family, "node").select("family", "key", "node", "comp"))
+    families = lists.select("family", "node", "comp").distinct()
+
+    def largest(rows: DataFrame, by: list[str]) -> DataFrame:
+        per = rows.groupBy(*by, "comp").count().groupBy(*by).agg(
+            F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("n"))
+        return per.select(*by, F.col("most.comp").alias("top"),
+                          ((F.col("n") - F.col("most.count")).cast("double") * F.col("n")).alias("work"))
+    of_list = table(largest(lists, ["family", "key"]))
+    listwise = of_list.groupBy("family").agg(F.sum("work").alias("by_list"))
+    of_family = table(largest(families, ["family"]).join(listwise, "family"))
+    single = of_list.join(of_family.where("by_list < work").select("family"), "family", "left_semi")
+    outer = (F.col("comp") != F.col("top")).alias("outer")
+    whole = (families.join(of_family.where("by_list >= work").select("family", "top"), "family")
+                     .select(F.lit(0).alias("kind"), F.col("family").alias("grp"), "node", "comp", outer))
+    parts = (lists.join(single, ["family", "key"])
+                  .select(F.lit(1).alias("kind"), F.col("key").alias("grp"), "node", "comp", outer))
+    return table(whole.unionByName(parts))
+
+
+def _dealt(left: DataFrame, right: DataFrame, by: list[str], size: int) -> DataFrame:
+    """Both sides of each group dealt to blocks of about ``size`` rows; (i, j) holds block i of the
+    left side (``side`` 0) and block j of the right (1), so each pair meets in one place."""
+    blocks = lambda rows, name: rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    grid = blocks(left, "n_i").join(blocks(right, "n_j"), by)
+    deal = lambda n: F.pmod(F.xxhash64("node", *by), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    out = rows.where("comp <> top").withColumn("i", deal("outer_blocks")).withColumn("j", every("blocks")).withColumn("side", F.lit(0))
-    into = rows.withColumn("j", deal("blocks")).withColumn("i", every("outer_blocks")).withColumn("side", F.lit(1))
-    cols = ["family", "i", "j", "side", "node", "comp", "sig", "shingles"]
+    a = left.join(grid, by).withColumn("i", deal("n_i")).withColumn("j", every("n_j")).withColumn("side", F.lit(0))
+    b = right.join(grid, by).withColumn("j", deal("n_j")).withColumn("i", every("n_i")).withColumn("side", F.lit(1))
+    return a.unionByName(b).drop("n_i", "n_j")
+
+
+def _candidates(groups: DataFrame, classes: DataFrame, match: int, percent: int) -> DataFrame:
+    """(kind, grp, bi, bj, side, node, comp): members of a pair of signature blocks with a partner in
+    the other block that collides in ``match`` coordinates, is of another component and of a size
+    that allows the similarity.  Only signatures are sent, and members come out, not pairs."""
+    rows = table(groups.join(classes.select("node", "sig", F.col("n_shingles").alias("n")), "node"))
+    by = ["kind", "grp"]
+
+    def meet(key, pdf):
+        import pandas as pd
+        side, node, comp, n = (pdf[c].to_numpy() for c in ("side", "node", "comp", "n"))
+        sig = np.stack(pdf["sig"].to_list())
+        l, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        right, has = sig[r], np.zeros(len(pdf), dtype=bool)
+        for x in l:
+            near = ((right == sig[x]).sum(1) >= match) & (comp[r] != comp[x])
+            near &= 100 * np.minimum(n[r], n[x]) >= percent * np.maximum(n[r], n[x])
+            has[x] = near.any()
+            has[r] |= near
+        out = pd.DataFrame({"side": side[has], "node": node[has], "comp": comp[has]})
+        return out.assign(**{c: np.full(len(out), v, np.int64) for c, v in zip(("kind", "grp", "bi", "bj"), key)})
+    return table(_dealt(rows.where("outer"), rows, by, SIG_BLOCK).drop("outer").groupBy(*by, "i", "j").applyInPandas(
+        meet, "kind int, grp long, bi int, bj int, side int, node long, comp long"))
+
+
+def _rest_links(posted: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int,
+                match: int, percent: int) -> DataFrame | None:
+    """Links between members of one list that are still in different components.
+
+    Outer members of each torn group meet all its members, block by block: first by signature
+    (``SIG_BLOCK`` rows a side), then, only those with a partner in the same pair of blocks, by
+    full set (``BLOCK`` rows a side).  Pairs are compared in place and only links come out; no
+    task holds more than two blocks."""
+    groups = _torn_groups(posted)
+    if groups is None:
+        return None
+    some = _candidates(groups, classes, match, percent)
+    if some.isEmpty():
+        return None
+    sets = _sets_of(some.select("node").distinct(), classes, docs, id_col, text_col, k)
+    rows = table(some.join(classes.select("node", "sig"), "node").join(sets, "node"))
+    by = ["kind", "grp", "bi", "bj"]
+    dealt = _dealt(rows.where("side = 0").drop("side"), rows.where("side = 1").drop("side"), by, BLOCK)
 
     def meet(pdf):
         import pandas as pd
@@ -168,8 +230,7 @@ def _rest_links(posted: DataFrame, classes: DataFrame, docs: DataFrame, id_col:
             sides[side].append((node, comp, np.asarray(sig), np.asarray(s, dtype=np.int64).view(np.uint64)))
         links = _cross_links(*sides, match, percent) if sides[0] and sides[1] else []
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
-    return table(out.select(*cols).unionByName(into.select(*cols)).groupBy("family", "i", "j")
-                    .applyInPandas(meet, "a long, b long"))
+    return table(dealt.groupBy(*by, "i", "j").applyInPandas(meet, "a long, b long"))
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
@@ -237,7 +298,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         label = components(edges)
     rest = _rest_links(table(_labelled(posts, label)), classes, docs, id_col, text_col, k, match, percent)
     if rest is not None:
-        label = components(table(edges.unionByName(rest)))
+        label = components(rest if edges is None else table(edges.unionByName(rest)))
+    if label is None:                       # no rounds asked for and no list
+        label = classes.select("node", F.col("node").alias("label")).where(F.lit(False))
     member = classes.select("node", "c", "c2", "doc_id").join(label, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     ids = member.groupBy("label").agg(F.min("doc_id").alias("component_id"))
