@@ -123,12 +123,14 @@ def test_remaining_pairs_alone_find_every_link(spark, monkeypatch, blocks):
     assert {r.doc_id: r.component_id for r in alone} == {-1: -1, -2: -2, 3001: 3001}
 
 
-def test_lists_that_chain_up_meet_one_by_one(spark):
-    """One family of lists that share one member each is met list by list; lists of the same
-    members are met once."""
+def test_lists_that_chain_up_meet_one_by_one(spark, monkeypatch):
+    """A family of many blocks whose lists share one member each is met list by list; lists of the
+    same members are met once, and so is a family of less than a block."""
     chain = [(k, n) for k in range(30) for n in (3 * k, 3 * k + 1, 3 * k + 2, 3 * k + 3)]
     same = [(100 + k, 1000 + n) for k in range(30) for n in range(4)]
     posted = spark.createDataFrame([(k, n, n) for k, n in chain + same], "key long, node long, comp long")
+    assert {r.kind for r in neardup._torn_groups(posted).collect()} == {0}
+    monkeypatch.setattr(neardup, "SIG_BLOCK", 4)
     groups = neardup._torn_groups(posted)
     sizes = {(r.kind, r.node >= 1000): (r.groups, r.n) for r in groups.withColumn("hi", F.col("node") >= 1000).groupBy(
         "kind", "hi").agg(F.countDistinct("grp").alias("groups"), F.count(F.lit(1)).alias("n"), F.max("node").alias("node")).collect()}

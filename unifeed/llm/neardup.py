@@ -138,9 +138,10 @@ def _torn_groups(posted: DataFrame) -> DataFrame | None:
     """(kind, grp, node, comp, outer): groups of members that may still link, None if there are none.
 
     Lists that are still in more than one component and share members form a family.  A family
-    meets as one group (kind 0), or list by list (kind 1) where that compares fewer pairs, as it
-    does once lists chain up without having much in common.  ``outer`` members are those outside
-    the group's largest component: two members of different components are never both inside."""
+    meets as one group (kind 0), or list by list (kind 1) where that sends fewer rows to blocks:
+    families of more than a block whose lists chain up without having much in common.  ``outer``
+    members are those outside the group's largest component: two members of different components
+    are never both inside."""
     torn = (posted.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("node").alias("a"))
                   .where("x <> y").select("key", "a"))
     lists = table(posted.join(torn, "key").select("key", "a", "node", "comp"))
@@ -154,14 +155,15 @@ def _torn_groups(posted: DataFrame) -> DataFrame | None:
     def largest(rows: DataFrame, by: list[str]) -> DataFrame:
         per = rows.groupBy(*by, "comp").count().groupBy(*by).agg(
             F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("n"))
+        n, m = F.col("n").cast("double"), (F.col("n") - F.col("most.count")).cast("double")
         return per.select(*by, F.col("most.comp").alias("top"),
-                          ((F.col("n") - F.col("most.count")).cast("double") * F.col("n")).alias("work"))
+                          (n * F.ceil(m / SIG_BLOCK) + m * F.ceil(n / SIG_BLOCK)).alias("sent"))
     of_list = table(largest(lists, ["family", "key"]))
-    listwise = of_list.groupBy("family").agg(F.sum("work").alias("by_list"))
+    listwise = of_list.groupBy("family").agg(F.sum("sent").alias("by_list"))
     of_family = table(largest(families, ["family"]).join(listwise, "family"))
-    single = of_list.join(of_family.where("by_list < work").select("family"), "family", "left_semi")
+    single = of_list.join(of_family.where("by_list < sent").select("family"), "family", "left_semi")
     outer = (F.col("comp") != F.col("top")).alias("outer")
-    whole = (families.join(of_family.where("by_list >= work").select("family", "top"), "family")
+    whole = (families.join(of_family.where("by_list >= sent").select("family", "top"), "family")
                      .select(F.lit(0).alias("kind"), F.col("family").alias("grp"), "node", "comp", outer))
     parts = (lists.join(single, ["family", "key"])
                   .select(F.lit(1).alias("kind"), F.col("key").alias("grp"), "node", "comp", outer))
