@@ -79,3 +79,39 @@ def test_period_filter_reaches_the_scan(spark):
     plan = QUERIES["period_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_feed_cells_are_parsed_once(spark):
+    """Filters on parsed dates read the value; pushed below the parsers they copied every regex, and
+    the stage's loop was too long for HotSpot to compile (present_feed)."""
+    import re
+
+    plan = QUERIES["present_feed"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.replace(" \t\n\r\f\x0b", "ws").split("\n")
+    filters = [line for line in lines if re.match(r"[ :+-]*Filter ", line)]
+    assert sum("isnotnull(date" in f for f in filters) == 4
+    assert not any("regexp_replace" in f or "try_cast" in f for f in filters)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_one_test_per_cell_keeps_every_layout(spark):
+    from pyspark.sql import functions as F
+
+    from unifeed.functions import dates, durations, numbers, people
+    from unifeed.operators.combine import CONTAMINATION_REGEX, contamination_flag
+    cells = ["1/2/2024", "12/31/24 x/y", "2024/1/5 10:00", "1/2/024", "1/2/24/5", "2024/1/24", "/1/24", "1/2", None, "1/2/24x"]
+    d = spark.createDataFrame([(c,) for c in cells], "c string").select(F.date_format(dates.parse_date("c"), "yyyy-MM-dd"))
+    assert [r[0] for r in d.collect()] == ["2024-01-02", "2024-12-31", "2024-01-05", None, None, "2024-01-24", None, None, None, None]
+    spans = ["1:30", "1:30:36", "0 days 01:15:00", "1 day 2:00", "1.5 hrs", "5 Hrs. 30 Mins", "1 hour 0 m", "nan", " ", None, "0:00"]
+    h = spark.createDataFrame([(c,) for c in spans], "c string").select(durations.duration_hours("c"))
+    assert [r[0] for r in h.collect()] == [1.5, 1.51, 1.25, 26.0, 1.5, 5.5, 1.0, None, None, None, None]
+    n = spark.createDataFrame([(None,), (0,), (-3,), (7,)], "c long").select(
+        numbers.clamp_presentation_count("c", numeric=True), numbers.clamp_presentation_count("c"))
+    assert [tuple(r) for r in n.collect()] == [(1, 1), (1, 1), (1, 1), (7, 7)]
+    r = spark.createDataFrame([("A", None, " \t", "b / c,,d"), (None, "x", "x", None), ("", "", "", "")], "p string, e string, g string, f string") \
+        .select(people.roster_names("p", ["e", "g"], "f"))
+    assert [x[0] for x in r.collect()] == [["A", "b", "c", "d"], ["x", "x"], []]
+    names = ["arrests", "Arrests ", "x (monthly total) y", "(Monthly", "BWC review 2", "a BWC Review", "Subpoenas Generated\n", None, ""]
+    f = spark.createDataFrame([(c, None) for c in names], "event_name string, office string").select(
+        contamination_flag(), F.coalesce(F.col("event_name").rlike(CONTAMINATION_REGEX), F.lit(False)))
+    assert all(a == b for a, b in f.collect()) and sum(a for a, _ in f.collect()) == 4

@@ -34,8 +34,11 @@ def date_iso(c, normalized: bool = False) -> Column:
     named = F.when(at % 3 == 1, F.concat_ws("-", F.regexp_extract(t, NAMED_DATE, 3), ((at + 2) / 3).cast("int").cast("string"),
                                             F.regexp_extract(t, NAMED_DATE, 2))).otherwise(t)
     # slash layouts, month names and dash layouts are disjoint: test the cheap character first
-    return (F.when(F.instr(t, "/") > 0, F.regexp_replace(F.regexp_replace(F.regexp_replace(
-                t, us4_p, us4_r), us2_p, us2_r), ymd_p, ymd_r))
+    # likewise the slash layouts: by the place of the first slash, then by the length of the year
+    year = F.substring_index(F.substring_index(t, " ", 1), "/", -1)
+    return (F.when(F.instr(t, "/") == 5, F.regexp_replace(t, ymd_p, ymd_r))
+            .when((F.instr(t, "/") > 0) & (F.length(year) == 2), F.regexp_replace(t, us2_p, us2_r))
+            .when(F.instr(t, "/") > 0, F.regexp_replace(t, us4_p, us4_r))
             .when(F.substring(t, 1, 1).between("A", "z") & t.rlike(NAMED_DATE), named)
             .otherwise(F.regexp_replace(t, iso_p, iso_r)))
 
@@ -80,7 +83,7 @@ def date_key_of(df, name: str) -> Column:
     """DAT1 key form of ``df[name]`` without re-parsing typed dates."""
     dt = df.schema[name].dataType
     if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.coalesce(F.date_format(date_of(df, name), "yyyy-MM-dd"), F.lit(""))
+        return F.coalesce(date_of(df, name).cast(T.StringType()), F.lit(""))
     return date_key(F.col(f"`{name}`"))
 
 

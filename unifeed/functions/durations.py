@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .numbers import round_half_even
-from .text import NUMBER_PATTERN, col_, digits_to, missing_to_null
+from .text import NUMBER_PATTERN, col_, missing_to_null
 
 # Fixed values used by the reference rules.
 DEFAULT_HOURS = 0.5          # duration when nothing usable is given (DUR3)
@@ -31,12 +31,8 @@ CLOCK_PATTERN = r"^(\d{1,2}):?(\d{2})(:(\d{2}))?$"
 
 
 def _grp(t: Column, pattern: str, i: int) -> Column:
-    # groups hold digits (or a decimal) or nothing: cast only non-empty text
-    return digits_to(F.regexp_extract(t, pattern, i), "double")
-
-
-def _grp0(t: Column, pattern: str, i: int) -> Column:
-    return F.coalesce(_grp(t, pattern, i), F.lit(0.0))
+    # groups hold digits (or a decimal) or nothing, which counts as 0; one extraction a group
+    return F.concat(F.lit("0"), F.regexp_extract(t, pattern, i)).cast("double")
 
 
 def duration_hours(c, normalized: bool = False, positive_only: bool = True) -> Column:
@@ -56,10 +52,10 @@ def duration_hours(c, normalized: bool = False, positive_only: bool = True) -> C
         F.when(t.rlike(NUMBER_PATTERN), t.cast(T.DoubleType()))
         .when(has_day & t.rlike(_DAYS),
               _grp(t, _DAYS, 1) * 24.0 + _grp(t, _DAYS, 2)
-              + _grp(t, _DAYS, 3) / 60.0 + _grp0(t, _DAYS, 5) / 3600.0)
+              + _grp(t, _DAYS, 3) / 60.0 + _grp(t, _DAYS, 5) / 3600.0)
         .when(has_colon & t.rlike(_HMS),
-              _grp(t, _HMS, 1) + _grp(t, _HMS, 2) / 60.0 + _grp0(t, _HMS, 4) / 3600.0)
-        .when(has_h & t.rlike(_WORDS), _grp(t, _WORDS, 1) + _grp0(t, _WORDS, 5) / 60.0)
+              _grp(t, _HMS, 1) + _grp(t, _HMS, 2) / 60.0 + _grp(t, _HMS, 4) / 3600.0)
+        .when(has_h & t.rlike(_WORDS), _grp(t, _WORDS, 1) + _grp(t, _WORDS, 5) / 60.0)
     )
     return F.when(hours > 0, hours) if positive_only else hours
 
@@ -85,7 +81,7 @@ def clock_digits(c, normalized: bool = False) -> Column:
     a day below one (``0.4167``, a spreadsheet time) is rounded to the second."""
     t = col_(c) if normalized else missing_to_null(col_(c).cast(T.StringType()))
     # few uses of ``t``: optimizer rules copy this expression into filters
-    after = F.regexp_replace(t, CLOCK_DATE, "")
+    after = F.when(F.instr(t, "-") > 0, F.regexp_replace(t, CLOCK_DATE, "")).otherwise(t)
     half = F.regexp_replace(F.upper(t), CLOCK_AMPM, "$1$2 $3M")
     # only text of the right shape is parsed or cast (failures are slow); sessions are in UTC
     noon = F.date_format(F.try_to_timestamp(half, F.lit("h:mm[:ss] a")), "HHmmss")

@@ -52,9 +52,11 @@ def given_head_count(c) -> Column:
     return F.greatest(F.coalesce(n, F.lit(1).cast("long")), F.lit(1).cast("long"))
 
 
-def clamp_presentation_count(c) -> Column:
-    """NUM4: NULL, <=0 or unparseable -> 1; else the whole number."""
-    n = to_double(col_(c).cast("string")).try_cast(T.LongType())
+def clamp_presentation_count(c, numeric: bool = False) -> Column:
+    """NUM4: NULL, <=0 or unparseable -> 1; else the whole number.  ``numeric``: the column holds
+    whole numbers already, so no text is parsed."""
+    x = col_(c)
+    n = (x.cast(T.DoubleType()) if numeric else to_double(x.cast("string"))).try_cast(T.LongType())
     return F.when(n.isNull() | (n <= 0), F.lit(1).cast("long")).otherwise(n)
 
 

@@ -90,12 +90,12 @@ def roster_names(primary, extras, free_text) -> Column:
     split on ``/`` or ``,``.  Blanks are dropped; duplicates are kept.
 
     The split pattern swallows the whitespace around each separator and the
-    text is trimmed first, so the parts need no per-element trim; blanks and
-    NULLs are removed with ``array_compact`` / ``array_remove`` (no lambdas)."""
-    singles = [blank_to_null(primary)] + [blank_to_null(e) for e in extras]
+    text is trimmed first, so the parts need no per-element trim; NULLs become
+    blanks and blanks are removed with ``array_remove`` (no lambdas)."""
+    singles = [F.coalesce(ws_trim(col_(c).cast("string")), F.lit("")) for c in (primary, *extras)]
     free = ws_trim(F.coalesce(col_(free_text).cast("string"), F.lit("")))
     arr = F.concat(F.array(*singles), F.split(free, FREE_TEXT_SPLIT))
-    return F.array_remove(F.array_compact(arr), "")
+    return F.array_remove(arr, "")
 
 
 def alias_map_lookup(name, mapping: dict[str, str]) -> Column:

@@ -44,7 +44,8 @@ def is_blank(c) -> Column:
 def missing_to_null(c) -> Column:
     """Like :func:`blank_to_null` but also maps ``nan``/``none``/``nat``/``null``."""
     t = ws_trim(col_(c).cast(T.StringType()))
-    return F.when((t != F.lit("")) & ~F.lower(t).isin(*MISSING_WORDS), t)
+    # NULL, blank or missing: no branch, so NULL; one test of the trimmed text
+    return F.when(~F.lower(t).isin("", *MISSING_WORDS), t)
 
 
 def to_double(c) -> Column:

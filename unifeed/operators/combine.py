@@ -29,11 +29,17 @@ CONTAMINATION_EVENT_PATTERNS = (
     r"^High Valued Item Seized$",
 )
 CONTAMINATION_REGEX = "(?i)" + "|".join(CONTAMINATION_EVENT_PATTERNS)
+# The same rule in two parts: patterns tried at the start of a name only, and those anywhere in it.
+_AT_START = "(?i)^(?:" + "|".join(p[1:] for p in CONTAMINATION_EVENT_PATTERNS if p.startswith("^")) + ")"
+_ANYWHERE = "(?i)" + "|".join(p for p in CONTAMINATION_EVENT_PATTERNS if not p.startswith("^"))
+
 
 def contamination_flag(office: str = "office", event_name: str = "event_name") -> Column:
     """FLT1 predicate; NULLs never match."""
     off = F.lower(ws_trim(F.col(office))).isin(*CONTAMINATION_OFFICES)
-    ev = F.col(event_name).rlike(CONTAMINATION_REGEX)
+    name = F.col(event_name)
+    # what is looked for anywhere begins with a bracket: test the cheap character first
+    ev = name.rlike(_AT_START) | ((F.instr(name, "(") > 0) & name.rlike(_ANYWHERE))
     return F.coalesce(off, F.lit(False)) | F.coalesce(ev, F.lit(False))
 
 

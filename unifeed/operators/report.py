@@ -250,13 +250,14 @@ def presentation(feed: DataFrame, row_id: str | None = None) -> DataFrame:
     """§3.3 read model: typed casts (PRJ4), clamps (DUR5, NUM4), renames (PRJ3),
     NULL-date drop (FLT5).  Sorting (SRT1) is left to the sink."""
     d = dates.date_of(feed, "date")
+    whole = isinstance(feed.schema["attendee_count"].dataType, T.IntegralType)
     out = feed.select(
         d.alias("Date"),
         durations.clamp_presentation_hours(F.col("duration_hours").cast("double"))
         .alias(PRESENTATION_NAMES["duration_hours"]),
         F.col("event_name").alias(PRESENTATION_NAMES["event_name"]),
         F.col("location").alias(PRESENTATION_NAMES["location"]),
-        numbers.clamp_presentation_count(F.col("attendee_count"))
+        numbers.clamp_presentation_count(F.col("attendee_count"), numeric=whole)
         .alias(PRESENTATION_NAMES["attendee_count"]),
         F.col("office").alias(PRESENTATION_NAMES["office"]),
         *([F.col(row_id)] if row_id else []),

@@ -1,8 +1,8 @@
 """Per-source recipes that map a raw log to the canonical event feed.
 
-Each recipe is a single projection over the raw frame (PRJ1 mapping, the
-repair expressions, PRJ2 literals), so Catalyst collapses it into the scan's
-codegen stage.  Mappings are data: pass your own for other sheet layouts.
+Each recipe is a chain of projections over the raw frame (PRJ1 mapping, the
+repair expressions, PRJ2 literals).  Filters on parsed values stay above the
+parsing, so a cell is parsed once.  Mappings are data: pass your own for other sheet layouts.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, durations, numbers, people, places
 from ..functions.text import blank_to_null, missing_to_null
+from ..sources.files import keep_above
 from .schema import header_lookup, to_canonical
 
 # Header -> canonical mappings of the three hand-kept logs.
@@ -85,7 +86,8 @@ def _normalized(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
 
 
 def _parsed(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
-    """Stages 3-4: prepared parse inputs (each regex once per cell), then typed values."""
+    """Stages 3-4: prepared parse inputs (each regex once per cell), then typed values, which
+    filters read and do not parse again."""
     names = [p if isinstance(p, str) else None for p in passthrough]
     prep = df.select(
         dates.date_iso("t_date", normalized=True).alias("_iso"),
@@ -96,12 +98,12 @@ def _parsed(df: DataFrame, passthrough: Sequence[str]) -> DataFrame:
     keep = [n for n in names if n is not None] + [c for c in prep.columns
                                                   if c not in ("_iso", "_sd", "_ed", "given_raw",
                                                                "event_name", "location") and c not in names]
-    return prep.select(
+    return keep_above(prep.select(
         dates.date_from_iso("_iso").alias("date"),
         durations.clock_from_digits("_sd").alias("start_s"),
         durations.clock_from_digits("_ed").alias("end_s"),
         F.when(F.col("given_raw") > 0, F.col("given_raw")).alias("given_hours"),
-        "event_name", "location", *keep)
+        "event_name", "location", *keep))
 
 
 def community_log(raw: DataFrame, data_source: str = "outreach_log",
@@ -162,14 +164,14 @@ def stacp_log(raw: DataFrame, data_source: str = "stacp",
     ``aliases`` is a small constant dict inlined as a map lookup; for an
     alias *table* use :func:`unifeed.operators.combine.apply_alias_table`.
     """
-    names = people.roster_names(_present(raw, primary), [_present(raw, e) for e in extras],
-                                _present(raw, free_text))
-    if aliases:
-        names = F.transform(names, lambda n: people.alias_map_lookup(n, aliases))
+    roster = people.roster_names(_present(raw, primary), [_present(raw, e) for e in extras],
+                                 _present(raw, free_text))
     keep_cols = [F.col(f"`{k}`") for k in keep]
-    s1 = _select_mapped(raw, mapping, [names.alias("names"), *keep_cols])
+    s1 = _select_mapped(raw, mapping, [roster.alias("names"), *keep_cols])
     s2 = _normalized(s1, ["names", *keep])
     s3 = _parsed(s2, ["names", *keep])
+    # aliases replace names one by one, so the count does not need them
+    names = F.transform("names", lambda n: people.alias_map_lookup(n, aliases)) if aliases else F.col("names")
     out = s3.select(
         "date",
         _clock_text(F.col("start_s")).alias("start_time"),
@@ -180,7 +182,7 @@ def stacp_log(raw: DataFrame, data_source: str = "stacp",
         F.size("names").cast("long").alias("attendee_count"),
         F.lit(office).alias("office"),
         F.lit(division).alias("division"),
-        F.array_join("names", ", ").alias("attendee_names"),
+        F.array_join(names, ", ").alias("attendee_names"),
         F.lit(data_source).alias("data_source"),
         F.lit(processed_date).cast("date").alias("processed_date"),
         *keep,
@@ -255,11 +257,11 @@ def dispatch_export(raw: DataFrame, routes: DataFrame, data_source: str = "cad_c
         durations.clock_digits("t_out", normalized=True).alias("_od"),
         durations.clock_digits("t_in", normalized=True).alias("_id"),
         "event_name", "location", "squad", "attendee_names", *kept)
-    s2 = s15.select(
+    s2 = keep_above(s15.select(
         "case_no", dates.date_from_iso("_iso").alias("date"),
         durations.clock_from_digits("_od").alias("out_s"),
         durations.clock_from_digits("_id").alias("in_s"),
-        "event_name", "location", "squad", "attendee_names", *kept)
+        "event_name", "location", "squad", "attendee_names", *kept))
     dur, imputed, end_s = durations.memorial_guard("out_s", "in_s", on_inversion)
     base = s2.select(
         "case_no", "date",

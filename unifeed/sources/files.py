@@ -44,6 +44,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target).where(F.spark_partition_id() >= 0)
 
 
+def keep_above(df: DataFrame) -> DataFrame:
+    """``df`` with its projection held: a predicate is not pushed through a projection with a
+    non-deterministic column (the partition id, always >= 0 and read by a filter so that it is not
+    pruned), so filters on the columns of ``df`` read their values instead of copying the
+    expressions behind them.  Row-preserving; column pruning passes it."""
+    return df.withColumn("_held", F.spark_partition_id()).where(F.col("_held") >= 0).drop("_held")
+
+
 def read_parquet(spark: SparkSession, path: str | Sequence[str], spread_scan: bool = False) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
