@@ -1,12 +1,13 @@
 """Bounds that must hold whatever the rows: samples, buckets, long and repeated conversations."""
 
+import pathlib
 import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from unifeed.llm import chat, fingerprints, neardup, quality, toxicity
+from unifeed.llm import chat, fingerprints, mixing, neardup, quality, shared, toxicity
 
 
 def test_collected_samples_are_bounded_by_rows_not_ids(spark, monkeypatch):
@@ -24,6 +25,25 @@ def test_collected_samples_are_bounded_by_rows_not_ids(spark, monkeypatch):
     assert sizes == [10] and all(k <= 50 for k in kept)
 
 
+def test_mix_writes_no_file_for_each_shuffle_partition(spark):
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    files = lambda: set(pathlib.Path(shared.scratch_root(spark).removeprefix("file:")).rglob("part-*.parquet"))
+    rows = [(i, "w " * (1 + i % 9), f"s{i % 3}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(2)
+    before = files()
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = mixing.mix(df).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(out) == 2000 and any(r.copies for r in out)
+    # sizes: a file of each input partition; sources: one before, at most three after the cut, and an empty one
+    assert len(files() - before) <= 2 + 1 + 4
+
+
 def test_weights_stand_for_repeated_rows(spark):
     names = ["a", "b"]
     rows = [(i % 7, float(i % 2), (i % 5) / 5.0, (i % 3) / 3.0 + (i % 2) * 0.2) for i in range(60)]

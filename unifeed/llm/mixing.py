@@ -124,10 +124,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  .withColumn(m["bin"], F.least(F.floor(F.col(m["v"]) * bins), F.lit(bins - 1))))
 
     # words by rank bin; those of certain copies come off the target, rows without a fraction
-    # are not drawn
-    hist = table(ranked(light, per).groupBy(m["src"], m["bin"]).agg(
+    # are not drawn.  Read once, so not written: that made a small file of every shuffle partition
+    hist = ranked(light, per).groupBy(m["src"], m["bin"]).agg(
         F.sum(F.when(F.col(m["p"]) > 0, F.col(m["size"])).otherwise(0)).alias("words"),
-        F.sum(F.col(m["whole"]) * F.col(m["size"])).alias("certain"), F.max("target").alias("target")))
+        F.sum(F.col(m["whole"]) * F.col(m["size"])).alias("certain"), F.max("target").alias("target"))
     each = W.partitionBy(m["src"])
     cuts = (hist.withColumn(m["need"], F.col("target") - F.sum("certain").over(each))
                 .withColumn("cum", F.sum("words").over(each.orderBy(m["bin"])))
